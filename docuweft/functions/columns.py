@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,15 @@ def non_blank(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute a value once a row and use it several times.
+
+    A column used inside a lambda can be replaced by its definition when a
+    filter is pushed below it, and would then be computed per element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class Columns:
     """A frame's columns by name; a name the frame lacks reads as null."""
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry, resolve_registry
-from ..plans.spec import Source, TableSpec, live, source_rows
-from ..schema import DEL_KEY, PUT, REJECT
-from .documents import REASON, checked_documents, checked_narrow_documents, with_vector_check
+from ..plans.spec import Source, TableSpec, source_rows
+from ..schema import DEL_KEY
+from .documents import checked_documents, checked_narrow_documents, with_vector_check
 from .embedding import Provider, embed_documents
 from .store import as_changes
 from .sync import put_or_reject
@@ -18,6 +18,7 @@ from .sync import put_or_reject
 # Fixed value: deliveries after which an event goes to the dead letters.
 MAX_DELIVERIES = 5
 DELETE, UPSERT, SKIP, DEAD = "delete", "upsert", "skip", "dead"
+_FOUND = "_found"
 
 _IMAGE = "struct<id: string>"
 _EVENT = f"op: string, source: struct<table: string>, before: {_IMAGE}, after: {_IMAGE}"
@@ -107,27 +108,33 @@ def table_key_changes(
 ) -> DataFrame:
     """Changes for upserted keys (client_id, id): their current documents, or a delete where no row is live.
 
-    Found and missing keys come from one read, so they cannot disagree.
+    Found and missing keys come from one read, so they cannot disagree.  A
+    junction table may hold very many rows of one key, which a left join from
+    the keys could not split; there the missing keys are looked up on their own.
+    ``replace_fanout`` also drops a key's documents that are no longer made.
     """
     build = checked_narrow_documents if narrow else checked_documents
-    rows = refetch(spec, source, keys)
-    docs = build(rows, spec).withColumn("_found", F.lit(True))
-    on = ["client_id", "source_id"]
+    docs = build(refetch(spec, source, keys), spec)
     wanted = keys.select("client_id", F.col("id").alias("source_id"))
-    all_keys = wanted.join(docs, on, "left")
-    for name, value in (("doc_type", spec.table), ("module", spec.module)):
-        all_keys = all_keys.withColumn(name, F.lit(value))
+    if replace_fanout:
+        cleared = wanted
+    elif spec.junction:
+        cleared = soft_deleted(spec, source, keys).withColumnRenamed("id", "source_id")
+    else:
+        cleared = None
+        docs = wanted.join(docs.withColumn(_FOUND, F.lit(True)), ["client_id", "source_id"], "left")
     if make_provider is not None:
-        found = F.when(F.col("_found") & F.col(REASON).isNull(), F.lit(None)).otherwise(F.lit("x"))
-        all_keys = embed_documents(all_keys.withColumn("_no_vector", found), make_provider, "_no_vector")
+        docs = embed_documents(docs, make_provider)
     if dimension is not None:
-        all_keys = with_vector_check(all_keys, dimension)
-    kind = F.when(F.col("_found").isNull(), DEL_KEY).otherwise(put_or_reject())
-    changes = as_changes(all_keys, kind, seq)
-    if replace_fanout:
-        cleared = wanted.withColumn("doc_type", F.lit(spec.table)).withColumn("module", F.lit(spec.module))
-        changes = changes.unionByName(as_changes(cleared, DEL_KEY, seq))
-    return changes
+        docs = with_vector_check(docs, dimension)
+    if cleared is None:
+        kind = F.when(F.col(_FOUND).isNull(), DEL_KEY).otherwise(put_or_reject())
+        return as_changes(_of_spec(docs, spec), kind, seq)
+    return as_changes(docs, put_or_reject(), seq).unionByName(as_changes(_of_spec(cleared, spec), DEL_KEY, seq))
+
+
+def _of_spec(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    return rows.withColumn("doc_type", F.lit(spec.table)).withColumn("module", F.lit(spec.module))
 
 
 def apply_changes(

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 #: Settings the jobs rely on: re-planning at run time, splitting of skewed join
-#: partitions even where that costs a shuffle, and UTC so dates do not move.
+#: partitions even where that costs a shuffle, keeping only a query's first rows
+#: in each task also for deep pages, and UTC so dates do not move.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -55,3 +57,12 @@ def is_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast after counting; beyond the bound leave the choice to the shuffle joins."""
     return F.broadcast(df) if is_small(df, most_rows) else df
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A just-read table over all cores, for costly work per row, where it has fewer splits than that.
+
+    A table of many files already has more splits than cores and is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
