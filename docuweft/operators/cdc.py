@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry, resolve_registry
@@ -17,6 +17,8 @@ from .sync import put_or_reject
 
 # Fixed value: deliveries after which an event goes to the dead letters.
 MAX_DELIVERIES = 5
+# Fixed value: unconfirmed messages looked at per stream at a time.
+PENDING_BATCH = 50
 DELETE, UPSERT, SKIP, DEAD = "delete", "upsert", "skip", "dead"
 _FOUND = "_found"
 
@@ -177,6 +179,12 @@ def dead_letters(messages: DataFrame, reason: Column | str) -> DataFrame:
     return messages.select("value", F.col("msg_id").alias("original_id"), "stream", reason.alias("reason"))
 
 
+def next_pending(pending: DataFrame, size: int = PENDING_BATCH) -> DataFrame:
+    """The oldest unconfirmed messages (stream, position, …) of each stream, a batch of them."""
+    oldest = Window.partitionBy("stream").orderBy("position")
+    return pending.withColumn("_n", F.row_number().over(oldest)).filter(F.col("_n") <= size).drop("_n")
+
+
 def split_pending(pending: DataFrame, most: int = MAX_DELIVERIES) -> DataFrame:
     """Pending messages (…, deliveries) marked ``dead`` once delivered too often, else ``live``."""
     return pending.withColumn("fate", F.when(F.col("deliveries") >= most, "dead").otherwise("live"))

@@ -172,11 +172,39 @@ class Tables:
         return base.withColumnRenamed("date", "transaction_date")
 
     def stream_tenants(self) -> DataFrame:
-        """Two tenants with the same database name and different topic prefixes, as the regions name them."""
-        return self.raw("region").filter(F.col("r_regionkey") < 2).select(
-            F.when(F.col("r_regionkey") == 0, "spar").otherwise("dev_env").alias("client_id"),
-            F.lit("shared_db").alias("db_name"),
-            F.when(F.col("r_regionkey") == 0, "cdc_spar").otherwise("cdc_dev_env").alias("cdc_topic_prefix"),
+        """Each region as a tenant; all share a database name and differ in their topic prefix."""
+        name = F.col("r_name")
+        client = F.when(name == "AFRICA", "spar").when(name == "AMERICA", "dev_env").otherwise(
+            F.replace(F.lower(name), F.lit(" "), F.lit("_"))
+        )
+        return self.raw("region").select(
+            client.alias("client_id"), F.lit("shared_db").alias("db_name"),
+            F.concat(F.lit("cdc_"), client).alias("cdc_topic_prefix"),
+        )
+
+    def tenant_config(self) -> DataFrame:
+        """Nations as tenant settings with faults: bad ids, repeats, shared routes, blanks and dots."""
+        key, region = F.col("n_nationkey"), F.col("n_regionkey")
+        return self.raw("nation").select(
+            F.when(key > 20, F.col("n_name")).when(region == 2, "same_id").otherwise(F.lower("n_name")).alias("client_id"),
+            F.when(region == 4, None).when(key == 7, "db.seven").otherwise("shared_db").alias("db_name"),
+            F.when(region == 3, "cdc_three").when(key == 0, " ").otherwise(F.concat(F.lit("cdc_"), F.lower("n_name")))
+            .alias("cdc_topic_prefix"),
+        )
+
+    def requests(self) -> DataFrame:
+        """Each nation as a search request with its own filters and page."""
+        key, region = F.col("n_nationkey"), F.col("n_regionkey")
+        none = F.lit(None).cast("array<string>")
+        return self.raw("nation").select(
+            key.cast("long").alias("query_id"),
+            F.when(region < 3, "spar").otherwise("dev_env").alias("client_id"),
+            F.when(region == 1, F.array(F.lit("sales"), F.lit("account"))).when(region == 2, F.array(F.lit("account")))
+            .otherwise(none).alias("modules"),
+            F.when(key < 10, F.array(F.lit("O"), F.lit("P"))).when(key < 15, F.array(F.lit("F"))).otherwise(none).alias("status"),
+            F.when(key < 20, F.date_add(F.lit("1996-01-01").cast("date"), key * 30)).alias("date_from"),
+            F.when(key > 5, F.date_add(F.lit("1999-01-01").cast("date"), key * 20)).alias("date_to"),
+            F.when(key != 4, key + 1).alias("limit"), F.when(key != 6, key * 2).alias("offset"),
         )
 
     def raw_events(self) -> DataFrame:

@@ -84,7 +84,7 @@ def exact(docs: DataFrame, field: str, values: Sequence[str]) -> DataFrame:
 
 def marked(text: Column, words: Column) -> Column:
     """The text with every token found in ``words`` (lower case) marked."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"{TOKEN}|."), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(rf"{TOKEN}|(?s:.)"), F.lit(0))
     return F.array_join(F.transform(pieces, lambda p: _mark(p, words)), "")
 
 
@@ -94,7 +94,8 @@ def _mark(piece: Column, words: Column) -> Column:
 
 def fragments(text: Column, words: Column) -> Column:
     """The sentences or lines of a text that hold a matched word, marked; whole texts are searched."""
-    parts = F.transform(F.split(text, r"(?<=[.!?])\s+|\n"), lambda p: marked(p, words))
+    sentences = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
+    parts = F.transform(sentences, lambda p: marked(F.trim(p), words))
     return F.filter(parts, lambda p: F.contains(p, F.lit(MARK[0])))
 
 
