@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import Columns
+from .columns import Columns, Sql, quoted
 
 
-def doc_id(table: str, row: Columns, junction: bool) -> Column:
+def doc_id(table: str, row: Columns, junction: bool) -> Sql:
     """``table:id``; rows fanned out over companies add ``:company``, empty without one."""
-    parts = [F.lit(f"{table}:"), row.text("id")]
+    parts = [quoted(f"{table}:"), row.text("id")]
     if junction:
-        parts += [F.lit(":"), F.coalesce(row.truthy_text("company_id"), F.lit(""))]
-    return F.concat(*parts)
+        parts += ["':'", f"coalesce({row.truthy_text('company_id')}, '')"]
+    return f"concat({', '.join(parts)})"
 
 
-def company_key(row: Columns) -> Column:
-    return F.coalesce(row.text("company_id"), F.lit("0"))
+def company_key(row: Columns) -> Sql:
+    return f"coalesce({row.text('company_id')}, '0')"
 
 
 def index_name(client_id: Column, module: Column) -> Column:

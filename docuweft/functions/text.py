@@ -1,15 +1,12 @@
-"""Titles, prose and names: the text a document is found by."""
+"""Titles, prose and names: the text a document is found by, as SQL expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .columns import Columns, Sql, non_blank, quoted, strip
 
-from .columns import Columns, non_blank, strip
-
-Builder = Callable[[Columns], Column]
+Builder = Callable[[Columns], Sql]
 
 # Separator of title parts; columns the generic text leaves out;
 # columns tried for an amount, in order.
@@ -24,6 +21,16 @@ AMOUNT_COLUMNS = (
 )
 
 
+def joined(separator: str, *cells: Sql) -> Sql:
+    """The cells that are not null, joined."""
+    return f"concat_ws({', '.join([quoted(separator), *cells])})"
+
+
+def said(label: str, value: Sql) -> Sql:
+    """``<label><value>``, null when the value is."""
+    return f"concat({quoted(label)}, {value})"
+
+
 def column(name: str) -> Builder:
     return lambda row: row.text(name)
 
@@ -31,9 +38,9 @@ def column(name: str) -> Builder:
 def title(label: str, *parts: str | Builder) -> Builder:
     """Label and the non-blank parts, stripped, joined by the title separator."""
 
-    def build(row: Columns) -> Column:
-        cells = [p(row) if callable(p) else row.text(p) for p in parts]
-        return F.concat_ws(TITLE_SEPARATOR, F.lit(label), *[non_blank(c) for c in cells])
+    def build(row: Columns) -> Sql:
+        cells = [p(row) if callable(p) else row.text(p) for p in parts if callable(p) or p in row]
+        return joined(TITLE_SEPARATOR, quoted(label), *map(non_blank, cells))
 
     return build
 
@@ -48,58 +55,57 @@ def prose(label: str, fields: str) -> Builder:
         name, _, source = (p.strip() for p in entry.partition("<-"))
         pairs.append((name, source or name.replace(" ", "_")))
 
-    def build(row: Columns) -> Column:
-        said = [F.concat(F.lit(f"{n} is "), non_blank(row.text(c))) for n, c in pairs if c in row]
-        details = F.nullif(F.concat_ws(", ", *said), F.lit(""))
-        return F.concat(F.lit(f"This is a {label}"), F.coalesce(F.concat(F.lit(" where "), details), F.lit("")))
+    def build(row: Columns) -> Sql:
+        cells = [said(f"{n} is ", non_blank(row.text(c))) for n, c in pairs if c in row]
+        details = f"nullif({joined(', ', *cells)}, '')"
+        return f"concat({quoted(f'This is a {label}')}, coalesce({said(' where ', details)}, ''))"
 
     return build
 
 
-def generic_text(row: Columns) -> Column:
+def generic_text(row: Columns) -> Sql:
     """``name: value`` of every column that is neither skipped nor an id, blanks left out."""
     kept = [n for n in row.names() if n not in SKIPPED_COLUMNS and not n.endswith("_id")]
-    said = [F.concat(F.lit(n.replace("_", " ") + ": "), non_blank(row.text(n))) for n in kept]
-    return F.concat_ws(" ", *said)
+    return joined(" ", *[said(n.replace("_", " ") + ": ", non_blank(row.text(n))) for n in kept])
 
 
-def extract_amount(row: Columns) -> Column:
+def extract_amount(row: Columns) -> Sql:
     """The first amount column that holds a number."""
     found = [row.number(n) for n in AMOUNT_COLUMNS if n in row]
-    return F.coalesce(*found) if found else F.lit(None).cast("double")
+    return f"coalesce({', '.join([*found, 'cast(null as double)'])})"
 
 
-def id_reference(row: Columns) -> Column:
+def id_reference(row: Columns) -> Sql:
     return row.truthy_text("id")
 
 
-def sql_party_name(row: Columns) -> Column:
+def sql_party_name(row: Columns) -> Sql:
     """A joined party's name: person names, else company name, else name (spaces-only trim)."""
-    person = F.trim(F.concat_ws(" ", *[row.text(n) for n in ("first_name", "middle_name", "last_name")]))
-    return F.coalesce(F.nullif(person, F.lit("")), row.text("company_name"), row.text("name"))
+    person = joined(" ", *[row.text(n) for n in ("first_name", "middle_name", "last_name")])
+    return f"coalesce(nullif(trim({person}), ''), {row.text('company_name')}, {row.text('name')})"
 
 
-def sql_employee_name(row: Columns) -> Column:
+def sql_employee_name(row: Columns) -> Sql:
     """First and last name; null without a first name, trailing space without a last one."""
-    return F.concat(row.text("first_name"), F.lit(" "), F.coalesce(row.text("last_name"), F.lit("")))
+    return f"concat({row.text('first_name')}, ' ', coalesce({row.text('last_name')}, ''))"
 
 
-def _person_names(row: Columns) -> Column:
-    return F.concat_ws(" ", *[row.truthy_text(n) for n in ("first_name", "middle_name", "last_name")])
+def _person_names(row: Columns) -> Sql:
+    return joined(" ", *[row.truthy_text(n) for n in ("first_name", "middle_name", "last_name") if n in row])
 
 
-def resolve_party_name(row: Columns) -> Column:
+def resolve_party_name(row: Columns) -> Sql:
     """The name a document is shown under, from joined names down to the row's own name."""
-    joined = [row.truthy_text(n) for n in ("customer_name", "vendor_name", "party_name", "employee_name")]
+    given = [row.truthy_text(n) for n in ("customer_name", "vendor_name", "party_name", "employee_name") if n in row]
     own = [row.truthy_text("name"), row.truthy_text("company_name")]
-    return F.coalesce(*joined, non_blank(_person_names(row)), *own)
+    return f"coalesce({', '.join([*given, non_blank(_person_names(row)), *own])})"
 
 
-def party_display_name(row: Columns) -> Column:
-    return F.coalesce(row.truthy_text("company_name"), F.nullif(_person_names(row), F.lit("")))
+def party_display_name(row: Columns) -> Sql:
+    return f"coalesce({row.truthy_text('company_name')}, nullif({_person_names(row)}, ''))"
 
 
-def party_text(row: Columns) -> Column:
+def party_text(row: Columns) -> Sql:
     """Text of a party: who it is, then its attributes as they are stored."""
     # Attribute labels and their columns.
     attributes = (
@@ -107,16 +113,16 @@ def party_text(row: Columns) -> Column:
         ("email", "email"), ("sales lead status", "sales_lead_status"),
         ("sales opportunity stage", "sales_op_stage"),
     )
-    label = F.when(row.truthy("company_name").isNotNull(), " with company name ").otherwise(" with name ")
-    intro = F.concat(F.lit("This is a party"), F.coalesce(F.concat(label, party_display_name(row)), F.lit("")))
-    said = [
-        F.when(non_blank(row.text(c)).isNotNull(), F.concat(F.lit(f"{n} is "), row.text(c)))
+    label = f"if({row.truthy('company_name')} is not null, ' with company name ', ' with name ')"
+    who = f"concat('This is a party', coalesce(concat({label}, {party_display_name(row)}), ''))"
+    cells = [
+        f"if({non_blank(row.text(c))} is not null, {said(f'{n} is ', row.text(c))}, null)"
         for n, c in attributes if c in row
     ]
-    return F.concat_ws(", ", intro, *said)
+    return joined(", ", who, *cells)
 
 
-def embed_input(title_col: Column, text_col: Column) -> Column:
+def embed_input(title_sql: Sql, text_sql: Sql) -> Sql:
     """What is embedded: title and text, stripped; the text alone when there is no title."""
-    both = strip(F.concat(title_col, F.lit(" "), text_col))
-    return F.when(F.nullif(title_col, F.lit("")).isNull(), text_col).otherwise(both)
+    both = strip(f"concat({title_sql}, ' ', {text_sql})")
+    return f"if(coalesce({title_sql}, '') = '', {text_sql}, {both})"

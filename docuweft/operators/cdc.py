@@ -13,7 +13,7 @@ from ..schema import DEL_KEY
 from .documents import checked_documents, checked_narrow_documents, with_vector_check
 from .embedding import Provider, embed_documents
 from .store import as_changes
-from .sync import put_or_reject
+from .sync import PUT_OR_REJECT
 
 # Fixed value: deliveries after which an event goes to the dead letters.
 MAX_DELIVERIES = 5
@@ -21,6 +21,7 @@ MAX_DELIVERIES = 5
 PENDING_BATCH = 50
 DELETE, UPSERT, SKIP, DEAD = "delete", "upsert", "skip", "dead"
 _FOUND = "_found"
+_DELETED = f"'{DEL_KEY}'"
 
 _IMAGE = "struct<id: string>"
 _EVENT = f"op: string, source: struct<table: string>, before: {_IMAGE}, after: {_IMAGE}"
@@ -130,9 +131,9 @@ def table_key_changes(
     if dimension is not None:
         docs = with_vector_check(docs, dimension)
     if cleared is None:
-        kind = F.when(F.col(_FOUND).isNull(), DEL_KEY).otherwise(put_or_reject())
+        kind = f"if({_FOUND} is null, '{DEL_KEY}', {PUT_OR_REJECT})"
         return as_changes(_of_spec(docs, spec), kind, seq)
-    return as_changes(docs, put_or_reject(), seq).unionByName(as_changes(_of_spec(cleared, spec), DEL_KEY, seq))
+    return as_changes(docs, PUT_OR_REJECT, seq).unionByName(as_changes(_of_spec(cleared, spec), _DELETED, seq))
 
 
 def _of_spec(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -154,7 +155,7 @@ def apply_changes(
     """
     deletes = changed_keys(classified, DELETE).join(tables, ["client_id", "table"])
     changes = as_changes(
-        deletes.select("client_id", "module", F.col("table").alias("doc_type"), F.col("id").alias("source_id")), DEL_KEY, seq
+        deletes.select("client_id", "module", F.col("table").alias("doc_type"), F.col("id").alias("source_id")), _DELETED, seq
     )
     upserts = changed_keys(classified, UPSERT)
     # Which tenants changed which tables: at most tenants times tables rows.

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import keys, text
-from ..functions.columns import Columns
+from ..functions.columns import Columns, Sql, quoted
 from ..plans.spec import Source, TableSpec, source_rows
-from ..schema import DOC_FIELDS, NARROW_FIELDS, PASS_THROUGH, VECTOR
+from ..schema import DOC_FIELDS, NARROW_FIELDS, PASS_THROUGH
 
 REASON = "reason"
+_TYPES = {f.name: f.type for f in DOC_FIELDS}
 
 
 def checked_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -18,9 +22,8 @@ def checked_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
     rows, date = _with_date(rows, spec)
     row = Columns(rows)
     fields = _core(spec, row, date)
-    fields.update({f.name: _coerced(row, f.name, f.rule) for f in PASS_THROUGH})
-    cells = [fields[f.name].cast(f.type).alias(f.name) for f in DOC_FIELDS]
-    return rows.select(F.col("client_id"), *cells, _reject_reason(row, spec, date).alias(REASON))
+    fields |= {f.name: _coerced(row, f.name, f.rule) for f in PASS_THROUGH if f.name in row}
+    return _projected(rows, fields, [f.name for f in DOC_FIELDS], _reject_reason(row, spec, date))
 
 
 def checked_narrow_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -30,18 +33,15 @@ def checked_narrow_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
     fields = _core(spec, row, date)
     fields["party_name"] = row.first_truthy("customer_name", "vendor_name", "party_name", "employee_name")
     fields["email"] = row.text("email")
-    types = {f.name: f.type for f in DOC_FIELDS}
-    cells = [fields[n].cast(types[n]).alias(n) for n in NARROW_FIELDS]
-    return rows.select(F.col("client_id"), *cells, _reject_reason(row, spec, date).alias(REASON))
+    return _projected(rows, fields, NARROW_FIELDS, _reject_reason(row, spec, date))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col(REASON).isNull()).drop(REASON)
+    return checked.filter(f"{REASON} is null").drop(REASON)
 
 
 def rejects(checked: DataFrame) -> DataFrame:
-    found = checked.filter(F.col(REASON).isNotNull())
-    return found.select("client_id", "doc_type", "source_id", "id", REASON)
+    return checked.filter(f"{REASON} is not null").select("client_id", "doc_type", "source_id", "id", REASON)
 
 
 def build_documents(spec: TableSpec, source: Source, keys: DataFrame | None = None) -> DataFrame:
@@ -50,8 +50,16 @@ def build_documents(spec: TableSpec, source: Source, keys: DataFrame | None = No
 
 def with_vector_check(checked: DataFrame, dimension: int) -> DataFrame:
     """Reject documents whose vector is not of the expected length."""
-    wrong = F.col("embedding").isNotNull() & (F.size("embedding") != dimension)
-    return checked.withColumn(REASON, F.coalesce(F.col(REASON), F.when(wrong, F.lit("bad_vector"))))
+    wrong = f"if(embedding is not null and size(embedding) <> {dimension}, 'bad_vector', null)"
+    return checked.withColumn(REASON, F.expr(f"coalesce({REASON}, {wrong})"))
+
+
+def _projected(rows: DataFrame, fields: dict[str, Sql], names: Sequence[str], reason: Sql) -> DataFrame:
+    """The fields a row has, then the whole layout: what it lacks is null."""
+    cells = [f"{fields[n]} as `{n}`" for n in names if n in fields]
+    layout = [T.StructField(n, _TYPES[n]) for n in names]
+    layout = [T.StructField("client_id", T.StringType()), *layout, T.StructField(REASON, T.StringType())]
+    return rows.selectExpr("client_id", *cells, f"{reason} as {REASON}").to(T.StructType(layout))
 
 
 def _with_date(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, str | None]:
@@ -60,65 +68,52 @@ def _with_date(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, str | None]
         return rows, spec.date
     row, (first, second) = Columns(rows), spec.date
     if row.type(first) == row.type(second):
-        chosen = F.coalesce(row.truthy(first), row[second])
+        chosen = f"coalesce({row.truthy(first)}, {row[second]})"
     else:
         chosen = row.first_truthy(first, second)
-    return rows.withColumn("_doc_date", chosen), "_doc_date"
+    return rows.withColumn("_doc_date", F.expr(chosen)), "_doc_date"
 
 
-def _core(spec: TableSpec, row: Columns, date: str | None) -> dict[str, Column]:
-    reference = spec.reference
-    return {
+def _core(spec: TableSpec, row: Columns, date: str | None) -> dict[str, Sql]:
+    """Core fields; those that can only be null here are left to the layout."""
+    fields = {
         "id": keys.doc_id(spec.table, row, spec.junction),
-        "source_id": row["id"],
-        "doc_type": F.lit(spec.table),
-        "module": F.lit(spec.module),
+        "source_id": f"cast({row['id']} as bigint)",
+        "doc_type": quoted(spec.table),
+        "module": quoted(spec.module),
         "company_id": keys.company_key(row),
         "title": spec.title(row),
-        "reference": reference(row) if callable(reference) else _optional(row, reference),
-        "status": _optional(row, spec.status),
-        "date": row.date(date) if date else F.lit(None).cast("date"),
-        "amount": _amount(row, spec.amount),
         "text_content": spec.text(row),
-        "embedding": row["embedding"] if "embedding" in row else F.lit(None).cast(VECTOR),
         "party_name": text.resolve_party_name(row),
-        "company_name": row.text("company_name"),
-        "first_name": row.text("first_name"),
-        "last_name": row.text("last_name"),
-        "approval_status": row.text("approval_status"),
-        "transaction_type": row.text("transaction_type"),
-        "email": row.first_truthy("email", "email_ids"),
-        "phone": row.first_truthy("phone", "contact_no"),
     }
-
-
-def _optional(row: Columns, name: str | None) -> Column:
-    return row.text(name) if name else F.lit(None).cast("string")
-
-
-def _coerced(row: Columns, name: str, rule: str) -> Column:
+    if spec.reference:
+        fields["reference"] = spec.reference(row) if callable(spec.reference) else row.text(spec.reference)
+    if spec.status:
+        fields["status"] = row.text(spec.status)
+    if date:
+        fields["date"] = row.date(date)
+    if spec.amount:
+        fields["amount"] = spec.amount(row) if callable(spec.amount) else row.number(spec.amount)
+    for name in ("company_name", "first_name", "last_name", "approval_status", "transaction_type"):
+        if name in row:
+            fields[name] = row.text(name)
+    for name, other in (("email", "email_ids"), ("phone", "contact_no")):
+        if name in row or other in row:
+            fields[name] = row.first_truthy(name, other)
+    return fields
+
+
+def _coerced(row: Columns, name: str, rule: str) -> Sql:
     if rule == "date":
         return row.date(name)
-    if rule == "double":
-        return row.number(name)
-    return row.text(name)
+    return row.number(name) if rule == "double" else row.text(name)
 
 
-def _reject_reason(row: Columns, spec: TableSpec, date: str | None) -> Column:
+def _reject_reason(row: Columns, spec: TableSpec, date: str | None) -> Sql:
     """Why the store would refuse the row; checks that the column types rule out are left out."""
-    reason = F.when(row["id"].isNull(), F.lit("null_id"))
-    if date and (bad := row.bad_date(date)) is not None:
-        reason = reason.when(bad, F.lit("bad_date:date"))
-    for f in PASS_THROUGH:
-        if f.rule == "date" and (bad := row.bad_date(f.name)) is not None:
-            reason = reason.when(bad, F.lit(f"bad_date:{f.name}"))
+    dates = ([("date", date)] if date else []) + [(f.name, f.name) for f in PASS_THROUGH if f.rule == "date"]
+    checks = [(f"{row['id']} is null", "null_id")]
+    checks += [(bad, f"bad_date:{field}") for field, name in dates if (bad := row.bad_date(name))]
     if isinstance(spec.amount, str) and spec.amount in row:
-        unreadable = row[spec.amount].isNotNull() & row.number(spec.amount).isNull()
-        reason = reason.when(unreadable, F.lit("bad_amount"))
-    return reason
-
-
-def _amount(row: Columns, amount: str | text.Builder | None) -> Column:
-    if callable(amount):
-        return amount(row)
-    return row.number(amount) if amount else F.lit(None).cast("double")
+        checks.append((f"({row[spec.amount]} is not null and {row.number(spec.amount)} is null)", "bad_amount"))
+    return f"case {' '.join(f'when {bad} then {quoted(why)}' for bad, why in checks)} end"

@@ -73,7 +73,7 @@ def embedder(make_provider: Callable[[], Provider]) -> Callable[[Column], Column
 
 def embed_documents(documents: DataFrame, make_provider: Callable[[], Provider], reason: str = "reason") -> DataFrame:
     """Fill ``embedding`` from title and text; refused rows are not sent to the provider."""
-    wanted = embed_input(F.col("title"), F.col("text_content"))
+    wanted = embed_input("title", "text_content")
     if reason in documents.columns:
-        wanted = F.when(F.col(reason).isNull(), wanted)
-    return documents.withColumn("embedding", embedder(make_provider)(wanted))
+        wanted = f"if({reason} is null, {wanted}, null)"
+    return documents.withColumn("embedding", embedder(make_provider)(F.expr(wanted)))

@@ -24,18 +24,11 @@ def next_seq() -> int:
     return time.time_ns() // 1000 * 2
 
 
-def as_changes(rows: DataFrame, kind, seq: int) -> DataFrame:
-    """Rows in the stored layout; fields a row does not have are null."""
-    cells = []
-    for f in CHANGE_SCHEMA.fields:
-        if f.name in ("kind", "seq"):
-            continue
-        cell = F.col(f.name) if f.name in rows.columns else F.lit(None)
-        cells.append(cell.cast(f.dataType).alias(f.name))
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    number = F.when(kind.isin(PUT, REJECT), F.lit(seq + 1)).otherwise(F.lit(seq))
-    laid_out = rows.select(*cells, kind.alias("kind"), number.cast("long").alias("seq"))
-    return laid_out.select(*CHANGE_SCHEMA.fieldNames())
+def as_changes(rows: DataFrame, kind: str, seq: int) -> DataFrame:
+    """Rows in the stored layout, their kind a SQL expression; fields a row does not have are null."""
+    given = [f"`{c}`" for c in rows.columns if c in CHANGE_SCHEMA.names and c not in ("kind", "seq")]
+    number = f"if(({kind}) in ('{PUT}', '{REJECT}'), {seq + 1}L, {seq}L)"
+    return rows.selectExpr(*given, f"{kind} as kind", f"{number} as seq").to(CHANGE_SCHEMA)
 
 
 def current_documents(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import registry
@@ -24,8 +24,8 @@ log = logging.getLogger(__name__)
 UPSERT, FULL_REINDEX, RECREATE = "upsert", "full_reindex", "recreate"
 
 
-def put_or_reject() -> Column:
-    return F.when(F.col(REASON).isNull(), PUT).otherwise(REJECT)
+#: A checked row is put, or recorded as refused.
+PUT_OR_REJECT = f"if({REASON} is null, '{PUT}', '{REJECT}')"
 
 
 def table_changes(
@@ -42,13 +42,13 @@ def table_changes(
         docs = embed_documents(docs, make_provider)
     if dimension is not None:
         docs = with_vector_check(docs, dimension)
-    return as_changes(docs, put_or_reject(), seq)
+    return as_changes(docs, PUT_OR_REJECT, seq)
 
 
 def delete_scope(spark: SparkSession, kind: str, seq: int, scopes: Sequence[Mapping[str, str]]) -> DataFrame:
     """Delete rows for whole types or tenants: one row per scope, from configuration."""
     rows = [(s["client_id"], s.get("module"), s.get("doc_type")) for s in scopes]
-    return as_changes(spark.createDataFrame(rows, "client_id string, module string, doc_type string"), kind, seq)
+    return as_changes(spark.createDataFrame(rows, "client_id string, module string, doc_type string"), f"'{kind}'", seq)
 
 
 def sync(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
-from ..functions.columns import Columns
+from ..functions.columns import Columns, Sql
 
 #: Gives a table's rows; every frame carries ``client_id``.
 Source = Callable[[str], DataFrame]
@@ -70,9 +70,8 @@ class TableSpec:
 
 def live(rows: DataFrame) -> DataFrame:
     """Rows not soft-deleted; a null marker counts as not live."""
-    if isinstance(rows.schema["is_deleted"].dataType, T.BooleanType):
-        return rows.filter(~F.col("is_deleted"))
-    return rows.filter(F.col("is_deleted") == 0)
+    boolean = isinstance(rows.schema["is_deleted"].dataType, T.BooleanType)
+    return rows.filter("not is_deleted" if boolean else "is_deleted = 0")
 
 
 def source_rows(spec: TableSpec, source: Source, keys: DataFrame | None = None) -> DataFrame:
@@ -86,28 +85,30 @@ def source_rows(spec: TableSpec, source: Source, keys: DataFrame | None = None)
         raise ValueError(f"{spec.table}: source lacks {', '.join(missing)}")
     if keys is not None:
         rows = rows.join(keys, ["client_id", "id"], "left_semi")
-    own = Columns(rows)
-    computed: dict[str, Column] = {alias: own[name] for alias, name in spec.copies.items()}
-    base = rows.columns
+    own, base = Columns(rows), rows.columns
+    computed: dict[str, Sql] = {alias: own[name] for alias, name in spec.copies.items()}
     for n, lk in enumerate(spec.lookups):
         prefix = f"_{n}_"
         rows = _join(rows, lk, _looked_up(source(lk.table), lk, prefix), prefix)
-        computed.update({name: F.col(prefix + name) for name in lk.adds})
+        computed.update({name: prefix + name for name in lk.adds})
         if lk.company == TAKE:
-            computed["company_id"] = F.col(prefix + "company_id")
+            computed["company_id"] = prefix + "company_id"
         elif lk.company == FILL:
-            computed["company_id"] = F.coalesce(own[lk.company_from], F.col(prefix + "company_id"))
-    return rows.select(*[F.col(f"`{c}`") for c in base if c not in computed], *[c.alias(n) for n, c in computed.items()])
+            computed["company_id"] = f"coalesce({own[lk.company_from]}, {prefix}company_id)"
+    if not computed:
+        return rows
+    kept = [f"`{c}`" for c in base if c not in computed]
+    return rows.selectExpr(*kept, *[f"{sql} as `{name}`" for name, sql in computed.items()])
 
 
 def _looked_up(table: DataFrame, lk: Lookup, prefix: str) -> DataFrame:
     """Key, tenant and added columns of a looked-up table, named apart; built before the join."""
     there = Columns(table)
-    cells = [there["client_id"].alias(prefix + "client"), there[lk.on[1]].alias(prefix + "key")]
-    cells += [build(there).alias(prefix + name) for name, build in lk.adds.items()]
+    cells = {"client": there["client_id"], "key": there[lk.on[1]]}
+    cells |= {name: build(there) for name, build in lk.adds.items()}
     if lk.company:
-        cells.append(there["company_id"].alias(prefix + "company_id"))
-    return table.select(*cells)
+        cells["company_id"] = there["company_id"]
+    return table.selectExpr(*[f"{sql} as `{prefix}{name}`" for name, sql in cells.items()])
 
 
 def _join(rows: DataFrame, lk: Lookup, found: DataFrame, prefix: str) -> DataFrame:
@@ -118,17 +119,17 @@ def _join(rows: DataFrame, lk: Lookup, found: DataFrame, prefix: str) -> DataFra
     left join, which cannot be split there; as an inner join plus the rows it
     leaves over, either side can be.
     """
-    here, key = F.col(f"`{lk.on[0]}`"), F.col(prefix + "key")
-    tenant = F.col("client_id") == F.col(prefix + "client")
+    here, there = f"`{lk.on[0]}`", f"{prefix}key"
+    tenant = f"client_id = {prefix}client"
     if lk.how == "inner" or lk.many:
-        on = tenant & (here == key)
+        on = F.expr(f"{tenant} and {here} = {there}")
         matched = rows.join(found, on, "inner")
         if lk.how == "left":
-            keys = found.select(prefix + "client", prefix + "key").distinct()
+            keys = found.select(prefix + "client", there).distinct()
             matched = matched.unionByName(rows.join(keys, on, "left_anti"), allowMissingColumns=True)
     else:
-        kind = rows.schema[lk.on[0]].dataType
-        spread = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast(kind)
-        on = tenant & (F.coalesce(here, spread) == key) & here.isNotNull()
+        kind = rows.schema[lk.on[0]].dataType.simpleString()
+        spread = f"cast(pmod(xxhash64(id), 1073741824L) as {kind})"
+        on = F.expr(f"{tenant} and coalesce({here}, {spread}) = {there} and {here} is not null")
         matched = rows.join(found, on, "left")
-    return matched.drop(prefix + "client", prefix + "key")
+    return matched.drop(prefix + "client", there)

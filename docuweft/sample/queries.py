@@ -18,7 +18,7 @@ from ..operators.store import as_changes, current_documents
 from ..operators.sync import delete_scope, table_changes
 from ..plans.registry import BASE, resolve_registry
 from ..plans.spec import source_rows
-from ..schema import DEL_KEY, DEL_TENANT, DEL_TYPE, PUT
+from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
 from ..session import configure, written
@@ -81,13 +81,13 @@ def doc_prose(t):
 @query
 def text_generic(t):
     rows = t.parties().drop("client_id")
-    return rows.select("id", text.generic_text(Columns(rows)).alias("text"))
+    return rows.selectExpr("id", f"{text.generic_text(Columns(rows))} as text")
 
 
 @query
 def extract_amount(t):
     rows = t.sl_sales_orders()
-    return rows.select("id", text.extract_amount(Columns(rows)).alias("amount"))
+    return rows.selectExpr("id", f"{text.extract_amount(Columns(rows))} as amount")
 
 
 def _texts(t: Tables) -> DataFrame:
@@ -113,39 +113,36 @@ def _texts(t: Tables) -> DataFrame:
 @query
 def coerce_float(t):
     rows = _texts(t)
-    return rows.select("id", Columns(rows).number("number").alias("value"))
+    return rows.selectExpr("id", f"{Columns(rows).number('number')} as value")
 
 
 @query
 def coerce_str(t):
     rows = _texts(t)
     row = Columns(rows)
-    return rows.select(
-        "id", row.text("flag").alias("flag"), row.text("price").alias("price"), row.text("role").alias("role"),
-        text.id_reference(row).alias("reference"),
-    )
+    cells = [f"{row.text(c)} as {c}" for c in ("flag", "price", "role")]
+    return rows.selectExpr("id", *cells, f"{text.id_reference(row)} as reference")
 
 
 @query
 def normalise_date(t):
     rows = _texts(t)
     row = Columns(rows)
-    return rows.select("id", row.date("day").alias("day"), row.bad_date("day").alias("bad"), row.date("moment").alias("moment"))
+    return rows.selectExpr("id", f"{row.date('day')} as day", f"{row.bad_date('day')} as bad", f"{row.date('moment')} as moment")
 
 
 @query
 def resolve_party_name(t):
     rows = t.parties()
-    return rows.select("id", text.resolve_party_name(Columns(rows)).alias("party_name"))
+    return rows.selectExpr("id", f"{text.resolve_party_name(Columns(rows))} as party_name")
 
 
 @query
 def truthy_or(t):
     rows = t.parties()
     row = Columns(rows)
-    return rows.select(
-        "id", row.first_truthy("email", "email_ids").alias("email"), row.first_truthy("first_name", "last_name").alias("first")
-    )
+    email, first = row.first_truthy("email", "email_ids"), row.first_truthy("first_name", "last_name")
+    return rows.selectExpr("id", f"{email} as email", f"{first} as first")
 
 
 @query
@@ -156,20 +153,20 @@ def doc_id(t):
 @query
 def embed_input(t):
     docs = docs_of(t, "parties")
-    blank = F.when(F.col("party_type") != "BUILDING", F.col("title"))
-    return docs.select("id", text.embed_input(blank, F.col("text_content")).alias("embed_input"))
+    some = "if(party_type <> 'BUILDING', title, null)"
+    return docs.selectExpr("id", f"{text.embed_input(some, 'text_content')} as embed_input")
 
 
 @query
 def sql_party_name(t):
     rows = t.parties()
-    return rows.select("id", text.sql_party_name(Columns(rows)).alias("party_name"))
+    return rows.selectExpr("id", f"{text.sql_party_name(Columns(rows))} as party_name")
 
 
 @query
 def sql_concat_null(t):
     rows = t.employees()
-    return rows.select("id", text.sql_employee_name(Columns(rows)).alias("employee_name"))
+    return rows.selectExpr("id", f"{text.sql_employee_name(Columns(rows))} as employee_name")
 
 
 @query
@@ -269,13 +266,13 @@ def dimension_drift(t):
 
 
 def _stored(t: Tables) -> DataFrame:
-    return as_changes(docs_of(t, "sl_sales_orders"), PUT, 0)
+    return as_changes(docs_of(t, "sl_sales_orders"), "'put'", 0)
 
 
 def _incoming(t: Tables, seq: int = 10) -> DataFrame:
     """Open orders come in again with a new status."""
     open_ = docs_of(t, "sl_sales_orders").filter(F.col("status") == "O")
-    return as_changes(open_.withColumn("status", F.lit("X")), PUT, seq)
+    return as_changes(open_.withColumn("status", F.lit("X")), "'put'", seq)
 
 
 def _state(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
@@ -302,7 +299,7 @@ def recreate_indices(t):
 @query
 def delete_by_source_id(t):
     closed = docs_of(t, "sl_sales_orders").filter(F.col("status") == "F")
-    gone = as_changes(closed.select("client_id", "module", "doc_type", "source_id"), DEL_KEY, 20)
+    gone = as_changes(closed.select("client_id", "module", "doc_type", "source_id"), "'del_key'", 20)
     return _state(_stored(t).unionByName(gone).unionByName(_incoming(t, 30)))
 
 
@@ -311,7 +308,7 @@ def upsert_apply(t):
     """Change events applied over a base of stored documents, counted per index."""
     events = cdc.classify(_parsed(t), _tables(t))
     changes = cdc.apply_changes(events, t.source(), _tables(t), 100)
-    base = as_changes(docs_of(t, "parties"), PUT, 0).drop("kind", "reason")
+    base = as_changes(docs_of(t, "parties"), "'put'", 0).drop("kind", "reason")
     live = current_documents(changes, base)
     index = index_name(F.col("client_id"), F.col("module")).alias("index_name")
     return live.groupBy(index, "seq").agg(F.count("*").alias("documents"), F.sum("source_id").alias("ids"))
