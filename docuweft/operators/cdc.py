@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry, resolve_registry
-from ..plans.spec import Source, TableSpec, source_rows
+from ..plans.spec import FEW_KEYS, Keys, Source, TableSpec, source_rows
 from ..schema import DEL_KEY
+from ..session import broadcast_if_small, local_frame, written
 from .documents import checked_documents, checked_narrow_documents, with_vector_check
 from .embedding import Provider, embed_documents
+from .routing import route
 from .store import as_changes
 from .sync import PUT_OR_REJECT
 
@@ -41,8 +43,7 @@ def parse_events(raw: DataFrame, streams: DataFrame) -> DataFrame:
     def part(path: str) -> Column:
         return F.when(wrapped, F.col(f"_m.payload.{path}")).otherwise(F.col(f"_m.{path}"))
 
-    owners = streams.select("stream", "client_id")
-    events = decoded.join(owners, "stream", "left").select(
+    events = route(decoded, streams).select(
         "stream", "msg_id", "value", "client_id",
         part("source.table").alias("table"),
         F.coalesce(part("op"), F.lit("c")).alias("op"),
@@ -61,7 +62,7 @@ def parse_events(raw: DataFrame, streams: DataFrame) -> DataFrame:
 
 def classify(events: DataFrame, tables: DataFrame) -> DataFrame:
     """What to do with each event: delete, upsert, skip or dead, the row id it is about, and why."""
-    known = tables.select("client_id", "table", F.lit(True).alias("_known"))
+    known = broadcast_if_small(tables.select("client_id", "table", F.lit(True).alias("_known")))
     joined = events.join(known, ["client_id", "table"], "left")
     is_delete = F.col("op") == "d"
     row_id = F.when(is_delete, F.col("before_id")).otherwise(F.col("after_id"))
@@ -91,25 +92,22 @@ def changed_keys(classified: DataFrame, action: str) -> DataFrame:
     return keys.select("client_id", "table", F.col("row_id").alias("id")).distinct()
 
 
-def refetch(spec: TableSpec, source: Source, keys: DataFrame) -> DataFrame:
-    """Current rows of changed keys; fewer ids than a bound go to a database as an IN list."""
-    find = getattr(source, "lookup", None)
-    if find is None:
-        return source_rows(spec, source, keys)
-    return source_rows(spec, lambda t: find(t, keys) if t == spec.table else source(t))
+def refetch(spec: TableSpec, source: Source, keys: Keys) -> DataFrame:
+    """Current rows of changed keys."""
+    return source_rows(spec, source, keys)
 
 
 def table_key_changes(
     spec: TableSpec,
     source: Source,
-    keys: DataFrame,
+    keys: Keys,
     seq: int,
     make_provider: Callable[[], Provider] | None = None,
     dimension: int | None = None,
     narrow: bool = False,
     replace_fanout: bool = False,
 ) -> DataFrame:
-    """Changes for upserted keys (client_id, id): their current documents, or a delete where no row is live.
+    """Changes for upserted keys: their current documents, or a delete where no row is live.
 
     Found and missing keys come from one read, so they cannot disagree.  A
     junction table may hold very many rows of one key, which a left join from
@@ -118,7 +116,7 @@ def table_key_changes(
     """
     build = checked_narrow_documents if narrow else checked_documents
     docs = build(refetch(spec, source, keys), spec)
-    wanted = keys.select("client_id", F.col("id").alias("source_id"))
+    wanted = keys.frame.select("client_id", F.col("id").alias("source_id"))
     if replace_fanout:
         cleared = wanted
     elif spec.junction:
@@ -153,26 +151,55 @@ def apply_changes(
     Deletes carry a lower sequence number than puts, so a key that is both
     deleted and upserted ends as its current row says.
     """
-    deletes = changed_keys(classified, DELETE).join(tables, ["client_id", "table"])
+    deletes, upserts = batch_keys(classified, resolve)
     changes = as_changes(
-        deletes.select("client_id", "module", F.col("table").alias("doc_type"), F.col("id").alias("source_id")), _DELETED, seq
+        deletes.join(broadcast_if_small(tables), ["client_id", "table"]).select(
+            "client_id", "module", F.col("table").alias("doc_type"), F.col("id").alias("source_id")
+        ), _DELETED, seq,
     )
-    upserts = changed_keys(classified, UPSERT)
-    # Which tenants changed which tables: at most tenants times tables rows.
+    for spec, keys in upserts:
+        changes = changes.unionByName(table_key_changes(spec, source, keys, seq, **options))
+    return changes
+
+
+def batch_keys(
+    classified: DataFrame, resolve: Callable[[str], Registry] = resolve_registry
+) -> tuple[DataFrame, list[tuple[TableSpec, Keys]]]:
+    """Deleted keys (client_id, table, id), and per spec the upserted ones; the events are decoded once.
+
+    The few keys of a normal batch are listed on the driver; those of a large
+    one are written to the shared folder.
+    """
+    wanted = classified.filter(F.col("action").isin(DELETE, UPSERT))
+    keys = wanted.select("action", "client_id", "table", F.col("row_id").alias("id")).distinct()
+    spark, found = classified.sparkSession, keys.limit(FEW_KEYS + 1).collect()
+    if len(found) <= FEW_KEYS:
+        layout = "client_id string, table string, id long"
+        deletes = local_frame(spark, [tuple(r)[1:] for r in found if r["action"] == DELETE], layout)
+        listed: dict[tuple[str, int], tuple[TableSpec, list]] = {}
+        for r in found:
+            if r["action"] == UPSERT:
+                spec = resolve(r["client_id"])[r["table"]]
+                listed.setdefault((r["table"], id(spec)), (spec, []))[1].append((r["client_id"], r["id"]))
+        return deletes, [(spec, Keys.listed(spark, rows)) for spec, rows in listed.values()]
+    keys = written(keys, "keys")
+    upserts = keys.filter(F.col("action") == UPSERT)
+    # At most tenants times tables rows.
     touched: dict[tuple[str, int], tuple[TableSpec, list[str]]] = {}
-    for row in upserts.select("client_id", "table").distinct().collect():
-        spec = resolve(row["client_id"])[row["table"]]
-        touched.setdefault((row["table"], id(spec)), (spec, []))[1].append(row["client_id"])
+    for r in upserts.select("client_id", "table").distinct().collect():
+        spec = resolve(r["client_id"])[r["table"]]
+        touched.setdefault((r["table"], id(spec)), (spec, []))[1].append(r["client_id"])
+    many = []
     for spec, client_ids in touched.values():
-        keys = upserts.filter((F.col("table") == spec.table) & F.col("client_id").isin(client_ids))
-        changes = changes.unionByName(table_key_changes(spec, source, keys.select("client_id", "id"), seq, **options))
-    return changes
+        mine = upserts.filter((F.col("table") == spec.table) & F.col("client_id").isin(client_ids))
+        many.append((spec, Keys(broadcast_if_small(mine.select("client_id", "id")))))
+    return keys.filter(F.col("action") == DELETE).drop("action"), many
 
 
-def soft_deleted(spec: TableSpec, source: Source, keys: DataFrame) -> DataFrame:
+def soft_deleted(spec: TableSpec, source: Source, keys: Keys) -> DataFrame:
     """Changed keys that have no live row any more."""
     found = source_rows(spec, source, keys).select("client_id", "id").distinct()
-    return keys.join(found, ["client_id", "id"], "left_anti")
+    return keys.frame.join(found, ["client_id", "id"], "left_anti")
 
 
 def dead_letters(messages: DataFrame, reason: Column | str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import keys, text
 from ..functions.columns import Columns, Sql, quoted
-from ..plans.spec import Source, TableSpec, source_rows
+from ..plans.spec import Keys, Source, TableSpec, source_rows
 from ..schema import DOC_FIELDS, NARROW_FIELDS, PASS_THROUGH
 
 REASON = "reason"
@@ -44,7 +44,7 @@ def rejects(checked: DataFrame) -> DataFrame:
     return checked.filter(f"{REASON} is not null").select("client_id", "doc_type", "source_id", "id", REASON)
 
 
-def build_documents(spec: TableSpec, source: Source, keys: DataFrame | None = None) -> DataFrame:
+def build_documents(spec: TableSpec, source: Source, keys: Keys | None = None) -> DataFrame:
     return accepted(checked_documents(source_rows(spec, source, keys), spec))
 
 

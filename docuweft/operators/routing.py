@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import index_name, stream_key
 from ..plans.registry import Registry, resolve_registry
+from ..session import broadcast_if_small, local_frame
 
 # Fixed value: what a tenant id looks like.
 CLIENT_ID_PATTERN = "^[a-z][a-z0-9_]{1,30}$"
@@ -20,7 +21,7 @@ def known_tables(
 ) -> DataFrame:
     """(client_id, table, module) of every table a tenant indexes: tenants times tables, configuration only."""
     rows = [(c, t, s.module) for c in client_ids for t, s in resolve(c).items()]
-    return spark.createDataFrame(rows, "client_id string, table string, module string")
+    return local_frame(spark, rows, "client_id string, table string, module string")
 
 
 def stream_map(tenants: DataFrame, tables: DataFrame) -> DataFrame:
@@ -34,8 +35,12 @@ def stream_map(tenants: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def route(events: DataFrame, streams: DataFrame) -> DataFrame:
-    """Events with the tenant of their stream; a null client_id where no tenant owns it."""
-    owners = streams.select("stream", "client_id")
+    """Events with the tenant of their stream; a null client_id where no tenant owns it.
+
+    The map is configuration and goes to the events, so that a busy stream is
+    not gathered; a map too large for that is joined by a shuffle that splits.
+    """
+    owners = broadcast_if_small(streams.select("stream", "client_id"))
     return events.join(owners, "stream", "left")
 
 

@@ -34,10 +34,9 @@ def table_changes(
     seq: int,
     make_provider: Callable[[], Provider] | None = None,
     dimension: int | None = None,
-    keys: DataFrame | None = None,
 ) -> DataFrame:
     """A table's rows as put and reject rows, with vectors where a provider is given."""
-    docs = checked_documents(source_rows(spec, source, keys), spec)
+    docs = checked_documents(source_rows(spec, source), spec)
     if make_provider is not None:
         docs = embed_documents(docs, make_provider)
     if dimension is not None:

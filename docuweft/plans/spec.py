@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
-from ..functions.columns import Columns, Sql
+from ..functions.columns import Columns, Sql, quoted
+from ..session import local_frame
 
 #: Gives a table's rows; every frame carries ``client_id``.
 Source = Callable[[str], DataFrame]
@@ -74,22 +75,60 @@ def live(rows: DataFrame) -> DataFrame:
     return rows.filter("not is_deleted" if boolean else "is_deleted = 0")
 
 
-def source_rows(spec: TableSpec, source: Source, keys: DataFrame | None = None) -> DataFrame:
+#: Up to this many changed keys are known to the driver and pushed to the scan.
+FEW_KEYS = 10_000
+
+
+@dataclass(frozen=True)
+class Keys:
+    """Changed row keys (client_id, id): a frame, and the ids per tenant while they are few."""
+
+    frame: DataFrame
+    few: Mapping[str, tuple[int, ...]] | None = None
+
+    @staticmethod
+    def of(frame: DataFrame) -> Keys:
+        found = frame.select("client_id", "id").limit(FEW_KEYS + 1).collect()
+        return Keys.listed(frame.sparkSession, found) if len(found) <= FEW_KEYS else Keys(frame)
+
+    @staticmethod
+    def listed(spark: SparkSession, found: Sequence[tuple[str, int]]) -> Keys:
+        ids: dict[str, list[int]] = {}
+        for client_id, row_id in found:
+            ids.setdefault(client_id, []).append(row_id)
+        frame = local_frame(spark, [tuple(r) for r in found], "client_id string, id long")
+        return Keys(frame, {c: tuple(sorted(i)) for c, i in ids.items()})
+
+    def only(self, rows: DataFrame) -> DataFrame:
+        """The rows of these keys; few keys become a filter the scan can skip files by."""
+        if self.few is None:
+            return rows.join(self.frame, ["client_id", "id"], "left_semi")
+        wanted = [f"(client_id = {quoted(c)} and id in ({', '.join(map(str, i))}))" for c, i in self.few.items()]
+        return rows.filter(" or ".join(wanted) or "false")
+
+
+def source_rows(spec: TableSpec, source: Source, keys: Keys | None = None) -> DataFrame:
     """The spec's rows: live, joined, with copies and computed columns replacing their namesakes.
 
-    ``keys`` (client_id, id) keeps only those rows, before any join is made.
+    ``keys`` keeps only those rows, before any join is made.  While they are
+    few, looked-up tables are cut to the rows wanted too, so that a handful of
+    changes does not shuffle a whole table.
     """
     rows = live(source(spec.table))
     missing = [c for c in spec.source_columns() if c not in rows.columns]
     if missing:
         raise ValueError(f"{spec.table}: source lacks {', '.join(missing)}")
     if keys is not None:
-        rows = rows.join(keys, ["client_id", "id"], "left_semi")
+        rows = keys.only(rows)
     own, base = Columns(rows), rows.columns
     computed: dict[str, Sql] = {alias: own[name] for alias, name in spec.copies.items()}
     for n, lk in enumerate(spec.lookups):
         prefix = f"_{n}_"
-        rows = _join(rows, lk, _looked_up(source(lk.table), lk, prefix), prefix)
+        found = _looked_up(source(lk.table), lk, prefix)
+        if keys is not None and keys.few is not None:
+            wanted = rows.select(F.col("client_id").alias(prefix + "client"), F.col(f"`{lk.on[0]}`").alias(prefix + "key"))
+            found = found.join(F.broadcast(wanted.distinct()), [prefix + "client", prefix + "key"], "left_semi")
+        rows = _join(rows, lk, found, prefix)
         computed.update({name: prefix + name for name in lk.adds})
         if lk.company == TAKE:
             computed["company_id"] = prefix + "company_id"

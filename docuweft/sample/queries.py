@@ -17,7 +17,7 @@ from ..operators.embedding import HashingProvider, embed_documents
 from ..operators.store import as_changes, current_documents
 from ..operators.sync import delete_scope, table_changes
 from ..plans.registry import BASE, resolve_registry
-from ..plans.spec import source_rows
+from ..plans.spec import Keys, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
@@ -307,7 +307,7 @@ def delete_by_source_id(t):
 def upsert_apply(t):
     """Change events applied over a base of stored documents, counted per index."""
     events = cdc.classify(_parsed(t), _tables(t))
-    changes = cdc.apply_changes(events, t.source(), _tables(t), 100)
+    changes = written(cdc.apply_changes(events, t.source(), _tables(t), 100), "changes")
     base = as_changes(docs_of(t, "parties"), "'put'", 0).drop("kind", "reason")
     live = current_documents(changes, base)
     index = index_name(F.col("client_id"), F.col("module")).alias("index_name")
@@ -362,8 +362,8 @@ def _parsed(t: Tables) -> DataFrame:
     return cdc.parse_events(t.raw_events(), _streams(t))
 
 
-def _keys(t: Tables) -> DataFrame:
-    return cdc.changed_keys(cdc.classify(_parsed(t), _tables(t)), cdc.UPSERT).select("client_id", "id")
+def _keys(t: Tables) -> Keys:
+    return Keys.of(cdc.changed_keys(cdc.classify(_parsed(t), _tables(t)), cdc.UPSERT).select("client_id", "id"))
 
 
 @query
@@ -461,7 +461,7 @@ def tenant_isolation(t):
 
 
 def _doc_terms(t: Tables, analyzer: Analyzer) -> DataFrame:
-    docs = t.wide("documents").select("doc_id", "text")
+    docs = t.raw("documents").select("doc_id", "text")
     return exploded(counted(analyzed(docs, "text", analyzer).drop("text")))
 
 
@@ -489,11 +489,11 @@ def expand_synonyms(t):
 
 @query
 def term_stats(t):
-    return bm25.term_stats(bm25.term_index(t.wide("documents"), "text", STANDARD, "doc_id"))
+    return bm25.term_stats(bm25.term_index(t.raw("documents"), "text", STANDARD, "doc_id"))
 
 
 def _index(t: Tables, analyzer: Analyzer) -> DataFrame:
-    return written(bm25.term_index(t.wide("documents"), "text", analyzer, "doc_id"), "terms")
+    return written(bm25.term_index(t.raw("documents"), "text", analyzer, "doc_id"), "terms")
 
 
 def _questions(t: Tables) -> DataFrame:
@@ -511,7 +511,7 @@ def bm25_domain(t):
 
 
 def _vectors(t: Tables) -> DataFrame:
-    return t.wide("embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return t.raw("embeddings").select(F.col("vec_id").alias("id"), "embedding")
 
 
 @query
@@ -556,7 +556,7 @@ def search_exact(t):
 
 @query
 def search_highlight(t):
-    docs = t.wide("documents").select(
+    docs = t.raw("documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("text_content")
     )
     words = F.array(*[F.lit(w) for w in ("the", "und", "les", "src3")])

@@ -13,6 +13,7 @@ from ..plans.spec import Source
 from ..session import spread
 
 TENANTS = ("spar", "dev_env")
+FACTS = ("orders", "lineitem", "events", "documents", "embeddings")
 
 
 def pick(c: str, options: dict[str, str | None]) -> Column:
@@ -30,11 +31,9 @@ class Tables:
         self.spark, self._dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
-
-    def wide(self, name: str) -> DataFrame:
-        """A given table over all cores, for text and vector work."""
-        return spread(self.raw(name))
+        """A given table; the growing ones over all cores even where they are a single file."""
+        table = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return spread(table) if name in FACTS else table
 
     def source(self) -> Source:
         return lambda table: getattr(self, table)()

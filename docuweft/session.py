@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of driver rows whose size the optimizer knows, so that it broadcasts it by itself."""
+    names = [c.split()[0] for c in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
+
+
 def is_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
 

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..plans.spec import Source, live
 
-#: Up to this many changed ids are pushed to a database as an IN list.
-PUSHED_IDS = 1000
-
-
 def frame_source(frames: Mapping[str, DataFrame], client_ids: Sequence[str] | None = None) -> Source:
     """Tables held as frames with a ``client_id`` column."""
 
@@ -43,7 +39,11 @@ def lake_source(spark: SparkSession, root: str, *, client_ids: Sequence[str]) ->
 
 
 class JdbcSource:
-    """Tables of one database per tenant, each read in parallel ranges of ``id``."""
+    """Tables of one database per tenant, read in parallel ranges of ``id``.
+
+    A stream reads few rows at a time, by an IN list the database answers from
+    its index; it wants one partition.
+    """
 
     def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]], partitions: int = 32):
         self._spark, self._options, self._partitions = spark, options, partitions
@@ -51,26 +51,14 @@ class JdbcSource:
     def __call__(self, table: str) -> DataFrame:
         return self._union({c: self._ranges(c, table) for c in self._options})
 
-    def lookup(self, table: str, keys: DataFrame) -> DataFrame:
-        """The rows of changed keys: few keys go to the database as an IN list."""
-        few = keys.limit(PUSHED_IDS + 1).collect()
-        if len(few) > PUSHED_IDS:
-            return self(table).join(keys, ["client_id", "id"], "left_semi")
-        wanted: dict[str, list[int]] = {}
-        for row in few:
-            wanted.setdefault(row["client_id"], []).append(row["id"])
-        frames = {
-            c: self._reader(c).option("dbtable", table).load().filter(F.col("id").isin(ids))
-            for c, ids in wanted.items() if c in self._options
-        }
-        return self._union(frames) if frames else self(table).limit(0)
-
     def _reader(self, client_id: str):
         return self._spark.read.format("jdbc").options(fetchsize="10000", **self._options[client_id])
 
     def _ranges(self, client_id: str, table: str) -> DataFrame:
-        ends = self._reader(client_id).option("query", f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {table}").load().first()
         reader = self._reader(client_id).option("dbtable", table)
+        if self._partitions == 1:
+            return reader.load()
+        ends = self._reader(client_id).option("query", f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {table}").load().first()
         if ends["lo"] is not None:
             reader = reader.options(
                 partitionColumn="id", lowerBound=ends["lo"], upperBound=ends["hi"] + 1, numPartitions=self._partitions
