@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 
 from ..functions.columns import WHITESPACE
+from ..schema import DOC_FIELDS
+from ..search.analyze import STOP_WORDS
+from ..search.stemming import STEP_2, STEP_3, STEP_4
 
 W = f"'{WHITESPACE}'"
 
@@ -358,6 +361,110 @@ VIEWS |= {
 }
 
 
+# Stems of the distinct words, one step a view, with the usual regular expressions for the
+# measure of a word: consonant runs C and vowel runs V.
+C, V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+HAS_VOWEL, SHORT = f"^(?:{C}[aeiouy]|[aeiou])", f"^{C}[aeiouy][^aeiouwxy]$"
+SOME, ONE, MORE = (f"{HAS_VOWEL}[aeiou]*{C}{rest}" for rest in ("", f"({V})?$", f"{V}{C}"))
+
+
+def cut(suffix: str, n: int | None = None) -> str:
+    return f"left(w, length(w) - {len(suffix) if n is None else n})"
+
+
+def replaced(rules: tuple[tuple[str, str], ...]) -> str:
+    cases = [f"when w like '%{a}' then case when regexp_matches({cut(a)}, '{SOME}') then {cut(a)} || '{b}' else w end" for a, b in rules]
+    return f"case {' '.join(cases)} else w end"
+
+
+def dropped() -> str:
+    cases = []
+    for suffix in STEP_4:
+        stem = cut(suffix, 3 if suffix in ("sion", "tion") else None)
+        cases.append(f"when w like '%{suffix}' then case when regexp_matches({stem}, '{MORE}') then {stem} else w end")
+    return f"case {' '.join(cases)} else w end"
+
+
+def stems(words: str) -> dict[str, str]:
+    """Views turning the distinct words of a view into p_stems (word, w)."""
+    return {
+        "p_1a": f"""select word, case when length(word) < 3 then word when w like '%sses' or w like '%ies' then {cut('', 2)}
+            when w like '%s' and w not like '%ss' then {cut('', 1)} else w end w from (select distinct term word, term w from {words})""",
+        "p_1b": f"""select word, w old, case when w like '%eed' then null when w like '%ed' and regexp_matches({cut('ed')}, '{HAS_VOWEL}') then {cut('ed')}
+            when w like '%ing' and regexp_matches({cut('ing')}, '{HAS_VOWEL}') then {cut('ing')} end w from p_1a""",
+        "p_1bb": f"""select word, case when length(word) < 3 then old
+            when w is null then case when old like '%eed' and regexp_matches(left(old, length(old) - 3), '{SOME}') then left(old, length(old) - 1) else old end
+            when regexp_matches(w, '(at|bl|iz)$') then w || 'e'
+            when right(w, 1) = right(left(w, length(w) - 1), 1) and regexp_matches(w, '[^aeiouylsz]$') then {cut('', 1)}
+            when right(w, 1) = right(left(w, length(w) - 1), 1) and regexp_matches(w, '[lsz]$') then w
+            when regexp_matches(w, '{ONE}') and regexp_matches(w, '{SHORT}') then w || 'e' else w end w from p_1b""",
+        "p_1c": f"""select word, case when length(word) > 2 and w like '%y' and regexp_matches({cut('y')}, '{HAS_VOWEL}') then {cut('y')} || 'i' else w end w from p_1bb""",
+        "p_2": f"select word, case when length(word) < 3 then w else {replaced(STEP_2)} end w from p_1c",
+        "p_3": f"select word, case when length(word) < 3 then w else {replaced(STEP_3)} end w from p_2",
+        "p_4": f"select word, case when length(word) < 3 then w else {dropped()} end w from p_3",
+        "p_5a": f"""select word, case when length(word) > 2 and w like '%e' and (regexp_matches({cut('e')}, '{MORE}')
+            or (regexp_matches({cut('e')}, '{ONE}') and not regexp_matches({cut('e')}, '{SHORT}'))) then {cut('e')} else w end w from p_4""",
+        "p_stems": f"select word, case when length(word) > 2 and w like '%ll' and regexp_matches({cut('l')}, '{MORE}') then {cut('l')} else w end w from p_5a",
+    }
+
+
+STOPS = ", ".join(f"'{w}'" for w in sorted(STOP_WORDS))
+ENGLISH = {
+    "e_terms": "select doc_id, regexp_replace(term, '(''|’)s$', '') term from t_terms",
+    "e_words": f"select * from e_terms where term not in ({STOPS})",
+    **stems("e_words"),
+    "e_index": "select doc_id, w term, count(*) tf from e_words join p_stems on word = term group by all",
+    "e_lengths": "select doc_id, count(*) as length from e_words group by doc_id",
+}
+
+
+def domain(texts: str) -> dict[str, str]:
+    """Views giving g_index (id, length, term, tf) of texts (id, x): synonyms, stop words, stems."""
+    return {
+        "g_words": f"select id, {tokens('x')} w from ({texts})",
+        "g_places": "select id, w, unnest(generate_series(1, len(w))) pos from g_words",
+        "g_spans": """select id, pos, n, array_to_string(w[pos:pos + n - 1], ' ') phrase
+            from g_places, generate_series(1, 4) s(n) where pos + n - 1 <= len(w)""",
+        "g_matches": "select id, pos, n, phrase, g from g_spans join v_synonyms using (phrase)",
+        "g_added": """select m.id, m.pos, unnest(string_split(v.phrase, ' ')) term,
+              unnest(generate_series(0, len(string_split(v.phrase, ' ')) - 1)) off
+            from g_matches m join v_synonyms v on v.g = m.g and v.phrase <> m.phrase""",
+        "g_all": "select id, w[pos] term, pos from g_places union all select id, term, pos + off from g_added",
+        "g_kept": f"select * from g_all where term not in ({STOPS})",
+        **stems("g_kept"),
+        "g_lengths": "select id, count(distinct pos) as length from g_kept group by id",
+        "g_index": "select id, length, w term, count(*) tf from g_kept join p_stems on word = term join g_lengths using (id) group by all",
+    }
+
+
+MODULES = {
+    "account": "sales_invoices purchase_invoices payment_entries credit_notes debit_notes journal_entries parties companies"
+               " employees user budgets expense_reimbursements cash_expenses assets asset_transfers",
+    "inventory": "items warehouse_location inventory_adjustments bin_transfers stock_transfers",
+    "sales": "sl_sales_orders sl_quotation sl_delivery_orders sl_customer_returns sl_customer_return_grn sl_opportunity_parties"
+             " sl_promotions",
+    "purchase": "pr_purchase_orders pr_purchase_requests pr_rfqs pr_rfq_responses pr_purchase_order_grns pr_vras"
+                " pr_delivery_orders pr_purchase_agreements",
+    "manufacturing": "mf_work_orders mf_bom mf_build_orders mf_job_cards mf_production_plan mf_equipments mf_gate_registers",
+    "rental": "rn_cross_hire_summary rn_delivery_order_grn",
+    "document": "drive",
+}
+TABLES = ", ".join(f"('{m}', '{t}')" for m, names in MODULES.items() for t in names.split())
+SQL_TYPES = {"string": "varchar", "date": "date", "double": "double", "bigint": "bigint"}
+
+
+def every_field(have: tuple[str, ...]) -> str:
+    """All document fields but the vector, null where a table has none."""
+    fields = [f for f in DOC_FIELDS if f.name != "embedding"]
+    return ", ".join(
+        f'"{f.name}"' if f.name in have else f'null::{SQL_TYPES[f.type.simpleString()]} "{f.name}"' for f in fields
+    )
+
+
+ORDER_FIELDS = ("id", "source_id", "doc_type", "module", "company_id", "title", "reference", "status", "date", "amount",
+                "text_content", "party_name", "delivery_status", "expected_closing_date", "priority", "narration")
+
+
 def state(changes: str) -> str:
     """Newest put per id of (client_id, doc_type, source_id, id, status, seq), under deletes of the same shape."""
     return f"""
@@ -416,6 +523,7 @@ QUERIES = {
           {prose('sales opportunity', party=PARTY, stage='o.priority', narration='o.narration')} text_content
         from v_orders o left join v_parties p on p.id = o.customer_id and p.client_id = o.client_id
         where o.is_deleted = 0""",
+    "build_documents_full": f"select client_id, {every_field(ORDER_FIELDS)} from d_orders",
     "build_documents_narrow": f"""
         select client_id, id, source_id, doc_type, module, company_id, title, reference, status, date, amount, text_content,
           null::varchar party_name, approval_status, null::varchar transaction_type, p.email, null::varchar phone
@@ -481,6 +589,13 @@ QUERIES = {
         from events qualify row_number() over (partition by event_type order by event_id) <= 50""",
     "dead_letters": "select value, msg_id original_id, stream, why reason from v_actions where action = 'dead'",
     "stream_route": "select msg_id, stream, client_id from v_parsed",
+    "stream_map": f"""
+        , tables as (select * from (values {TABLES}) v(module, tab)),
+        owned as (select * from (values ('spar'), ('dev_env')) v(client_id))
+        select 'cdc_' || client_id || '.shared_db.' || tab stream, client_id, tab "table", module, client_id || '_' || module index_name,
+          coalesce(n, 0) events
+        from v_tenants join owned using (client_id), tables
+          left join (select stream s, count(*) n from v_events group by stream) on s = 'cdc_' || client_id || '.shared_db.' || tab""",
     "route_violations": """
         select client_id, 'missing_db_name' violation from v_config where db_name is null or trim(db_name) = ''
         union select client_id, 'missing_cdc_topic_prefix' from v_config where prefix is null or trim(prefix) = ''
@@ -493,6 +608,17 @@ QUERIES = {
         , all_docs as (select client_id, module from d_orders union all select client_id, module from d_parties)
         select client_id || '_' || module index_name, 1::bigint tenants, count(*) documents from all_docs group by client_id, module""",
     "analyze_terms": "select doc_id, length::int as length, term, tf::int tf from t_index",
+    "analyze_english": "select doc_id, length::int as length, term, tf::int tf from e_index join e_lengths using (doc_id)",
+    "analyze_domain": "select id, length::int as length, term, tf::int tf from g_index",
+    "bm25_domain": """
+        , size as (select count(*) n, avg(length) avgdl from (select distinct id, length from d_index)),
+        wanted as (select id query_id, term, tf qtf from q_index),
+        df as (select term, count(*) df from d_index group by term),
+        scores as (select query_id, i.id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+            / (tf + 1.2 * (0.25 + 0.75 * length / avgdl))), 6) score
+          from wanted join d_index i using (term) join df using (term), size group by query_id, i.id)
+        select query_id, id, score, rank::int as rank from (
+          select *, row_number() over (partition by query_id order by score desc, id) as rank from scores) where rank <= 10""",
     "expand_synonyms": """
         , lengths as (select id, count(distinct pos) as length from y_all group by id)
         select id, length::int as length, term, count(*)::int tf from y_all join lengths using (id) group by all""",
@@ -532,17 +658,38 @@ QUERIES = {
 }
 
 
-def _used(sql: str) -> set[str]:
+def _renamed(views: dict[str, str], prefix: str) -> dict[str, str]:
+    """The same views under other names, so that one statement can use them twice."""
+    names = "|".join(views)
+    again = lambda text: re.sub(rf"\b({names})\b", lambda m: prefix + m[1], text)
+    return {prefix + name: again(text) for name, text in views.items()}
+
+
+#: Views only some statements use, in place of or besides the common ones.
+OWN_VIEWS = {
+    "analyze_english": ENGLISH,
+    "analyze_domain": domain("select id, text_content x from d_orders"),
+    "bm25_domain": {
+        **_renamed(domain("select doc_id id, text x from documents"), "a_"),
+        **_renamed(domain("select item_id id, text x from benchmark"), "b_"),
+        "d_index": "select * from a_g_index", "q_index": "select * from b_g_index",
+    },
+}
+
+
+def _used(sql: str, views: dict[str, str]) -> set[str]:
     """The views a statement uses, directly or through other views."""
-    direct = VIEWS.keys() & set(re.findall(r"\w+", sql))
-    return direct.union(*(_used(VIEWS[v]) for v in direct))
+    direct = views.keys() & set(re.findall(r"\w+", sql))
+    return direct.union(*(_used(views[v], views) for v in direct))
 
 
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, sql in QUERIES.items():
-        used = _used(sql)
-        views = ",\n".join(f"{v} as ({text})" for v, text in VIEWS.items() if v in used)
+        known = VIEWS | OWN_VIEWS.get(name, {})
+        used = _used(sql, known)
+        once = [v for v in known if "p_" in v or v.endswith("_index")]
+        views = ",\n".join(f"{v} as {'materialized ' if v in once else ''}({text})" for v, text in known.items() if v in used)
         sql = sql.strip()
         if views:
             sql = f"with {views} {sql}"
