@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import CHANGE_SCHEMA, DEL_KEY, DEL_TENANT, DEL_TYPE, DOC_SCHEMA, PUT, REJECT
+from ..session import BROADCAST_ROWS, broadcast_if_small, rows_up_to
 
 KEY = ["client_id", "module", "id"]
 
@@ -31,28 +32,53 @@ def as_changes(rows: DataFrame, kind: str, seq: int) -> DataFrame:
     return rows.selectExpr(*given, f"{kind} as kind", f"{number} as seq").to(CHANGE_SCHEMA)
 
 
+#: What each kind of delete covers.
+SCOPES = {
+    DEL_KEY: ["client_id", "doc_type", "source_id"],
+    DEL_TYPE: ["client_id", "doc_type"],
+    DEL_TENANT: ["client_id"],
+}
+
+
+def newest_puts(changes: DataFrame) -> DataFrame:
+    """One put per document id; each task drops older ones before rows move."""
+    newest = Window.partitionBy(*KEY).orderBy(F.col("seq").desc())
+    puts = changes.filter(F.col("kind") == PUT)
+    return puts.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+
+
 def current_documents(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Live documents: newest put per id, less those a later delete covers.
 
     ``base`` holds documents already reduced to one per id.  Only the change
-    rows are ranked; base rows merely lose the ids that changed, so a small
-    set of changes never shuffles the base.
+    rows are ranked; base rows merely lose the ids that changed.  Changed ids
+    and deletes go to the base while they are few, so it is not shuffled; a
+    tenant or type holding a third of all rows is then not gathered either.
     """
-    puts = changes.filter(F.col("kind") == PUT).drop("kind", "reason")
-    newest = Window.partitionBy(*KEY).orderBy(F.col("seq").desc())
-    rows = puts.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    rows = newest_puts(changes).drop("kind", "reason")
     if base is not None:
-        rows = base.select(*rows.columns).join(puts.select(*KEY).distinct(), KEY, "left_anti").unionByName(rows)
-    for kind, scope in (
-        (DEL_KEY, ["client_id", "doc_type", "source_id"]),
-        (DEL_TYPE, ["client_id", "doc_type"]),
-        (DEL_TENANT, ["client_id"]),
-    ):
+        changed = changes.filter(F.col("kind") == PUT).select(*KEY).distinct()
+        rows = base.select(*rows.columns).join(broadcast_if_small(changed), KEY, "left_anti").unionByName(rows)
+    for kind, scope in SCOPES.items():
         deleted = changes.filter(F.col("kind") == kind).groupBy(*scope).agg(F.max("seq").alias("_deleted"))
-        rows = rows.join(deleted, scope, "left").filter(F.col("seq") > F.coalesce("_deleted", F.lit(-1))).drop("_deleted")
+        found = rows_up_to(deleted, BROADCAST_ROWS)
+        if found:
+            side = F.broadcast(deleted) if found <= BROADCAST_ROWS else deleted
+            rows = rows.join(side, scope, "left").filter("seq > coalesce(_deleted, -1)").drop("_deleted")
     return rows
 
 
+def reduced(changes: DataFrame) -> DataFrame:
+    """Changes that say the same in fewer rows: the newest put per id and delete per scope."""
+    kept = newest_puts(changes)
+    for kind, scope in SCOPES.items():
+        deletes = changes.filter(F.col("kind") == kind).groupBy(*scope, "kind").agg(
+            F.max("seq").alias("seq"), *([F.first("module").alias("module")] if kind != DEL_TENANT else [])
+        )
+        kept = kept.unionByName(deletes.to(CHANGE_SCHEMA))
+    return kept.unionByName(changes.filter(F.col("kind") == REJECT))
+
+
 @dataclass(frozen=True)
 class DocumentStore:
     spark: SparkSession
@@ -64,7 +90,7 @@ class DocumentStore:
         ``spread`` gathers rows by target folder into even files and splits
         folders too large for one task.
         """
-        if name in self._folded():
+        if name in self._head()[1]:
             name = f"{name}-{uuid.uuid4().hex[:8]}"
         if spread:
             changes = changes.hint("rebalance", "kind", "client_id", "module")
@@ -79,15 +105,14 @@ class DocumentStore:
         return reader.parquet(*[self._commit_path(n) for n in names]).select(*CHANGE_SCHEMA.fieldNames())
 
     def changes(self) -> DataFrame:
-        """Change rows of the finished commits that no base has taken in yet."""
-        taken = self._folded()
-        return self.read([n for n in self.commits() if n not in taken])
+        """Change rows of the finished commits that are not taken in elsewhere."""
+        return self.read(self._open_commits())
 
     def commits(self) -> list[str]:
         return [n.partition("=")[2] for n in self._finished("commits")]
 
     def base(self) -> DataFrame | None:
-        name = self._base_name()
+        name = self._head()[0]
         if name is None:
             return None
         return self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}")
@@ -108,15 +133,19 @@ class DocumentStore:
         refused = self.changes().filter(F.col("kind") == REJECT)
         return refused.select("client_id", "doc_type", "source_id", "id", "reason", "seq")
 
+    def merge(self) -> None:
+        """Put the open commits into one, so that a stream's many small commits stay few to list and read."""
+        names, taken = self._open_commits(), self._head()[1]
+        merged = self.commit(reduced(self.read(names)), f"merged-{_stamp()}")
+        self._set_head(self._head()[0], (taken | set(names)) - {merged})
+
     def compact(self) -> None:
         """Write the current documents as a new base that takes in all commits so far."""
-        finished = self.commits()
-        stamp = f"{time.time_ns():020d}"
-        rows = self.snapshot().withColumn("kind", F.lit(PUT)).withColumn("reason", F.lit(None).cast("string"))
+        finished, name = self.commits(), _stamp()
+        rows = self.snapshot().withColumn("kind", F.lit(PUT)).to(CHANGE_SCHEMA)
         rows = rows.hint("rebalance", "client_id", "module")
-        rows.write.mode("overwrite").partitionBy("client_id", "module").parquet(f"{self.root}/bases/{stamp}")
-        taken = self.spark.createDataFrame([(n,) for n in finished], "name string")
-        taken.coalesce(1).write.mode("overwrite").json(f"{self.root}/folded/{stamp}")
+        rows.write.mode("overwrite").partitionBy("client_id", "module").parquet(f"{self.root}/bases/{name}")
+        self._set_head(name, set(finished))
 
     def _commit_path(self, name: str) -> str:
         return f"{self.root}/commits/commit={name}"
@@ -127,12 +156,23 @@ class DocumentStore:
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return sorted(s.getPath().getParent().getName() for s in fs.globStatus(path) or [])
 
-    def _base_name(self) -> str | None:
-        names = self._finished("folded")
-        return names[-1] if names else None
+    def _open_commits(self) -> list[str]:
+        taken = self._head()[1]
+        return [n for n in self.commits() if n not in taken]
 
-    def _folded(self) -> set[str]:
-        name = self._base_name()
-        if name is None:
-            return set()
-        return {r["name"] for r in self.spark.read.schema("name string").json(f"{self.root}/folded/{name}").collect()}
+    def _head(self) -> tuple[str | None, set[str]]:
+        """The base in force and the commits it or a merged commit has taken in."""
+        names = self._finished("heads")
+        if not names:
+            return None, set()
+        rows = self.spark.read.schema("base string, taken string").json(f"{self.root}/heads/{names[-1]}").collect()
+        return rows[0]["base"], {r["taken"] for r in rows if r["taken"] is not None}
+
+    def _set_head(self, base: str | None, taken: set[str]) -> None:
+        rows = [(base, n) for n in sorted(taken)] or [(base, None)]
+        head = self.spark.createDataFrame(rows, "base string, taken string").coalesce(1)
+        head.write.mode("overwrite").json(f"{self.root}/heads/{_stamp()}")
+
+
+def _stamp() -> str:
+    return f"{time.time_ns():020d}"

@@ -35,8 +35,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is named."""
+    """The folder the cluster names for checkpoints; a temporary one only in local mode without one."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all machines share")
     if not named:
         named = tempfile.mkdtemp(prefix="docuweft-")
         spark.conf.set(CHECKPOINT_SETTING, named)
@@ -59,13 +61,18 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
 
 
-def is_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(most_rows + 1).count() <= most_rows
+def rows_up_to(df: DataFrame, bound: int) -> int:
+    """The number of rows, counted no further than one past the bound."""
+    return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    return rows_up_to(df, BROADCAST_ROWS) <= BROADCAST_ROWS
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Broadcast after counting; beyond the bound leave the choice to the shuffle joins."""
-    return F.broadcast(df) if is_small(df, most_rows) else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 def spread(table: DataFrame) -> DataFrame:

@@ -85,7 +85,6 @@ def brute_bm25(docs, queries):
 
 @pytest.mark.parametrize("broadcast_rows", [200_000, 0])
 def test_bm25(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr("docuweft.session.BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(bm25, "is_small", lambda df: broadcast_rows > 0)
     rnd = random.Random(1)
     docs = [(i, " ".join(rnd.choices("a b c d e f hot hot hot".split(), k=rnd.randint(0, 30)))) for i in range(60)]

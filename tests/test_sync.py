@@ -6,7 +6,8 @@ import erp
 from docuweft.operators.embedding import HashingProvider
 from docuweft.operators.status import latest_status
 from docuweft.operators.store import DocumentStore, as_changes, current_documents
-from docuweft.operators.sync import FULL_REINDEX, RECREATE, sync
+from docuweft.operators import store as store_module
+from docuweft.operators.sync import FULL_REINDEX, RECREATE, delete_scope, sync
 
 TABLES = ["sl_sales_orders", "parties"]
 
@@ -97,8 +98,28 @@ def test_commit_again_replaces_and_compaction_keeps_state(spark, store):
     store.commit(as_changes(docs.filter("source_id = 3"), "'del_key'", 30), "c")
     again = store.commit(as_changes(docs.filter("source_id = 1"), "'put'", 40), "b")
     assert again != "b" and ids(store) == [f"sl_sales_orders:{i}" for i in (0, 1, 2, 4)]
+    store.merge()
+    assert len(store._open_commits()) == 1 and ids(store) == [f"sl_sales_orders:{i}" for i in (0, 1, 2, 4)]
+    store.commit(delete_scope(spark, "del_type", 50, [{"client_id": "t1", "module": "sales", "doc_type": "sl_sales_orders"}]), "d")
+    store.commit(as_changes(docs.filter("source_id = 2"), "'put'", 60), "e")
+    store.merge()
+    assert ids(store) == ["sl_sales_orders:2"]
     store.compact()
-    assert ids(store) == [f"sl_sales_orders:{i}" for i in (0, 1, 2, 4)]
+    assert ids(store) == ["sl_sales_orders:2"] and store.changes().count() == 0
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_deletes_joined_by_broadcast_or_shuffle(spark, monkeypatch, few):
+    monkeypatch.setattr(store_module, "BROADCAST_ROWS", few)
+    docs = spark.range(20).selectExpr("if(id < 10, 't1', 't2') as client_id", "'m' as module", "if(id % 2 = 0, 'a', 'b') as doc_type",
+                                      "concat('x:', id) as id", "id as source_id")
+    base = as_changes(docs.filter("source_id <> 19"), "'put'", 0).drop("kind", "reason")
+    changes = as_changes(docs.filter("source_id in (1, 12)"), "'del_key'", 10).unionByName(
+        delete_scope(spark, "del_type", 10, [{"client_id": "t1", "module": "m", "doc_type": "a"}])).unionByName(
+        as_changes(docs.filter("source_id in (2, 19)"), "'put'", 10)).unionByName(
+        delete_scope(spark, "del_tenant", 0, [{"client_id": "t2"}]))
+    live = sorted(r["source_id"] for r in current_documents(changes, base).collect())
+    assert live == [2, 3, 5, 7, 9, 10, 11, 13, 14, 15, 16, 17, 18, 19]
 
 
 def test_snapshot_with_one_document_changed_very_often(spark):
