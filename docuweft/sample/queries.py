@@ -16,13 +16,14 @@ from ..operators.documents import build_documents, checked_documents, checked_na
 from ..operators.embedding import HashingProvider, embed_documents
 from ..operators.store import as_changes, current_documents
 from ..operators.sync import delete_scope, table_changes
-from ..plans.registry import BASE, resolve_registry
+from ..plans.registry import BASE, modules, resolve_registry
 from ..plans.spec import Keys, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
 from ..session import configure, written
 from ..sources.tables import scan
+from . import registry
 from .views import TENANTS, Tables, pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +216,18 @@ def documents_union(t):
     return merged
 
 
+def _register_module(module: str) -> None:
+    def make(t: Tables) -> DataFrame:
+        return registry.documents_of_module(t, module)
+
+    make.__name__ = f"registry_{module}"
+    query(make)
+
+
+for _module in modules():
+    _register_module(_module)
+
+
 @query
 def build_documents_full(t):
     return docs_of(t, "sl_sales_orders").drop("embedding")
