@@ -561,11 +561,11 @@ QUERIES = {
           max_by(event_id, ts) indexed
         from events where user_id < 100 group by user_id""",
     "job_summary": """
-        select 'job-' || user_id job_id, 'spar' client_id, case when count(*) filter (value > 200) > 0 then 'partial' else 'ok' end status,
-          sum(case when value > 200 then 0 else event_id end)::bigint indexed,
-          sum(case when value > 200 then 1 else length(props) end)::bigint errors, count(*) total_tables,
-          coalesce(string_agg(event_type || '_' || event_id, ',' order by event_type || '_' || event_id) filter (value > 200), '') failed_tables
-        from events group by user_id""",
+        , per_type as (select user_id, event_type, sum(event_id) i, sum(length(props)) e, max(value) > 200 bad from events group by all)
+        select 'job-' || user_id job_id, 'spar' client_id, case when bool_or(bad) then 'partial' else 'ok' end status,
+          sum(case when bad then 0 else i end)::bigint indexed, sum(case when bad then 1 else e end)::bigint errors, count(*) total_tables,
+          coalesce(string_agg(event_type, ',' order by event_type) filter (bad), '') failed_tables
+        from per_type group by user_id""",
     "cdc_parse": "select msg_id, client_id, tab \"table\", op, before_id, after_id, skip_reason from v_reasons",
     "cdc_classify": """
         select msg_id, action, case when action in ('delete', 'upsert') then key_id end row_id, why skip_reason from v_actions""",
@@ -619,6 +619,10 @@ QUERIES = {
           from wanted join d_index i using (term) join df using (term), size group by query_id, i.id)
         select query_id, id, score, rank::int as rank from (
           select *, row_number() over (partition by query_id order by score desc, id) as rank from scores) where rank <= 10""",
+    "field_indexes": """
+        select 'title' field, id, term, tf::int tf from g_index
+        union all select 'narration', id, w, count(*)::int from n_words join n_p_stems on word = term group by id, w
+        union all select 'party_name', id, term, count(*)::int from n_party group by id, term""",
     "expand_synonyms": """
         , lengths as (select id, count(distinct pos) as length from y_all group by id)
         select id, length::int as length, term, count(*)::int tf from y_all join lengths using (id) group by all""",
@@ -669,6 +673,13 @@ def _renamed(views: dict[str, str], prefix: str) -> dict[str, str]:
 OWN_VIEWS = {
     "analyze_english": ENGLISH,
     "analyze_domain": domain("select id, text_content x from d_orders"),
+    "field_indexes": {
+        **domain("select id, title x from d_orders"),
+        "n_terms": f"select id, regexp_replace(unnest({tokens('narration')}), '(''|’)s$', '') term from d_orders",
+        "n_words": f"select * from n_terms where term not in ({STOPS})",
+        **_renamed(stems("n_words"), "n_"),
+        "n_party": f"select id, unnest({tokens('party_name')}) term from d_orders",
+    },
     "bm25_domain": {
         **_renamed(domain("select doc_id id, text x from documents"), "a_"),
         **_renamed(domain("select item_id id, text x from benchmark"), "b_"),

@@ -351,11 +351,11 @@ def job_status_latest(t):
 
 @query
 def job_summary(t):
-    tables = t.raw("events").select(
-        F.concat(F.lit("job-"), "user_id").alias("job_id"), F.lit("spar").alias("client_id"),
-        F.concat_ws("_", "event_type", "event_id").alias("doc_type"),
-        F.col("event_id").alias("indexed"), F.length("props").cast("long").alias("errors"),
-        (F.col("value") > 200).alias("failed"),
+    """Users as jobs and event types as their tables; a type with a very high value has failed."""
+    tables = t.raw("events").groupBy(
+        F.concat(F.lit("job-"), "user_id").alias("job_id"), F.lit("spar").alias("client_id"), F.col("event_type").alias("doc_type")
+    ).agg(
+        F.sum("event_id").alias("indexed"), F.sum(F.length("props")).alias("errors"), (F.max("value") > 200).alias("failed")
     )
     return status.summarise(tables).withColumn("failed_tables", F.array_join("failed_tables", ","))
 
@@ -494,6 +494,16 @@ def analyze_domain(t):
     return exploded(counted(analyzed(docs, "text_content", DOMAIN).drop("text_content")))
 
 
+@query
+def field_indexes(t):
+    """Terms of text fields, each under its own analyzer."""
+    docs = docs_of(t, "sl_sales_orders").select("id", "title", "narration", "party_name")
+    fields = [
+        exploded(bm25.field_index(docs, f)).select(F.lit(f).alias("field"), "id", "term", "tf") for f in ("title", "narration", "party_name")
+    ]
+    return fields[0].unionByName(fields[1]).unionByName(fields[2])
+
+
 @query
 def expand_synonyms(t):
     docs = docs_of(t, "sl_sales_orders").select("id", "title")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import ANALYZER_OF
 from ..session import is_small
-from .analyze import STANDARD, Analyzer, analyzed, counted, exploded
+from .analyze import ANALYZERS, STANDARD, Analyzer, analyzed, counted, exploded
 
 # Term saturation and length weight, and digits scores are kept to.
 K1, B = 1.2, 0.75
@@ -20,6 +21,11 @@ def term_index(docs: DataFrame, text: Column | str, analyzer: Analyzer = STANDAR
     return counted(rows.drop("_text"))
 
 
+def field_index(docs: DataFrame, field: str) -> DataFrame:
+    """The term index of a document text field, under that field's own analyzer."""
+    return term_index(docs, field, ANALYZERS[ANALYZER_OF[field]])
+
+
 def term_stats(index: DataFrame) -> DataFrame:
     """(term, df, tf): documents holding a term and its occurrences."""
     return exploded(index).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
