@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ANALYZER_OF
-from ..session import is_small
+from ..session import broadcast_if_small, is_small
 from .analyze import ANALYZERS, STANDARD, Analyzer, analyzed, counted, exploded
 
 # Term saturation and length weight, and digits scores are kept to.
@@ -14,16 +16,22 @@ K1, B = 1.2, 0.75
 DIGITS = 6
 
 
-def term_index(docs: DataFrame, text: Column | str, analyzer: Analyzer = STANDARD, id_col: str = "id") -> DataFrame:
-    """(id, length, postings) of every document; write it to reuse it."""
+def term_index(
+    docs: DataFrame, text: Column | str, analyzer: Analyzer = STANDARD, id_col: str = "id", scope: Sequence[str] = ()
+) -> DataFrame:
+    """(scope…, id, length, postings) of every document; write it to reuse it.
+
+    ``scope`` names columns, such as ``client_id``, that set documents apart:
+    statistics are kept and queries answered within a scope.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    rows = analyzed(docs.select(F.col(id_col).alias("id"), text.alias("_text")), "_text", analyzer)
-    return counted(rows.drop("_text"))
+    rows = docs.select(*scope, F.col(id_col).alias("id"), text.alias("_text"))
+    return counted(analyzed(rows, "_text", analyzer).drop("_text"))
 
 
-def field_index(docs: DataFrame, field: str) -> DataFrame:
+def field_index(docs: DataFrame, field: str, scope: Sequence[str] = ()) -> DataFrame:
     """The term index of a document text field, under that field's own analyzer."""
-    return term_index(docs, field, ANALYZERS[ANALYZER_OF[field]])
+    return term_index(docs, field, ANALYZERS[ANALYZER_OF[field]], scope=scope)
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -31,33 +39,32 @@ def term_stats(index: DataFrame) -> DataFrame:
     return exploded(index).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
 
 
-def query_terms(queries: DataFrame, analyzer: Analyzer = STANDARD) -> DataFrame:
-    """(query_id, term, qtf) of queries (query_id, query)."""
-    rows = analyzed(queries.select("query_id", "query"), "query", analyzer).drop("query", "length")
+def query_terms(queries: DataFrame, analyzer: Analyzer = STANDARD, scope: Sequence[str] = ()) -> DataFrame:
+    """(scope…, query_id, term, qtf) of queries (scope…, query_id, query)."""
+    rows = analyzed(queries.select(*scope, "query_id", "query"), "query", analyzer).drop("query", "length")
     return exploded(counted(rows)).withColumnRenamed("tf", "qtf")
 
 
-def bm25_scores(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(query_id, id, score) of every document sharing a term with a query.
+def bm25_scores(index: DataFrame, wanted: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """(query_id, id, score) of every document sharing a term with a query of its scope.
 
     ``index`` is read three times and should be a written table.  While the
     query terms are few, they go to the documents and only scored pairs move;
     else term and postings are joined by a shuffle that splits hot terms.
     """
-    size = index.filter("length > 0").agg(F.count("*").alias("n"), F.avg("length").alias("avgdl")).first()
-    if not size["n"]:
-        return index.sparkSession.createDataFrame(
-            [], f"query_id {wanted.schema['query_id'].dataType.simpleString()}, "
-            f"id {index.schema['id'].dataType.simpleString()}, score double"
-        )
+    key = [*scope, "term"]
     hint = F.broadcast if is_small(wanted) else (lambda side: side)
-    held = exploded(index).join(hint(wanted.select("term").distinct()), "term", "left_semi")
-    df = held.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.lit(size["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = wanted.join(df, "term").select("query_id", "term", (idf * F.col("qtf")).alias("weight"))
-    norm = K1 * (1 - B + B * F.col("length") / F.lit(size["avgdl"]))
+    held = exploded(index).join(hint(wanted.select(*key).distinct()), key, "left_semi")
+    df = held.groupBy(*key).agg(F.count("*").alias("df"))
+    size = index.filter("length > 0").groupBy(*scope).agg(F.count("*").alias("n"), F.avg("length").alias("avgdl"))
+    df = df.join(broadcast_if_small(size), [*scope]) if scope else df.withColumns(
+        {c: F.lit(v) for c, v in size.first().asDict().items()}
+    )
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = wanted.join(df, key).select(*key, "query_id", (idf * F.col("qtf")).alias("weight"), "avgdl")
+    norm = K1 * (1 - B + B * F.col("length") / F.col("avgdl"))
     part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    pairs = exploded(index).join(hint(weights), "term")
+    pairs = exploded(index).join(hint(weights), key)
     return pairs.groupBy("query_id", "id").agg(F.round(F.sum(part), DIGITS).alias("score"))
 
 
@@ -67,5 +74,7 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def bm25_topk(index: DataFrame, queries: DataFrame, k: int, analyzer: Analyzer = STANDARD) -> DataFrame:
-    return top_k(bm25_scores(index, query_terms(queries, analyzer)), k)
+def bm25_topk(
+    index: DataFrame, queries: DataFrame, k: int, analyzer: Analyzer = STANDARD, scope: Sequence[str] = ()
+) -> DataFrame:
+    return top_k(bm25_scores(index, query_terms(queries, analyzer, scope), scope), k)

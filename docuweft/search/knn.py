@@ -19,56 +19,73 @@ QUERY_BLOCK_BYTES = 32 << 20
 QUERIES_AT_ONCE = 512
 
 
-def knn_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def knn_topk(vectors: DataFrame, queries: DataFrame, k: int, scope: str | None = None) -> DataFrame:
     """(query_id, id, score, rank): the k best documents (id, embedding) of each query (query_id, vector).
 
     Documents stay where they are: a task multiplies its batches with a block
     of query vectors and passes on k rows per query and batch.  The score is
     ``1 / (2 - cosine)``.  Vectors of another length than the query's match
-    nothing.
+    nothing.  ``scope`` names a column of both sides, such as ``client_id``:
+    queries meet only documents of their own.
     """
     shape = queries.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    layout = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("id", vectors.schema["id"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    group = F.col(scope) if scope else F.lit(0)
     if not shape["n"]:
-        return _hits(vectors, queries, [], np.empty((0, 1)), k)
+        return top_k(vectors.sparkSession.createDataFrame([], layout), k)
+    usable = vectors.filter(F.size("embedding") == shape["dim"]).select(group.alias("scope"), "id", "embedding")
+    asked = queries.filter(F.size("vector") == shape["dim"]).select(group.alias("scope"), "query_id", "vector")
     blocks = -(-shape["n"] * shape["dim"] * 8 // QUERY_BLOCK_BYTES)
     found = None
     for block in range(blocks):
-        mine = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        rows = mine.filter(F.size("vector") == shape["dim"]).select("query_id", "vector").collect()
-        matrix = np.array([r["vector"] for r in rows], dtype=np.float64).reshape(len(rows), shape["dim"])
-        hits = _hits(vectors, queries, [r["query_id"] for r in rows], matrix, k)
+        mine = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        scores = usable.mapInArrow(_best_of_batches(_by_scope(mine.collect()), layout, k), layout)
+        hits = top_k(scores, k)
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
-def _hits(vectors: DataFrame, queries: DataFrame, query_ids: list, matrix: np.ndarray, k: int) -> DataFrame:
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = matrix / np.where(norms == 0, 1, norms)
-    schema = T.StructType([
-        T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("id", vectors.schema["id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-    usable = vectors.select("id", "embedding").filter(F.size("embedding") == matrix.shape[1])
+def _by_scope(rows: list) -> dict:
+    """Scope -> query ids and their unit vectors."""
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault(r["scope"], ([], []))
+        groups[r["scope"]][0].append(r["query_id"])
+        groups[r["scope"]][1].append(r["vector"])
+    return {scope: (ids, _unit(np.array(vectors, dtype=np.float64))) for scope, (ids, vectors) in groups.items()}
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(lengths == 0, 1, lengths)
+
 
+def _best_of_batches(queries: dict, layout: T.StructType, k: int):
     def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout = to_arrow_schema(schema)
+        schema = to_arrow_schema(layout)
         for batch in batches:
-            for start in range(0, len(query_ids), QUERIES_AT_ONCE):
-                part = slice(start, start + QUERIES_AT_ONCE)
-                yield pa.RecordBatch.from_pydict(_batch_best(batch, query_ids[part], unit[part], k), layout)
+            scopes = np.array(batch.column("scope").to_pylist())
+            ids = np.array(batch.column("id").to_pylist())
+            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            rows = _unit(flat.reshape(len(ids), -1 if len(ids) else 1).astype(np.float64))
+            for scope in set(scopes.tolist()) & queries.keys():
+                at = np.flatnonzero(scopes == scope)
+                query_ids, unit = queries[scope]
+                for start in range(0, len(query_ids), QUERIES_AT_ONCE):
+                    part = slice(start, start + QUERIES_AT_ONCE)
+                    best = _best(ids[at], rows[at], query_ids[part], unit[part], k)
+                    yield pa.RecordBatch.from_pydict(best, schema)
 
-    return top_k(usable.mapInArrow(best_of, schema), k)
+    return best_of
 
 
-def _batch_best(batch: pa.RecordBatch, query_ids: list, unit: np.ndarray, k: int) -> dict[str, list]:
-    """The k best rows of a batch for every query, ties by id."""
-    ids = np.array(batch.column("id").to_pylist())
-    flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-    rows = flat.reshape(len(ids), unit.shape[1]).astype(np.float64)
-    lengths = np.linalg.norm(rows, axis=1)
-    cosine = (rows / np.where(lengths == 0, 1, lengths)[:, None]) @ unit.T
-    scores = np.round(1.0 / (2.0 - cosine), DIGITS)
+def _best(ids: np.ndarray, rows: np.ndarray, query_ids: list, unit: np.ndarray, k: int) -> dict[str, list]:
+    """The k best of some documents for every query, ties by id."""
+    scores = np.round(1.0 / (2.0 - rows @ unit.T), DIGITS)
     best: dict[str, list] = {"query_id": [], "id": [], "score": []}
     for query_id, column in zip(query_ids, scores.T):
         near = np.arange(len(ids))

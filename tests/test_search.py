@@ -101,9 +101,28 @@ def test_bm25(spark, monkeypatch, broadcast_rows):
             (i, n) for n, (_, i) in enumerate(best, 1)]
 
 
+def test_search_within_a_tenant(spark):
+    """Two tenants share document ids; each question is answered and counted within its own."""
+    docs = [("a", 1, "x y"), ("a", 2, "x"), ("b", 1, "x x z"), ("b", 3, "z"), ("b", 4, "q")]
+    asked = [("a", 10, "x"), ("b", 20, "x z")]
+    frame = spark.createDataFrame(docs, "client_id string, id long, text string")
+    index = bm25.term_index(frame, "text", scope=["client_id"])
+    questions = spark.createDataFrame(asked, "client_id string, query_id long, query string")
+    got = {(r["query_id"], r["id"]): r["score"] for r in bm25.bm25_topk(index, questions, 9, scope=["client_id"]).collect()}
+    want = {}
+    for client, query_id, query in asked:
+        want |= brute_bm25([(i, t) for c, i, t in docs if c == client], [(query_id, query)])
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 2e-6 for p in want)
+    vectors = spark.createDataFrame([("a", 1, [1.0, 0.0]), ("b", 1, [0.0, 1.0]), ("b", 2, [1.0, 0.0])], "client_id string, id long, embedding array<float>")
+    near = spark.createDataFrame([("a", 10, [0.0, 1.0]), ("b", 20, [0.0, 1.0]), ("c", 30, [0.0, 1.0])], "client_id string, query_id long, vector array<double>")
+    hits = knn.knn_topk(vectors, near, 1, scope="client_id").collect()
+    assert sorted((r["query_id"], r["id"], r["score"]) for r in hits) == [(10, 1, 0.5), (20, 1, 1.0)]
+
+
 def test_bm25_without_documents(spark):
-    index = bm25.term_index(spark.createDataFrame([(1, "")], "id long, text string"), "text")
-    assert bm25.bm25_topk(index, spark.createDataFrame([(1, "a")], "query_id long, query string"), 3).count() == 0
+    for docs in ([(1, "")], []):
+        index = bm25.term_index(spark.createDataFrame(docs, "id long, text string"), "text")
+        assert bm25.bm25_topk(index, spark.createDataFrame([(1, "a")], "query_id long, query string"), 3).count() == 0
 
 
 @pytest.mark.parametrize("block_bytes, at_once", [(32 << 20, 512), (100, 2)])
