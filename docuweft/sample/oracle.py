@@ -648,6 +648,21 @@ QUERIES = {
         where rank <= 10""",
     "search_filtered": """
         select query_id, id, date, status, rank::int as rank, total from v_found where rank > skip and rank <= skip + lim""",
+    "search_text": f"""
+        , docs as (select client_id, id, {tokens('text_content')} toks from d_orders),
+        idx as (select client_id, id, len(toks) as length, unnest(toks) term from docs),
+        tfs as (select client_id, id, length, term, count(*) tf from idx group by all),
+        sizes as (select client_id, count(*) n, avg(len(toks)) avgdl from docs group by client_id),
+        dfs as (select client_id, term, count(*) df from tfs group by all),
+        words as (select client_id, query_id, unnest(string_split(case when query_id < 8 then 'rush it order' when query_id < 16
+          then 'medium status o' else 'narration f rush' end, ' ')) term from v_search),
+        scores as (select query_id, i.id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+            / (tf + 1.2 * (0.25 + 0.75 * length / avgdl))), 6) score
+          from words join tfs i using (client_id, term) join dfs using (client_id, term) join sizes using (client_id) group by query_id, i.id),
+        found as (select query_id, f.id, score, lim, skip, count(*) over (partition by query_id) total,
+            row_number() over (partition by query_id order by score desc, f.id) as rank
+          from v_found f join scores using (query_id, id))
+        select query_id, id, score, rank::int as rank, total from found where rank > skip and rank <= skip + lim""",
     "search_exact": """
         select client_id, id, doc_type from d_parties where party_type in ('MACHINERY', 'AUTOMOBILE')
         union all select client_id, id, doc_type from d_orders where status = 'O'""",

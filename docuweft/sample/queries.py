@@ -570,6 +570,17 @@ def search_filtered(t):
     return request.search(docs_of(t, "sl_sales_orders"), t.requests()).select("query_id", "id", "date", "status", "rank", "total")
 
 
+@query
+def search_text(t):
+    """Requests with words: filtered, ranked by BM25 within their tenant, and paged."""
+    docs = docs_of(t, "sl_sales_orders")
+    index = written(bm25.term_index(docs, "text_content", STANDARD, scope=["client_id"]), "terms")
+    words = F.when(F.col("query_id") < 8, "rush it order").when(F.col("query_id") < 16, "medium status O").otherwise("narration F rush")
+    asked = t.requests().withColumn("query", words)
+    scores = bm25.bm25_scores(index, bm25.query_terms(asked, STANDARD, ["client_id"]), ["client_id"])
+    return request.search(docs, asked, scores).select("query_id", "id", "score", "rank", "total")
+
+
 @query
 def search_exact(t):
     parties = request.exact(docs_of(t, "parties"), "party_type", ["MACHINERY", "AUTOMOBILE"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import BROADCAST_ROWS, broadcast_if_small, rows_up_to
 from .analyze import TOKEN
 
 # Page size, its limit, and the mark around a matched word.
@@ -26,10 +26,11 @@ def checked_requests(queries: DataFrame) -> DataFrame:
     })
 
 
-def matches(docs: DataFrame, queries: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, queries: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """(query_id, limit, offset, document…): documents of the request's tenant that pass its filters.
 
-    Requests are few and go to the documents; each document is read once.
+    Requests are few and go to the documents, each read once.  With ``scores``
+    (query_id, id, score) only scored documents are looked at.
     """
     asked = checked_requests(queries).select(
         "query_id", "limit", "offset",
@@ -44,21 +45,22 @@ def matches(docs: DataFrame, queries: DataFrame) -> DataFrame:
         & (F.col("_from").isNull() | (F.col("date") >= F.col("_from")))
         & (F.col("_to").isNull() | (F.col("date") <= F.col("_to")))
     )
-    return docs.join(asked, passes).drop("_client", "_modules", "_status", "_from", "_to")
+    if scores is not None:
+        asked = scores.withColumnRenamed("id", "_id").join(asked, "query_id")
+        passes = passes & (F.col("id") == F.col("_id"))
+    return docs.join(asked, passes).drop("_client", "_modules", "_status", "_from", "_to", "_id")
 
 
 def _in(value: Column, allowed: Column) -> Column:
     return allowed.isNull() | F.array_contains(allowed, value)
 
 
-def pages(scored: DataFrame, order: Sequence[Column], deepest: int | None = None) -> DataFrame:
+def pages(scored: DataFrame, order: Sequence[Column], deepest: int) -> DataFrame:
     """Each request's page of its matches, with ``rank`` and the request's ``total``.
 
-    Rows beyond the deepest page asked for are dropped in each task before they
+    Rows beyond ``deepest``, the last rank any request asks for, are dropped in each task before they
     move, and totals are counted apart, so no task sees all matches of a request.
     """
-    if deepest is None:
-        deepest = scored.agg(F.max(F.col("offset") + F.col("limit"))).first()[0] or 0
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
     near = ranked.filter(F.col("rank") <= deepest)
     page = near.filter((F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("offset") + F.col("limit")))
@@ -67,14 +69,21 @@ def pages(scored: DataFrame, order: Sequence[Column], deepest: int | None = None
 
 
 def search(docs: DataFrame, queries: DataFrame, scores: DataFrame | None = None) -> DataFrame:
-    """Pages of hits: by score where scores (query_id, id, score) are given, else newest first."""
-    found = matches(docs, queries)
+    """Pages of hits: by score where scores (query_id, id, score) are given, else newest first.
+
+    Filters and ranks need a few columns; whole documents are fetched for the
+    pages alone.
+    """
+    found = matches(docs.select("client_id", "id", "module", "status", "date"), queries, scores)
     deepest = queries.agg(
         F.max(F.coalesce("offset", F.lit(0)) + F.coalesce("limit", F.lit(DEFAULT_LIMIT)))
     ).first()[0] or 0
-    if scores is None:
-        return pages(found, [F.col("date").desc_nulls_last(), F.col("id")], deepest)
-    return pages(found.join(scores, ["query_id", "id"]), [F.col("score").desc(), F.col("id")], deepest)
+    first = F.col("date").desc_nulls_last() if scores is None else F.col("score").desc()
+    page = pages(found, [first, F.col("id")], deepest).drop("module", "status", "date")
+    # A page has at most MOST rows a request.
+    if rows_up_to(queries, BROADCAST_ROWS // MOST) <= BROADCAST_ROWS // MOST:
+        page = F.broadcast(page)
+    return docs.join(page, ["client_id", "id"])
 
 
 def exact(docs: DataFrame, field: str, values: Sequence[str]) -> DataFrame:
