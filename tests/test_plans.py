@@ -1,5 +1,7 @@
 """What the plans must look like to hold at scale."""
 
+from pyspark.sql import functions as F
+
 import erp
 from docuweft.operators.store import as_changes, current_documents
 from docuweft.plans.registry import BASE
@@ -65,3 +67,31 @@ def test_requests_join_by_tenant(spark, tmp_path):
         "`limit` int, `offset` int"))
     text = plan(request.matches(docs, asked))
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_hot_foreign_key_is_split(spark):
+    """With a third of the rows on one key and a third without any, the adaptive join splits what is left."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 300_000, 1, 8).selectExpr(
+            "'t1' as client_id", "id", "case id % 3 when 0 then 1 when 1 then null else id end as customer_id", "1L as company_id",
+            "0 as is_deleted", "uuid() as narration",
+        )
+        parties = spark.range(2000).selectExpr("'t1' as client_id", "id", "7L as company_id", "concat('n', id) as name")
+        got = source_rows(BASE["sl_sales_orders"], {"sl_sales_orders": rows, "parties": parties}.__getitem__)
+        sizes = got.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        final = got.select("id", "customer_name", "narration")
+        final.collect()
+        text = final._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in text
+        assert sizes.sum() == 300_000 and got.filter("customer_name = 'n1'").count() == 100_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
