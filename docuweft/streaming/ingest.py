@@ -29,7 +29,8 @@ class ChangeIngest:
 
     Delivery is at least once: the checkpoint replays a batch until it succeeds,
     and a batch writes under its own number, so a replay replaces what it wrote.
-    ``state`` is a shared folder for attempts and dead letters.
+    ``state`` is a shared folder for attempts and dead letters.  Every
+    ``merge_every`` batches the store's small commits are put into one.
     """
 
     store: DocumentStore
@@ -40,6 +41,7 @@ class ChangeIngest:
     name: str = "changes"
     resolve: Callable[[str], Registry] = resolve_registry
     fail_on_reject: bool = True
+    merge_every: int = 1000
     options: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -60,6 +62,8 @@ class ChangeIngest:
             refused = self.store.read([written]).filter(F.col("kind") == REJECT)
             if not refused.isEmpty():
                 raise RejectedDocuments(f"batch {batch_id}: documents were refused, see commit {written}")
+        if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+            self.store.merge()
 
     def start(self, raw: DataFrame, trigger: dict | None = None) -> StreamingQuery:
         writer = raw.writeStream.queryName(self.name).foreachBatch(self)

@@ -105,6 +105,16 @@ def test_replay_of_a_batch_changes_nothing(world, spark):
     assert world.store.commits() == ["changes-0000000000"]
 
 
+def test_commits_are_merged_now_and_then(world):
+    world.ingest.merge_every = 2
+    for n in (1, 2, 3):
+        world.rows["spar", n]["first_name"] = f"Round{n}"
+        world.send(upsert(n))
+        world.run()
+    assert len(world.store.commits()) == 4 and len(world.store._open_commits()) == 2
+    assert set(world.titles().values()) == {f"Party · Round{n} Lee" for n in (1, 2, 3)}
+
+
 def test_failing_batch_is_retried_then_dead_lettered(world):
     world.send(upsert(1), upsert(2))
     world.fail = True
