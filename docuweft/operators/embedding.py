@@ -59,14 +59,14 @@ def embedder(make_provider: Callable[[], Provider]) -> Callable[[Column], Column
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         provider = make_provider()
         for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            present = texts.dropna()
+            found: list = [None] * len(texts)
+            present = np.flatnonzero(texts.notna())
             for start in range(0, len(present), BATCH_SIZE):
-                part = present.iloc[start : start + BATCH_SIZE]
-                vectors = provider.embed_documents(part.tolist())
-                for at, vector in zip(part.index, vectors):
-                    out.at[at] = np.asarray(vector, dtype=np.float32)
-            yield out
+                part = present[start : start + BATCH_SIZE]
+                vectors = provider.embed_documents(texts.iloc[part].tolist())
+                for at, vector in zip(part, vectors):
+                    found[at] = np.asarray(vector, dtype=np.float32).tolist()
+            yield pd.Series(found, dtype=object)
 
     return embed
 

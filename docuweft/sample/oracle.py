@@ -551,6 +551,12 @@ QUERIES = {
           where source_id in (select id from v_upserts u where u.client_id = d.client_id)
              or source_id not in (select id from v_deletes x where x.client_id = d.client_id))
         select client_id || '_account' index_name, seq::bigint seq, count(*) documents, sum(source_id)::bigint ids from live group by all""",
+    "store_end_to_end": """
+        select client_id, id, doc_type, title, amount from d_orders
+        union all
+        select client_id, id, doc_type, title, amount from d_parties d
+        where not exists (select 1 from v_deletes x where x.client_id = d.client_id and x.id = d.source_id)
+           or exists (select 1 from v_upserts u where u.client_id = d.client_id and u.id = d.source_id)""",
     "sync_counts": f"""
         , rows_ as (select client_id, 'sl_sales_orders' doc_type, {BAD_CLOSING} bad from r_orders
           union all select client_id, 'items', sales_price is not null and ({as_number('sales_price')}) is null from r_items)

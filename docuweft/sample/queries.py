@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -14,15 +15,16 @@ from ..functions.keys import index_name
 from ..operators import cdc, quality, routing, status
 from ..operators.documents import build_documents, checked_documents, checked_narrow_documents, accepted, rejects
 from ..operators.embedding import HashingProvider, embed_documents
-from ..operators.store import as_changes, current_documents
-from ..operators.sync import delete_scope, table_changes
+from ..operators.store import DocumentStore, as_changes, current_documents
+from ..operators.sync import delete_scope, sync, table_changes
 from ..plans.registry import BASE, modules, resolve_registry
 from ..plans.spec import Keys, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
-from ..session import configure, written
+from ..session import configure, shared_folder, written
 from ..sources.tables import scan
+from ..streaming.ingest import ChangeIngest
 from . import registry
 from .views import TENANTS, Tables, pick
 
@@ -334,6 +336,17 @@ def sync_counts(t):
     return status.sync_counts(orders.unionByName(items))
 
 
+@query
+def store_end_to_end(t):
+    """A sync of two tables written to a store, then a batch of change events, read back."""
+    folder = f"{shared_folder(t.spark)}/store-{uuid.uuid4().hex}"
+    store = DocumentStore(t.spark, f"{folder}/documents")
+    sync(store, t.source(), TENANTS, ["sl_sales_orders", "parties"])
+    ingest = ChangeIngest(store, t.source(), _streams(t), _tables(t), f"{folder}/state")
+    ingest(t.raw_events(), 0)
+    return store.snapshot().select("client_id", "id", "doc_type", "title", "amount")
+
+
 def _runs(t: Tables) -> DataFrame:
     """Events as run states: the user is the job, the time the moment of the change."""
     return t.raw("events").select(

@@ -1,0 +1,61 @@
+"""The embedding step: order, missing texts, batches, one provider a task."""
+
+import os
+import uuid
+
+import numpy as np
+
+from docuweft.operators import embedding
+from docuweft.operators.embedding import HashingProvider, SingleTextProvider, embed_documents, embedder
+
+
+def test_hashing_vectors_are_deterministic_units():
+    provider = HashingProvider(32)
+    one, two, empty = provider.embed_documents(["Blue bolt", "blue  BOLT", ""])
+    assert np.allclose(one, two) and abs(np.linalg.norm(one) - 1) < 1e-6 and not empty.any() and len(one) == 32
+
+
+def test_vectors_belong_to_their_rows(spark):
+    rows = spark.range(500).selectExpr("id", "if(id % 10 = 0, null, concat('t', id)) as text")
+    got = {r["id"]: r["v"] for r in rows.select("id", embedder(lambda: HashingProvider(16))("text").alias("v")).collect()}
+    provider = HashingProvider(16)
+    for i, vector in got.items():
+        want = None if i % 10 == 0 else provider.embed_documents([f"t{i}"])[0].tolist()
+        assert vector == want
+
+
+def test_refused_rows_are_not_embedded_and_titles_count(spark):
+    docs = spark.createDataFrame(
+        [("T", "x", None), ("", "x", None), (None, "T x", None), ("T", "x", "bad_date:date")],
+        "title string, text_content string, reason string",
+    )
+    vectors = [r["embedding"] for r in embed_documents(docs, lambda: HashingProvider(8)).collect()]
+    assert vectors[0] == vectors[2] != vectors[1] and vectors[3] is None
+
+
+def test_one_provider_a_task_and_batches_of_fifty(spark, tmp_path):
+    class Counting:
+        """Leaves a file for every time it is made and a size for every batch."""
+
+        def __init__(self, folder):
+            self.folder = folder
+            open(os.path.join(folder, f"made-{uuid.uuid4().hex}"), "w").close()
+
+        def embed_documents(self, texts):
+            open(os.path.join(self.folder, f"batch-{len(texts)}-{uuid.uuid4().hex}"), "w").close()
+            return [[float(len(t))] for t in texts]
+
+    folder = str(tmp_path)
+    rows = spark.range(0, 240, 1, 2).selectExpr("repeat('x', cast(id as int)) as text")
+    got = sorted(r["v"][0] for r in rows.select(embedder(lambda: Counting(folder))("text").alias("v")).collect())
+    assert got == [float(i) for i in range(240)]
+    files = os.listdir(folder)
+    assert sum(f.startswith("made") for f in files) == 2
+    assert sorted(int(f.split("-")[1]) for f in files if f.startswith("batch")) == [20, 20, 50, 50, 50, 50]
+    assert embedding.BATCH_SIZE == 50
+
+
+def test_single_text_clients():
+    texts = [f"{'y' * n}" for n in range(30)]
+    assert SingleTextProvider(lambda t: [len(t)]).embed_documents(texts) == [[n] for n in range(30)]
+    assert SingleTextProvider(lambda t: [len(t)], max_chars=10).embed_documents(texts) == [[min(n, 10)] for n in range(30)]

@@ -128,3 +128,16 @@ def test_snapshot_with_one_document_changed_very_often(spark):
     changes = as_changes(rows, "'put'", 0).withColumn("seq", rows.sparkSession.range(1).selectExpr("1L").first()[0] + rows["source_id"])
     live = current_documents(changes)
     assert live.count() == 3334 and live.filter("id = 'x:hot'").first()["status"] == "4998"
+
+
+def test_a_run_that_breaks_is_recorded_as_failed(spark, store, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+
+    def broken(*_, **__):
+        raise OSError("no space")
+
+    monkeypatch.setattr(DocumentStore, "commit", broken)
+    with pytest.raises(OSError):
+        sync(store, source_of(spark, [1]), ["t1"], mode=RECREATE, runs_path=path)
+    (row,) = latest_status(spark.read.parquet(path), client_id="t1").collect()
+    assert row["status"] == "failed" and row["completed_at"] is not None
