@@ -15,7 +15,8 @@ from .bm25 import DIGITS, top_k
 
 #: Bytes of query vectors a task holds at once; more queries take more passes.
 QUERY_BLOCK_BYTES = 32 << 20
-#: Queries scored against a batch in one matrix product.
+#: Bytes of document vectors and number of queries in one matrix product.
+DOCUMENT_BLOCK_BYTES = 32 << 20
 QUERIES_AT_ONCE = 512
 
 
@@ -43,7 +44,7 @@ def knn_topk(vectors: DataFrame, queries: DataFrame, k: int, scope: str | None =
     found = None
     for block in range(blocks):
         mine = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        scores = usable.mapInArrow(_best_of_batches(_by_scope(mine.collect()), layout, k), layout)
+        scores = usable.mapInArrow(_best_of_batches(_by_scope(mine.collect()), layout, shape["dim"], k), layout)
         hits = top_k(scores, k)
         found = hits if found is None else found.unionByName(hits)
     return found
@@ -64,25 +65,31 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(lengths == 0, 1, lengths)
 
 
-def _best_of_batches(queries: dict, layout: T.StructType, k: int):
+def _best_of_batches(queries: dict, layout: T.StructType, dimension: int, k: int):
+    at_once = max(1, DOCUMENT_BLOCK_BYTES // (8 * dimension))
+
     def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(layout)
         for batch in batches:
-            scopes = np.array(batch.column("scope").to_pylist())
-            ids = np.array(batch.column("id").to_pylist())
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            rows = _unit(flat.reshape(len(ids), -1 if len(ids) else 1).astype(np.float64))
-            for scope in set(scopes.tolist()) & queries.keys():
-                at = np.flatnonzero(scopes == scope)
-                query_ids, unit = queries[scope]
-                for start in range(0, len(query_ids), QUERIES_AT_ONCE):
-                    part = slice(start, start + QUERIES_AT_ONCE)
-                    best = _best(ids[at], rows[at], query_ids[part], unit[part], k)
+            for start in range(0, batch.num_rows, at_once):
+                for best in _best_by_scope(batch.slice(start, at_once), queries, dimension, k):
                     yield pa.RecordBatch.from_pydict(best, schema)
 
     return best_of
 
 
+def _best_by_scope(batch: pa.RecordBatch, queries: dict, dimension: int, k: int) -> Iterator[dict[str, list]]:
+    scopes, ids = (np.array(batch.column(c).to_pylist()) for c in ("scope", "id"))
+    flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+    rows = _unit(flat.reshape(len(ids), dimension).astype(np.float64))
+    for scope in set(scopes.tolist()) & queries.keys():
+        at = np.flatnonzero(scopes == scope)
+        query_ids, unit = queries[scope]
+        for start in range(0, len(query_ids), QUERIES_AT_ONCE):
+            part = slice(start, start + QUERIES_AT_ONCE)
+            yield _best(ids[at], rows[at], query_ids[part], unit[part], k)
+
+
 def _best(ids: np.ndarray, rows: np.ndarray, query_ids: list, unit: np.ndarray, k: int) -> dict[str, list]:
     """The k best of some documents for every query, ties by id."""
     scores = np.round(1.0 / (2.0 - rows @ unit.T), DIGITS)

@@ -129,6 +129,7 @@ def test_bm25_without_documents(spark):
 def test_knn(spark, monkeypatch, block_bytes, at_once):
     monkeypatch.setattr(knn, "QUERY_BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(knn, "QUERIES_AT_ONCE", at_once)
+    monkeypatch.setattr(knn, "DOCUMENT_BLOCK_BYTES", block_bytes * 10)
     rnd = np.random.default_rng(3)
     rows = [(f"d{i:03d}", [float(x) for x in rnd.normal(size=4)]) for i in range(200)]
     rows += [(f"same{i:03d}", [1.0, 0.0, 0.0, 0.0]) for i in range(100)] + [("odd", [1.0]), ("none", None), ("zero", [0.0] * 4)]
