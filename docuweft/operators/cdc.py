@@ -115,7 +115,7 @@ def table_key_changes(
     ``replace_fanout`` also drops a key's documents that are no longer made.
     """
     build = checked_narrow_documents if narrow else checked_documents
-    docs = build(refetch(spec, source, keys), spec)
+    docs = build(refetch(spec, source, keys), spec, whole=False)
     wanted = keys.frame.select("client_id", F.col("id").alias("source_id"))
     if replace_fanout:
         cleared = wanted
@@ -135,7 +135,7 @@ def table_key_changes(
 
 
 def _of_spec(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    return rows.withColumn("doc_type", F.lit(spec.table)).withColumn("module", F.lit(spec.module))
+    return rows.withColumns({"doc_type": F.lit(spec.table), "module": F.lit(spec.module)})
 
 
 def apply_changes(

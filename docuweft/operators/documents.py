@@ -17,23 +17,27 @@ REASON = "reason"
 _TYPES = {f.name: f.type for f in DOC_FIELDS}
 
 
-def checked_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Every row as a full document with ``client_id`` and, where it is unfit, a reason."""
+def checked_documents(rows: DataFrame, spec: TableSpec, whole: bool = True) -> DataFrame:
+    """Every row as a full document with ``client_id`` and, where it is unfit, a reason.
+
+    With ``whole=False`` fields the table does not have are left out, for a
+    writer that lays rows out itself.
+    """
     rows, date = _with_date(rows, spec)
     row = Columns(rows)
     fields = _core(spec, row, date)
     fields |= {f.name: _coerced(row, f.name, f.rule) for f in PASS_THROUGH if f.name in row}
-    return _projected(rows, fields, [f.name for f in DOC_FIELDS], _reject_reason(row, spec, date))
+    return _projected(rows, fields, [f.name for f in DOC_FIELDS], _reject_reason(row, spec, date), whole)
 
 
-def checked_narrow_documents(rows: DataFrame, spec: TableSpec) -> DataFrame:
+def checked_narrow_documents(rows: DataFrame, spec: TableSpec, whole: bool = True) -> DataFrame:
     """The 17-field shape of a change event: fewer fields, plainer party name and email."""
     rows, date = _with_date(rows, spec)
     row = Columns(rows)
     fields = _core(spec, row, date)
     fields["party_name"] = row.first_truthy("customer_name", "vendor_name", "party_name", "employee_name")
     fields["email"] = row.text("email")
-    return _projected(rows, fields, NARROW_FIELDS, _reject_reason(row, spec, date))
+    return _projected(rows, fields, NARROW_FIELDS, _reject_reason(row, spec, date), whole)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -50,16 +54,21 @@ def build_documents(spec: TableSpec, source: Source, keys: Keys | None = None) -
 
 def with_vector_check(checked: DataFrame, dimension: int) -> DataFrame:
     """Reject documents whose vector is not of the expected length."""
+    if "embedding" not in checked.columns:
+        return checked
     wrong = f"if(embedding is not null and size(embedding) <> {dimension}, 'bad_vector', null)"
     return checked.withColumn(REASON, F.expr(f"coalesce({REASON}, {wrong})"))
 
 
-def _projected(rows: DataFrame, fields: dict[str, Sql], names: Sequence[str], reason: Sql) -> DataFrame:
-    """The fields a row has, then the whole layout: what it lacks is null."""
+def _projected(rows: DataFrame, fields: dict[str, Sql], names: Sequence[str], reason: Sql, whole: bool) -> DataFrame:
+    """The fields a row has; for the whole layout also those it lacks, as null."""
     cells = [f"{fields[n]} as `{n}`" for n in names if n in fields]
+    docs = rows.selectExpr("client_id", *cells, f"{reason} as {REASON}")
+    if not whole:
+        return docs
     layout = [T.StructField(n, _TYPES[n]) for n in names]
     layout = [T.StructField("client_id", T.StringType()), *layout, T.StructField(REASON, T.StringType())]
-    return rows.selectExpr("client_id", *cells, f"{reason} as {REASON}").to(T.StructType(layout))
+    return docs.to(T.StructType(layout))
 
 
 def _with_date(rows: DataFrame, spec: TableSpec) -> tuple[DataFrame, str | None]:

@@ -36,7 +36,7 @@ def table_changes(
     dimension: int | None = None,
 ) -> DataFrame:
     """A table's rows as put and reject rows, with vectors where a provider is given."""
-    docs = checked_documents(source_rows(spec, source), spec)
+    docs = checked_documents(source_rows(spec, source), spec, whole=False)
     if make_provider is not None:
         docs = embed_documents(docs, make_provider)
     if dimension is not None:
