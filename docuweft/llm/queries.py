@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, lines, simhash, urls
+from . import ann, compression, lines, packing, pii, quality_rules, sentencepiece_codec, simhash, urls, warc
 from .common import table
 
 #: Rows on which quality models may be trained; the others are held out.
 TRAINED = "pmod(crc32(encode(cast(doc_id as string), 'UTF-8')), 4) <> 2"
 
 
+#: Where the vocabulary files of public tokenizers are; a parameter of the operators.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, whether the two libraries agree on them, and whether the text comes back from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sentencepiece_codec.encode_and_verify(docs, PIECE_BPE)
+    return found.select("doc_id", "n_tokens", "ids_crc32", "agrees", "comes_back")
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.find_pii(F.col("text")).alias("spans"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -28,6 +56,19 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge_quality(docs, quality_rules.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = compression.train(docs, table(spark, sf_dir, "labels"), where=TRAINED)
@@ -36,10 +77,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op4_simhash": op4_simhash,
-    "op5_line_dedup": op5_line_dedup,
-    "op6_url_filters": op6_url_filters,
-    "op10_quality_classifier": op10_quality_classifier,
+    f.__name__: f for f in (
+        op1_sentencepiece, op2_nearest, op3_pii, op4_simhash, op5_line_dedup, op6_url_filters, op7_quality_rules, op8_packing, op9_warc,
+        op10_quality_classifier,
+    )
 }
 
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -93,4 +134,11 @@ ORACLE = {
                     when found is null or found = '||docs.' then 'allow' else 'block' end as verdict,
                case when rule is null then found end as pattern
         from judged""",
+    "op9_warc": """
+        with sized as (select page_id, sha1(coalesce(html, '')) as payload_digest, octet_length(encode(coalesce(html, ''))) as payload_bytes from pages),
+        last as (select payload_digest, max(page_id) as page_id from sized where payload_bytes >= 1000 group by all having count(*) > 1)
+        select s.page_id, s.payload_bytes, s.payload_digest,
+               case when l.page_id <> s.page_id then 'revisit' else 'response' end as record_type,
+               case when l.page_id <> s.page_id then l.page_id end as refers_to
+        from sized s left join last l on s.payload_digest = l.payload_digest""",
 }
