@@ -30,7 +30,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = agreed.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_class)
     chosen = chosen.select(F.col("doc_id").alias("_id"), "label")
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")
     )
 
