@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.registry import Registry, resolve_registry
-from ..plans.spec import FEW_KEYS, Keys, Source, TableSpec, source_rows
+from ..plans.registry import Resolve, by_spec, resolve_base
+from ..plans.spec import Keys, Source, TableSpec, source_rows
 from ..schema import DEL_KEY
-from ..session import broadcast_if_small, local_frame, written
+from ..session import broadcast_if_small, written
 from .documents import checked_documents, checked_narrow_documents, with_vector_check
 from .embedding import Provider, embed_documents
 from .routing import route
@@ -143,7 +143,7 @@ def apply_changes(
     source: Source,
     tables: DataFrame,
     seq: int,
-    resolve: Callable[[str], Registry] = resolve_registry,
+    resolve: Resolve = resolve_base,
     **options,
 ) -> DataFrame:
     """All store changes of a batch of classified events: deletes first, then the present state.
@@ -162,38 +162,22 @@ def apply_changes(
     return changes
 
 
-def batch_keys(
-    classified: DataFrame, resolve: Callable[[str], Registry] = resolve_registry
-) -> tuple[DataFrame, list[tuple[TableSpec, Keys]]]:
+def batch_keys(classified: DataFrame, resolve: Resolve = resolve_base) -> tuple[DataFrame, list[tuple[TableSpec, Keys]]]:
     """Deleted keys (client_id, table, id), and per spec the upserted ones; the events are decoded once.
 
-    The few keys of a normal batch are listed on the driver; those of a large
-    one are written to the shared folder.
+    Keys are written to the shared folder, as both are read from them.  Of each
+    spec's upserts, those that are few become a filter the scan can use.
     """
     wanted = classified.filter(F.col("action").isin(DELETE, UPSERT))
-    keys = wanted.select("action", "client_id", "table", F.col("row_id").alias("id")).distinct()
-    spark, found = classified.sparkSession, keys.limit(FEW_KEYS + 1).collect()
-    if len(found) <= FEW_KEYS:
-        layout = "client_id string, table string, id long"
-        deletes = local_frame(spark, [tuple(r)[1:] for r in found if r["action"] == DELETE], layout)
-        listed: dict[tuple[str, int], tuple[TableSpec, list]] = {}
-        for r in found:
-            if r["action"] == UPSERT:
-                spec = resolve(r["client_id"])[r["table"]]
-                listed.setdefault((r["table"], id(spec)), (spec, []))[1].append((r["client_id"], r["id"]))
-        return deletes, [(spec, Keys.listed(spark, rows)) for spec, rows in listed.values()]
-    keys = written(keys, "keys")
+    keys = written(wanted.select("action", "client_id", "table", F.col("row_id").alias("id")).distinct(), "keys")
     upserts = keys.filter(F.col("action") == UPSERT)
     # At most tenants times tables rows.
-    touched: dict[tuple[str, int], tuple[TableSpec, list[str]]] = {}
-    for r in upserts.select("client_id", "table").distinct().collect():
-        spec = resolve(r["client_id"])[r["table"]]
-        touched.setdefault((r["table"], id(spec)), (spec, []))[1].append(r["client_id"])
-    many = []
-    for spec, client_ids in touched.values():
+    touched = [(r["client_id"], r["table"], r["client_id"]) for r in upserts.select("client_id", "table").distinct().collect()]
+    found = []
+    for spec, client_ids in by_spec(sorted(touched), resolve):
         mine = upserts.filter((F.col("table") == spec.table) & F.col("client_id").isin(client_ids))
-        many.append((spec, Keys(broadcast_if_small(mine.select("client_id", "id")))))
-    return keys.filter(F.col("action") == DELETE).drop("action"), many
+        found.append((spec, Keys.of(mine)))
+    return keys.filter(F.col("action") == DELETE).drop("action"), found
 
 
 def soft_deleted(spec: TableSpec, source: Source, keys: Keys) -> DataFrame:

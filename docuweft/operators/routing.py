@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import index_name, stream_key
-from ..plans.registry import Registry, resolve_registry
+from ..plans.registry import Resolve, resolve_base
 from ..session import broadcast_if_small, local_frame
 
 # Fixed value: what a tenant id looks like.
@@ -17,7 +15,7 @@ REQUIRED = ("client_id", "db_name", "cdc_topic_prefix")
 
 
 def known_tables(
-    spark: SparkSession, client_ids: list[str], resolve: Callable[[str], Registry] = resolve_registry
+    spark: SparkSession, client_ids: list[str], resolve: Resolve = resolve_base
 ) -> DataFrame:
     """(client_id, table, module) of every table a tenant indexes: tenants times tables, configuration only."""
     rows = [(c, t, s.module) for c in client_ids for t, s in resolve(c).items()]

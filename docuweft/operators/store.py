@@ -2,27 +2,32 @@
 
 Every write is one commit folder of put, delete and reject rows, named by its
 writer, so that writing it again replaces it.  Rows carry a sequence number;
-the newest put of an id counts unless a newer delete covers it.
+the newest put of an id counts unless a newer delete covers it, whichever of
+them was written first.  A base takes commits in: it holds the current documents,
+bucketed by source row, and the deletes and rejects, so that what comes late
+still meets what is newer than it.
 """
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import CHANGE_SCHEMA, DEL_KEY, DEL_TENANT, DEL_TYPE, DOC_SCHEMA, PUT, REJECT
-from ..session import BROADCAST_ROWS, broadcast_if_small, rows_up_to
+from ..session import broadcast_if_small
 
 KEY = ["client_id", "module", "id"]
-
-
-def next_seq() -> int:
-    """Sequence number of a commit's deletes; its puts take the next one and so come after."""
-    return time.time_ns() // 1000 * 2
+#: The source row of a document, by which a base is bucketed.
+ROW = ["client_id", "doc_type", "source_id"]
+#: Documents of a bucket, about, and the most buckets a base has.
+BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 8192
+#: Tries at a sequence number before giving up.
+TRIES = 1000
 
 
 def as_changes(rows: DataFrame, kind: str, seq: int) -> DataFrame:
@@ -34,7 +39,7 @@ def as_changes(rows: DataFrame, kind: str, seq: int) -> DataFrame:
 
 #: What each kind of delete covers.
 SCOPES = {
-    DEL_KEY: ["client_id", "doc_type", "source_id"],
+    DEL_KEY: ROW,
     DEL_TYPE: ["client_id", "doc_type"],
     DEL_TENANT: ["client_id"],
 }
@@ -47,36 +52,84 @@ def newest_puts(changes: DataFrame) -> DataFrame:
     return puts.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
 
 
-def current_documents(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def deletes_of(changes: DataFrame, kind: str) -> DataFrame:
+    """(scope…, seq) of the newest delete of each scope."""
+    scope = SCOPES[kind]
+    return changes.filter(F.col("kind") == kind).groupBy(*scope).agg(F.max("seq").alias("seq"))
+
+
+def _not_deleted(rows: DataFrame, changes: DataFrame, kind: str) -> DataFrame:
+    """Rows that no newer delete of a kind covers; deletes go to the rows while they are few."""
+    scope = SCOPES[kind]
+    deleted = deletes_of(changes, kind).withColumnRenamed("seq", "_deleted")
+    deleted = deleted if kind == DEL_KEY else broadcast_if_small(deleted)
+    return rows.join(deleted, scope, "left").filter("seq > coalesce(_deleted, -1)").drop("_deleted")
+
+
+def _slot() -> Column:
+    return F.concat_ws("/", "module", "id")
+
+
+def _per_row(rows: DataFrame) -> DataFrame:
+    """(source row…, _seqs): sequence numbers of its documents by id; few, but for rows that fan out."""
+    return rows.groupBy(*ROW).agg(F.map_from_entries(F.collect_list(F.struct(_slot(), "seq"))).alias("_seqs"))
+
+
+def _other_seq() -> Column:
+    """The sequence number the same document has on the other side, null where it has none."""
+    return F.element_at("_seqs", _slot())
+
+
+def current_documents(changes: DataFrame, base: DataFrame | None = None, base_marks: DataFrame | None = None) -> DataFrame:
     """Live documents: newest put per id, less those a later delete covers.
 
-    ``base`` holds documents already reduced to one per id.  Only the change
-    rows are ranked; base rows merely lose the ids that changed.  Changed ids
-    and deletes go to the base while they are few, so it is not shuffled; a
-    tenant or type holding a third of all rows is then not gathered either.
+    ``base`` holds documents already reduced to one per id, and ``base_marks``
+    the deletes among the changes it has taken in.  Documents of the base and
+    changes meet by source row, by which a stored base is bucketed, so it is not
+    shuffled however many rows have changed; whichever has the greater sequence
+    number counts, and of equal ones the change.
     """
-    rows = newest_puts(changes).drop("kind", "reason")
-    if base is not None:
-        changed = changes.filter(F.col("kind") == PUT).select(*KEY).distinct()
-        rows = base.select(*rows.columns).join(broadcast_if_small(changed), KEY, "left_anti").unionByName(rows)
-    for kind, scope in SCOPES.items():
-        deleted = changes.filter(F.col("kind") == kind).groupBy(*scope).agg(F.max("seq").alias("_deleted"))
-        found = rows_up_to(deleted, BROADCAST_ROWS)
-        if found:
-            side = F.broadcast(deleted) if found <= BROADCAST_ROWS else deleted
-            rows = rows.join(side, scope, "left").filter("seq > coalesce(_deleted, -1)").drop("_deleted")
+    columns = [c for c in changes.columns if c not in ("kind", "reason")]
+    puts = newest_puts(changes).select(*columns)
+    deletes = changes.filter(F.col("kind").isin(list(SCOPES))).select(*ROW, "kind", "seq")
+    if base_marks is not None:
+        deletes = deletes.unionByName(base_marks.filter(F.col("kind").isin(list(SCOPES))).select(*ROW, "kind", "seq"))
+    if base is None:
+        for kind in SCOPES:
+            puts = _not_deleted(puts, deletes, kind)
+        return puts
+    kept = base.select(*columns)
+    marks = changes.filter(F.col("kind").isin(PUT, DEL_KEY)).groupBy(*ROW).agg(
+        F.max(F.when(F.col("kind") == DEL_KEY, F.col("seq"))).alias("_deleted")
+    )
+    marks = marks.join(_per_row(puts), ROW, "left")
+    stays = kept.join(marks, ROW, "left").filter(
+        (F.col("seq") > F.coalesce("_deleted", F.lit(-1))) & F.coalesce(F.col("seq") > _other_seq(), F.lit(True))
+    ).select(*columns)
+    touched = kept.select(*ROW, "module", "id", "seq").join(marks.select(*ROW), ROW, "left_semi")
+    puts = puts.join(_per_row(touched), ROW, "left").filter(F.coalesce(F.col("seq") >= _other_seq(), F.lit(True))).drop("_seqs")
+    rows = stays.unionByName(_not_deleted(puts, deletes, DEL_KEY))
+    for kind in (DEL_TYPE, DEL_TENANT):
+        rows = _not_deleted(rows, deletes, kind)
     return rows
 
 
-def reduced(changes: DataFrame) -> DataFrame:
-    """Changes that say the same in fewer rows: the newest put per id and delete per scope."""
-    kept = newest_puts(changes)
+def marks_of(changes: DataFrame) -> DataFrame:
+    """Deletes, the newest of each scope, and the newest reject of each refused row, as change rows."""
+    rejects = changes.filter(F.col("kind") == REJECT)
+    newest = rejects.groupBy("client_id", "module", "doc_type", "source_id", "id", "reason", "kind").agg(F.max("seq").alias("seq"))
+    kept = newest.to(CHANGE_SCHEMA)
     for kind, scope in SCOPES.items():
         deletes = changes.filter(F.col("kind") == kind).groupBy(*scope, "kind").agg(
             F.max("seq").alias("seq"), *([F.first("module").alias("module")] if kind != DEL_TENANT else [])
         )
         kept = kept.unionByName(deletes.to(CHANGE_SCHEMA))
-    return kept.unionByName(changes.filter(F.col("kind") == REJECT))
+    return kept
+
+
+def reduced(changes: DataFrame) -> DataFrame:
+    """Changes that say the same in fewer rows: the newest put per id, delete per scope and reject per row."""
+    return newest_puts(changes).to(CHANGE_SCHEMA).unionByName(marks_of(changes))
 
 
 @dataclass(frozen=True)
@@ -84,25 +137,38 @@ class DocumentStore:
     spark: SparkSession
     root: str
 
-    def commit(self, changes: DataFrame, name: str, spread: bool = True) -> str:
-        """Write one commit; the same name again replaces it.
+    def next_seq(self) -> int:
+        """A number greater than all given out before, by any driver: a delete's; puts of its commit take the next one.
 
-        ``spread`` gathers rows by target folder into even files and splits
-        folders too large for one task.
+        Numbers are files made under a name that must be new.
+        """
+        fs, folder = self._at("seqs")
+        fs.mkdirs(folder)
+        for _ in range(TRIES):
+            given = [int(s.getPath().getName()) for s in fs.listStatus(folder)]
+            number = max([time.time_ns() // 1000 * 2, *(n + 2 for n in given)])
+            if fs.createNewFile(self._at(f"seqs/{number}")[1]):
+                for n in sorted(given)[:-100]:
+                    fs.delete(self._at(f"seqs/{n}")[1], False)
+                return number
+        raise RuntimeError(f"no sequence number could be taken under {self.root}")
+
+    def commit(self, changes: DataFrame, name: str) -> str:
+        """Write one commit of even files; the same name again replaces it.
+
+        Rows of a tenant and index come together, so that readers of some skip the rest by the files' statistics.
         """
         if name in self._head()[1]:
             name = f"{name}-{uuid.uuid4().hex[:8]}"
-        if spread:
-            changes = changes.hint("rebalance", "kind", "client_id", "module")
-        changes.write.mode("overwrite").partitionBy("kind", "client_id", "module").parquet(self._commit_path(name))
+        changes = changes.to(CHANGE_SCHEMA).hint("rebalance", "client_id", "module").sortWithinPartitions("client_id", "module", "kind")
+        changes.write.mode("overwrite").parquet(self._commit_path(name))
         return name
 
     def read(self, names: list[str]) -> DataFrame:
         """Change rows of the named commits."""
         if not names:
             return self.spark.createDataFrame([], CHANGE_SCHEMA)
-        reader = self.spark.read.schema(CHANGE_SCHEMA).option("basePath", f"{self.root}/commits")
-        return reader.parquet(*[self._commit_path(n) for n in names]).select(*CHANGE_SCHEMA.fieldNames())
+        return self.spark.read.schema(CHANGE_SCHEMA).parquet(*[self._commit_path(n) for n in names])
 
     def changes(self) -> DataFrame:
         """Change rows of the finished commits that are not taken in elsewhere."""
@@ -112,48 +178,103 @@ class DocumentStore:
         return [n.partition("=")[2] for n in self._finished("commits")]
 
     def base(self) -> DataFrame | None:
+        """The documents of the base in force."""
         name = self._head()[0]
-        if name is None:
-            return None
-        return self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}")
+        return None if name is None else self._base_documents(name)
+
+    def base_marks(self) -> DataFrame | None:
+        """The deletes and rejects the base has taken in."""
+        name = self._head()[0]
+        return None if name is None else self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}/marks")
 
     def snapshot(self, client_id: str | None = None, module: str | None = None) -> DataFrame:
-        """Current documents, of one tenant or index if named; only their folders are read."""
-        changes, base = self.changes(), self.base()
+        """Current documents, of one tenant or index if named."""
+        parts = [self.changes(), self.base(), self.base_marks()]
         if client_id is not None:
-            changes = changes.filter(F.col("client_id") == client_id)
-            base = base.filter(F.col("client_id") == client_id) if base is not None else None
+            parts = [p if p is None else p.filter(F.col("client_id") == client_id) for p in parts]
         if module is not None:
-            in_scope = (F.col("module") == module) | (F.col("kind") == DEL_TENANT)
-            changes = changes.filter(in_scope)
-            base = base.filter(F.col("module") == module) if base is not None else None
-        return current_documents(changes, base).select("client_id", "seq", *DOC_SCHEMA.fieldNames())
+            parts = [p if p is None else p.filter((F.col("module") == module) | (F.col("kind") == DEL_TENANT)) for p in parts]
+        return current_documents(*parts).select("client_id", "seq", *DOC_SCHEMA.fieldNames())
 
     def rejects(self) -> DataFrame:
-        refused = self.changes().filter(F.col("kind") == REJECT)
-        return refused.select("client_id", "doc_type", "source_id", "id", "reason", "seq")
+        """Rows refused, those the base has taken in too."""
+        changes, marks = self.changes(), self.base_marks()
+        rows = changes if marks is None else changes.unionByName(marks)
+        return rows.filter(F.col("kind") == REJECT).select("client_id", "doc_type", "source_id", "id", "reason", "seq")
 
     def merge(self) -> None:
         """Put the open commits into one, so that a stream's many small commits stay few to list and read."""
         names, taken = self._open_commits(), self._head()[1]
+        if not names:
+            return
         merged = self.commit(reduced(self.read(names)), f"merged-{_stamp()}")
         self._set_head(self._head()[0], (taken | set(names)) - {merged})
 
     def compact(self) -> None:
-        """Write the current documents as a new base that takes in all commits so far."""
+        """Write the current documents, and the deletes and rejects so far, as a new base that takes in all commits."""
         finished, name = self.commits(), _stamp()
-        rows = self.snapshot().withColumn("kind", F.lit(PUT)).to(CHANGE_SCHEMA)
-        rows = rows.hint("rebalance", "client_id", "module")
-        rows.write.mode("overwrite").partitionBy("client_id", "module").parquet(f"{self.root}/bases/{name}")
+        changes, base, marks = self.changes(), self.base(), self.base_marks()
+        rows = current_documents(changes, base, marks).withColumn("kind", F.lit(PUT)).withColumn("reason", F.lit(None).cast("string"))
+        marks_of(changes if marks is None else changes.unionByName(marks)).write.parquet(f"{self.root}/bases/{name}/marks")
+        known = self._table(name, "staged")
+        rows.to(CHANGE_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/bases/{name}/staged")
+        staged = self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}/staged")
+        buckets = min(MOST_BUCKETS, 1 << max(3, (staged.count() // BUCKET_ROWS).bit_length()))
+        path = f"{self.root}/bases/{name}/documents-{buckets}"
+        # a row for each bucket's task, so that every bucket is one file
+        staged.repartition(buckets, *ROW).write.bucketBy(buckets, *ROW).sortBy(*ROW).option("path", path).mode("overwrite").saveAsTable(known)
+        self.spark.sql(f"DROP TABLE IF EXISTS {known}")
+        fs, left = self._at(f"bases/{name}/staged")
+        fs.delete(left, True)
         self._set_head(name, set(finished))
 
+    def vacuum(self, older_than_seconds: float = 86_400) -> None:
+        """Remove commits that are taken in, and bases and heads no longer in force, once they are old enough for no reader to need them."""
+        base, taken = self._head()
+        heads, before = self._finished("heads"), (time.time() - older_than_seconds) * 1000
+        old = [f"commits/commit={n}" for n in self.commits() if n in taken]
+        old += [f"bases/{n}" for n in self._folders("bases") if n != base] + [f"heads/{n}" for n in heads[:-1]]
+        gone = set()
+        for place in old:
+            fs, path = self._at(place)
+            if fs.exists(path) and fs.getFileStatus(path).getModificationTime() <= before:
+                fs.delete(path, True)
+                gone.add(place.partition("commit=")[2])
+        if taken & gone:
+            self._set_head(base, taken - gone)
+
+    def _at(self, place: str):
+        """The file system of a place under the root, and its path there."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{place}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _table(self, name: str, what: str) -> str:
+        mark = re.sub(r"\W", "_", f"{uuid.uuid5(uuid.NAMESPACE_URL, self.root).hex}_{name}_{what}")
+        return f"documents_{mark}"
+
+    def _base_documents(self, name: str) -> DataFrame:
+        """The bucketed documents of a base, made known to this session's catalog where they are not yet."""
+        (folder,) = [f for f in self._folders(f"bases/{name}") if f.startswith("documents-")]
+        table, buckets = self._table(name, "base"), int(folder.rpartition("-")[2])
+        if not self.spark.catalog.tableExists(table):
+            layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CHANGE_SCHEMA)
+            by = ", ".join(ROW)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({layout}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+                f" LOCATION '{self.root}/bases/{name}/{folder}'"
+            )
+        return self.spark.table(table)
+
     def _commit_path(self, name: str) -> str:
         return f"{self.root}/commits/commit={name}"
 
+    def _folders(self, place: str) -> list[str]:
+        fs, path = self._at(f"{place}/*")
+        return sorted(s.getPath().getName() for s in fs.globStatus(path) or [])
+
     def _finished(self, folder: str) -> list[str]:
         """Names of the sub-folders whose write has finished."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/*/_SUCCESS")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, path = self._at(f"{folder}/*/_SUCCESS")
         return sorted(s.getPath().getParent().getName() for s in fs.globStatus(path) or [])
 
     def _open_commits(self) -> list[str]:
@@ -161,7 +282,7 @@ class DocumentStore:
         return [n for n in self.commits() if n not in taken]
 
     def _head(self) -> tuple[str | None, set[str]]:
-        """The base in force and the commits it or a merged commit has taken in."""
+        """The base in force and the commits it or a merged commit has taken in and that are not removed yet."""
         names = self._finished("heads")
         if not names:
             return None, set()

@@ -5,19 +5,18 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import registry
-from ..plans.registry import Registry, resolve_registry
+from ..plans.registry import Registry, Resolve, resolve_base, variants
 from ..plans.spec import Source, TableSpec, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE, PUT, REJECT
 from .documents import REASON, checked_documents, with_vector_check
 from .embedding import Provider, embed_documents
 from .status import RunStatus, write_status
-from .store import DocumentStore, as_changes, next_seq
+from .store import DocumentStore, as_changes
 
 log = logging.getLogger(__name__)
 
@@ -62,16 +61,19 @@ def sync(
     runs_path: str | None = None,
     force: bool = False,
     at_once: int = 4,
+    resolve: Resolve = resolve_base,
 ) -> dict[str, RunStatus]:
     """Index the given tables (None: all, []: none) of the given tenants.
 
     ``upsert`` never removes documents; ``full_reindex`` replaces each table's
     documents in one commit; ``recreate`` first clears every module of the
-    tenants and therefore refuses a subset of tables unless forced.  A failing
-    table is recorded and does not stop the others.
+    tenants and therefore refuses a subset of tables unless forced.  ``resolve``
+    gives each tenant's own registry.  Tenants with the same spec share a job;
+    where that fails, each is tried alone, so that a failing table is recorded
+    for the tenants at fault only and stops no other.
     """
     spark, job_id = store.spark, job_id or uuid.uuid4().hex
-    registries = {c: resolve_registry(c) for c in client_ids}
+    registries = {c: resolve(c) for c in client_ids}
     wanted = {c: list(reg) if tables is None else list(tables) for c, reg in registries.items()}
     _check_tables(registries, wanted)
     if mode == RECREATE and tables is not None and not force:
@@ -82,18 +84,26 @@ def sync(
     try:
         if mode == RECREATE:
             scopes = [{"client_id": c} for c in client_ids]
-            store.commit(delete_scope(spark, DEL_TENANT, next_seq(), scopes), f"{job_id}-recreate")
+            store.commit(delete_scope(spark, DEL_TENANT, store.next_seq(), scopes), f"{job_id}-recreate")
         names = sorted({t for ts in wanted.values() for t in ts})
-        work = [(t, spec, cs) for t in names for spec, cs in registry.variants(list(client_ids), t)]
+        asked = {t: [c for c in client_ids if t in wanted[c]] for t in names}
+        work = [(t, spec, cs) for t in names for spec, cs in variants(asked[t], t, resolve)]
         with ThreadPoolExecutor(at_once) as pool:
-            jobs = {
-                pool.submit(_sync_table, store, source, spec, cs, mode, make_provider, dimension, f"{job_id}-{t}-{n}"): (t, cs)
-                for n, (t, spec, cs) in enumerate(work)
-            }
-            for done in as_completed(jobs):
-                table, members = jobs[done]
-                _record(runs, table, members, done)
-                write_status(spark, runs_path, [runs[c] for c in members])
+            def submit(label: str, table: str, spec: TableSpec, members: list[str]):
+                job = pool.submit(_sync_table, store, source, spec, members, mode, make_provider, dimension, f"{job_id}-{label}")
+                return job, (label, table, spec, members)
+
+            jobs = dict(submit(f"{t}-{n}", t, spec, cs) for n, (t, spec, cs) in enumerate(work))
+            while jobs:
+                ended, _ = wait(jobs, return_when=FIRST_COMPLETED)
+                for done in ended:
+                    label, table, spec, members = jobs.pop(done)
+                    if done.exception() is not None and len(members) > 1:
+                        log.warning("sync of %s failed for %s together; trying each alone", table, members, exc_info=done.exception())
+                        jobs.update(submit(f"{label}-{n}", table, spec, [c]) for n, c in enumerate(members))
+                        continue
+                    _record(runs, table, members, done)
+                    write_status(spark, runs_path, [runs[c] for c in members])
     except Exception:
         for run in runs.values():
             run.finish("failed")
@@ -117,15 +127,17 @@ def _sync_table(
     make_provider: Callable[[], Provider] | None, dimension: int | None, name: str,
 ) -> dict[str, tuple[int, int]]:
     """Write one table of some tenants as one commit; (indexed, errors) per tenant."""
+    mine = source.of(client_ids) if hasattr(source, "of") else source
+
     def own(table: str) -> DataFrame:
-        return source(table).filter(F.col("client_id").isin(client_ids))
+        return mine(table).filter(F.col("client_id").isin(client_ids))
 
-    seq = next_seq()
+    seq = store.next_seq()
     changes = table_changes(spec, own, seq, make_provider, dimension)
     if mode == FULL_REINDEX:
         scopes = [{"client_id": c, "module": spec.module, "doc_type": spec.table} for c in client_ids]
         changes = changes.unionByName(delete_scope(store.spark, DEL_TYPE, seq, scopes))
-    name = store.commit(changes, name, spread=len(client_ids) > 1)
+    name = store.commit(changes, name)
     counts = store.read([name]).groupBy("client_id").agg(
         F.count_if(F.col("kind") == PUT).alias("puts"), F.count_if(F.col("kind") == REJECT).alias("rejects")
     )

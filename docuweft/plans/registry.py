@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import replace
-from typing import Any
+from typing import Any, TypeVar
 
 from . import account, document, inventory, manufacturing, purchase, rental, sales
-from .spec import TAKE, TableSpec, party
+from .spec import TableSpec
 
 Registry = Mapping[str, TableSpec]
+#: A tenant's registry.
+Resolve = Callable[[str], Registry]
+T = TypeVar("T")
 #: Per table: fields to replace, a whole spec to add, or None to drop it.
 Overrides = Mapping[str, "Mapping[str, Any] | TableSpec | None"]
 
@@ -19,14 +22,6 @@ BASE: Registry = {
     for spec in group.SPECS
 }
 
-# Tenants and what differs for them.  This tenant's opportunities
-# have no company of their own; it comes from the party alone.
-TENANT_OVERRIDES: Mapping[str, Overrides] = {
-    "spar": {"sl_opportunity_parties": {"lookups": (party("party_id", "party_name", company=TAKE),)}},
-    "dev_env": {},
-}
-
-
 def apply_overrides(base: Registry, overrides: Overrides) -> dict[str, TableSpec]:
     """Base specs with fields replaced, tables dropped and tables added; base stays as it was."""
     merged = {t: s for t, s in base.items() if overrides.get(t, s) is not None}
@@ -40,30 +35,57 @@ def apply_overrides(base: Registry, overrides: Overrides) -> dict[str, TableSpec
     return merged
 
 
-def resolve_registry(client_id: str, tenants: Mapping[str, Overrides] = TENANT_OVERRIDES) -> dict[str, TableSpec]:
-    return apply_overrides(BASE, tenants.get(client_id, {}))
+def resolver(tenants: Mapping[str, Overrides]) -> Resolve:
+    """A function from tenant to registry; each is made once, so that its specs stay the same objects."""
+    made: dict[str, Registry] = {}
+
+    def resolve(client_id: str) -> Registry:
+        if client_id not in tenants:
+            return BASE
+        if client_id not in made:
+            made[client_id] = apply_overrides(BASE, tenants[client_id])
+        return made[client_id]
+
+    return resolve
+
+
+#: Every tenant as the base has it.
+resolve_base: Resolve = resolver({})
 
 
 def modules(registry: Registry = BASE) -> list[str]:
     return sorted({spec.module for spec in registry.values()})
 
 
-def indices_for(client_id: str, registry: Registry | None = None) -> list[str]:
+def indices_for(client_id: str, resolve: Resolve = resolve_base) -> list[str]:
     """The tenant's index names, from its own resolved registry."""
-    return [f"{client_id}_{m}" for m in modules(registry or resolve_registry(client_id))]
+    return [f"{client_id}_{m}" for m in modules(resolve(client_id))]
 
 
-def variants(client_ids: list[str], table: str) -> list[tuple[TableSpec, list[str]]]:
-    """The distinct specs of a table and the tenants each applies to.
+def by_spec(wanted: Iterable[tuple[str, str, T]], resolve: Resolve) -> list[tuple[TableSpec, list[T]]]:
+    """Members, given as (tenant, table, member), under the different specs that apply to them.
 
-    Tenants that share a spec are read, joined and written as one plan, so the
-    number of jobs follows the number of variants and not of tenants.
+    Specs that are equal are one, whoever made them, so the number of plans
+    follows the number of variants and not of tenants or rows.  A table that a
+    tenant does not have is left out.
     """
-    groups: dict[int, tuple[TableSpec, list[str]]] = {}
-    for client_id in client_ids:
-        spec = resolve_registry(client_id).get(table)
+    known: dict[str, Registry] = {}
+    groups: dict[str, list[tuple[TableSpec, list[T]]]] = {}
+    for client_id, table, member in wanted:
+        if client_id not in known:
+            known[client_id] = resolve(client_id)
+        spec = known[client_id].get(table)
         if spec is None:
             continue
-        key = id(spec) if spec is BASE.get(table) else hash((table, client_id))
-        groups.setdefault(key, (spec, []))[1].append(client_id)
-    return list(groups.values())
+        variants = groups.setdefault(table, [])
+        found = next((members for other, members in variants if other is spec or other == spec), None)
+        if found is None:
+            found = []
+            variants.append((spec, found))
+        found.append(member)
+    return [group for variants in groups.values() for group in variants]
+
+
+def variants(client_ids: Sequence[str], table: str, resolve: Resolve = resolve_base) -> list[tuple[TableSpec, list[str]]]:
+    """The distinct specs of a table and the tenants each applies to."""
+    return by_spec(((c, table, c) for c in client_ids), resolve)

@@ -153,10 +153,12 @@ def _looked_up(table: DataFrame, lk: Lookup, prefix: str) -> DataFrame:
 def _join(rows: DataFrame, lk: Lookup, found: DataFrame, prefix: str) -> DataFrame:
     """Join by (tenant, key), without letting one key value gather in one task.
 
-    Rows with a null foreign key would all hash alike, so they get a spread key
-    and a condition that keeps them unmatched.  A junction is the many side of a
-    left join, which cannot be split there; as an inner join plus the rows it
-    leaves over, either side can be.
+    Rows with a null foreign key would all hash alike, so a second key spreads
+    them: it is 0 for a row that has a key and for every row looked up, and some
+    other number for the rest, which match nothing anyway.  The keys themselves
+    are compared as they are, whatever their types.  A junction is the many side
+    of a left join, which cannot be split there; as an inner join plus the rows
+    it leaves over, either side can be.
     """
     here, there = f"`{lk.on[0]}`", f"{prefix}key"
     tenant = f"client_id = {prefix}client"
@@ -166,9 +168,10 @@ def _join(rows: DataFrame, lk: Lookup, found: DataFrame, prefix: str) -> DataFra
         if lk.how == "left":
             keys = found.select(prefix + "client", there).distinct()
             matched = matched.unionByName(rows.join(keys, on, "left_anti"), allowMissingColumns=True)
-    else:
-        kind = rows.schema[lk.on[0]].dataType.simpleString()
-        spread = f"cast(pmod(xxhash64(id), 1073741824L) as {kind})"
-        on = F.expr(f"{tenant} and coalesce({here}, {spread}) = {there} and {here} is not null")
-        matched = rows.join(found, on, "left")
-    return matched.drop(prefix + "client", there)
+        return matched.drop(prefix + "client", there)
+    spread, zero = f"{prefix}spread", f"{prefix}zero"
+    rows = rows.withColumn(spread, F.expr(f"if({here} is null, 1 + pmod(xxhash64(id), 1073741824L), 0L)"))
+    # a plain 0 would be folded into the condition and be no key any more
+    found = found.withColumn(zero, F.expr(f"pmod(xxhash64({there}), 1L)"))
+    matched = rows.join(found, F.expr(f"{tenant} and {here} = {there} and {spread} = {zero}"), "left")
+    return matched.drop(prefix + "client", there, spread, zero)

@@ -17,7 +17,7 @@ from ..operators.documents import build_documents, checked_documents, checked_na
 from ..operators.embedding import HashingProvider, embed_documents
 from ..operators.store import DocumentStore, as_changes, current_documents
 from ..operators.sync import delete_scope, sync, table_changes
-from ..plans.registry import BASE, modules, resolve_registry
+from ..plans.registry import BASE, modules
 from ..plans.spec import Keys, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
@@ -25,7 +25,7 @@ from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer,
 from ..session import configure, shared_folder, written
 from ..sources.tables import scan
 from ..streaming.ingest import ChangeIngest
-from . import registry
+from . import registry, tenants
 from .views import TENANTS, Tables, pick
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,7 +243,7 @@ def build_documents_narrow(t):
 
 @query
 def tenant_override(t):
-    return build_documents(resolve_registry("spar")["sl_opportunity_parties"], _opportunities(t)).select(
+    return build_documents(tenants.resolve("spar")["sl_opportunity_parties"], _opportunities(t)).select(
         "client_id", "id", "title", "company_id", "amount", "text_content"
     )
 
@@ -322,7 +322,7 @@ def delete_by_source_id(t):
 def upsert_apply(t):
     """Change events applied over a base of stored documents, counted per index."""
     events = cdc.classify(_parsed(t), _tables(t))
-    changes = written(cdc.apply_changes(events, t.source(), _tables(t), 100), "changes")
+    changes = written(cdc.apply_changes(events, t.source(), _tables(t), 100, tenants.resolve), "changes")
     base = as_changes(docs_of(t, "parties"), "'put'", 0).drop("kind", "reason")
     live = current_documents(changes, base)
     index = index_name(F.col("client_id"), F.col("module")).alias("index_name")
@@ -341,8 +341,8 @@ def store_end_to_end(t):
     """A sync of two tables written to a store, then a batch of change events, read back."""
     folder = f"{shared_folder(t.spark)}/store-{uuid.uuid4().hex}"
     store = DocumentStore(t.spark, f"{folder}/documents")
-    sync(store, t.source(), TENANTS, ["sl_sales_orders", "parties"])
-    ingest = ChangeIngest(store, t.source(), _streams(t), _tables(t), f"{folder}/state")
+    sync(store, t.source(), TENANTS, ["sl_sales_orders", "parties"], resolve=tenants.resolve)
+    ingest = ChangeIngest(store, t.source(), _streams(t), _tables(t), f"{folder}/state", resolve=tenants.resolve)
     ingest(t.raw_events(), 0)
     return store.snapshot().select("client_id", "id", "doc_type", "title", "amount")
 
@@ -377,7 +377,7 @@ def job_summary(t):
 
 
 def _tables(t: Tables) -> DataFrame:
-    return routing.known_tables(t.spark, list(TENANTS))
+    return routing.known_tables(t.spark, list(TENANTS), tenants.resolve)
 
 
 def _streams(t: Tables) -> DataFrame:
@@ -422,7 +422,7 @@ def cdc_soft_delete(t):
 @query
 def cdc_apply(t):
     events = cdc.classify(_parsed(t), _tables(t))
-    changes = cdc.apply_changes(events, t.source(), _tables(t), 100)
+    changes = cdc.apply_changes(events, t.source(), _tables(t), 100, tenants.resolve)
     return changes.select("client_id", "kind", "seq", "doc_type", "source_id", "id", "title")
 
 

@@ -27,11 +27,20 @@ def frame_source(frames: Mapping[str, DataFrame], client_ids: Sequence[str] | No
 
 
 def lake_source(spark: SparkSession, root: str, *, client_ids: Sequence[str]) -> Source:
-    """Parquet tables under ``root/<table>/client_id=<id>``; other tenants' folders are not even listed."""
+    """Parquet tables under ``root/<table>/client_id=<id>``; other tenants' folders are not even listed.
+
+    A tenant without a folder has no rows of that table; a table that no tenant has is an error.
+    """
+
+    def exists(folder: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
     def read(table: str) -> DataFrame:
-        folders = [f"{root}/{table}/client_id={c}" for c in client_ids]
-        df = spark.read.option("basePath", f"{root}/{table}").parquet(*folders)
+        folders = [f for c in client_ids if exists(f := f"{root}/{table}/client_id={c}")]
+        if not folders:
+            raise KeyError(f"no tenant has a source table {table}")
+        df = spark.read.option("basePath", f"{root}/{table}").option("mergeSchema", "true").parquet(*folders)
         return df.withColumn("client_id", F.col("client_id").cast("string"))
 
     return read
@@ -49,11 +58,18 @@ class JdbcSource:
     its index; it wants one partition.
     """
 
-    def __init__(self, spark: SparkSession, options: Mapping[str, Mapping[str, str]], partitions: int = 32):
+    def __init__(
+        self, spark: SparkSession, options: Mapping[str, Mapping[str, str]], partitions: int = 32, client_ids: Sequence[str] | None = None
+    ):
         self._spark, self._options, self._partitions = spark, options, partitions
+        self._client_ids = list(options) if client_ids is None else list(client_ids)
+
+    def of(self, client_ids: Sequence[str]) -> JdbcSource:
+        """The same source for some tenants: no other database is asked."""
+        return JdbcSource(self._spark, self._options, self._partitions, client_ids)
 
     def __call__(self, table: str) -> DataFrame:
-        return self._union({c: self._ranges(c, table) for c in self._options})
+        return self._union({c: self._ranges(c, table) for c in self._client_ids})
 
     def _reader(self, client_id: str):
         return self._spark.read.format("jdbc").options(fetchsize="10000", **self._options[client_id])

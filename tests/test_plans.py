@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import erp
-from docuweft.operators.store import as_changes, current_documents
+from docuweft.operators.store import DocumentStore, as_changes
 from docuweft.plans.registry import BASE
 from docuweft.operators.documents import build_documents
 from docuweft.plans.spec import Keys, source_rows
@@ -41,14 +41,33 @@ def test_few_keys_reach_the_scan_and_cut_the_lookup(spark, tmp_path):
     assert source_rows(BASE["sl_sales_orders"], source, keys).count() == 1
 
 
-def test_few_changes_do_not_shuffle_the_base(spark, tmp_path):
+def test_changes_of_any_number_do_not_shuffle_the_base(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path))
     docs = spark.range(1000).selectExpr("'t1' as client_id", "'m' as module", "'x' as doc_type", "concat('x:', id) as id", "id as source_id")
-    base = written(as_changes(docs, "'put'", 0).drop("kind", "reason"), "base")
-    changes = written(as_changes(docs.limit(5), "'put'", 10).unionByName(as_changes(docs.limit(3), "'del_key'", 20)), "changes")
-    text = plan(current_documents(changes, base).select("id"))
-    base_side = next(part for part in text.split("Union")[1].split("BroadcastHashJoin") if "base-" in part)
-    assert "Exchange" not in base_side.split("FileScan")[0]
-    assert "WindowGroupLimit" in text and "SortMergeJoin" not in text
+    store.commit(as_changes(docs, "'put'", 0), "a")
+    store.compact()
+    many = spark.range(250_000).selectExpr("'t1' as client_id", "'m' as module", "'x' as doc_type", "concat('x:', id) as id", "id as source_id")
+    store.commit(as_changes(many, "'put'", 10).unionByName(as_changes(docs.limit(3), "'del_key'", 20)), "b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        live = store.snapshot().select("id")
+        text = plan(live)
+        assert live.count() == 249_997
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    scans = [n for n, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(scans) == 2 and "WindowGroupLimit" in text
+    for n in scans:  # up from each scan of the base the first join comes before any exchange
+        depth = len(lines[n]) - len(lines[n].lstrip(" :+-"))
+        above = []
+        for line in reversed(lines[:n]):
+            own = len(line) - len(line.lstrip(" :+-"))
+            if own < depth:
+                above.append(line)
+                depth = own
+        met = next(line for line in above if "Join" in line or "Exchange" in line)
+        assert "Join" in met
 
 
 def test_ranking_keeps_k_rows_per_task_and_does_not_shuffle_postings(spark):

@@ -4,9 +4,12 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import erp
 from docuweft.operators.documents import REASON, build_documents, checked_documents
-from docuweft.plans.registry import BASE, apply_overrides, indices_for, modules, resolve_registry, variants
+from docuweft.plans.registry import BASE, apply_overrides, indices_for, modules, variants
+from docuweft.sample.tenants import resolve as resolve_registry
 from docuweft.plans.spec import Keys, TableSpec, source_rows
 from docuweft.schema import ANALYZER_OF, DOC_FIELDS, NARROW_FIELDS
 
@@ -77,7 +80,17 @@ def test_indices_and_variants():
     assert "spar_account" in indices_for("spar") and len(indices_for("spar")) == 7
     assert not set(indices_for("spar")) & set(indices_for("dev_env"))
     assert [c for _, c in variants(["spar", "dev_env", "x1"], "parties")] == [["spar", "dev_env", "x1"]]
-    assert sorted(c for _, c in variants(["spar", "dev_env", "x1"], "sl_opportunity_parties")) == [["dev_env", "x1"], ["spar"]]
+    assert sorted(c for _, c in variants(["spar", "dev_env", "x1"], "sl_opportunity_parties", resolve_registry)) == [["dev_env", "x1"], ["spar"]]
+
+
+def test_equal_specs_are_one_variant_whoever_made_them():
+    change = {"sl_quotation": {"status": "other"}}
+
+    def fresh(client_id):
+        return apply_overrides(BASE, change if client_id != "plain" else {})
+
+    assert sorted(c for _, c in variants(["a", "plain", "b"], "sl_quotation", fresh)) == [["a", "b"], ["plain"]]
+    assert variants(["a"], "no_such_table", fresh) == []
 
 
 def orders(spark, *rows, types=None):
@@ -102,6 +115,14 @@ def test_join_edges(spark):
     }
 
 
+@pytest.mark.parametrize("kind", ["smallint", "decimal(5,0)", "tinyint", "decimal(10,2)", "string", "bigint"])
+def test_join_keys_of_any_type(spark, kind):
+    rows = orders(spark, {"id": 1}, {"id": 2, "customer_id": None}, {"id": 3, "customer_id": 99}).withColumn("customer_id", F.col("customer_id").cast(kind))
+    frames = {"sl_sales_orders": rows, "parties": erp.frame(spark, "parties", erp.party())}
+    got = {r["id"]: r["customer_name"] for r in source_rows(BASE["sl_sales_orders"], frames.__getitem__).collect()}
+    assert got == {1: "Ann Lee", 2: None, 3: None}
+
+
 def test_party_names(spark):
     people = [
         dict(id=1, company_name="Acme", first_name=None, last_name=None), dict(id=2),

@@ -1,15 +1,19 @@
 """The change stream with a file source: every kind of event, replay, restart, dead letters."""
 
 import json
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 import erp
 from docuweft.operators import cdc, routing
 from docuweft.operators.store import DocumentStore
 from docuweft.operators.sync import sync
 from docuweft.plans.registry import BASE
+from docuweft.plans import spec
 from docuweft.plans.spec import Keys
+from docuweft.sample import tenants
 from docuweft.sources.changes import file_changes
 from docuweft.streaming.ingest import ChangeIngest
 
@@ -131,6 +135,62 @@ def test_failing_batch_is_retried_then_dead_lettered(world):
     assert world.titles() == {("spar", "parties:3"): "Party · P3 Lee"}
 
 
+def test_only_the_failing_tenant_is_dead_lettered(world):
+    world.send(upsert(1))
+    world.send(upsert(2), client="dev_env")
+    healthy = world.source
+
+    def source(table):
+        rows = healthy(table)
+        broken = F.when((F.col("client_id") == "dev_env") & (F.col("id") > 0), F.raise_error(F.lit("bad tenant")).cast("int"))
+        return rows.withColumn("is_deleted", F.coalesce(broken, F.col("is_deleted")))
+
+    world.ingest.source = source
+    for _ in range(cdc.MAX_DELIVERIES):
+        with pytest.raises(Exception):
+            world.run()
+    world.run()
+    assert world.titles() == {("spar", "parties:1"): "Party · P1 Lee"}
+    assert [r["original_id"] for r in world.ingest.dead().collect()] == ["2-0"]
+
+
+def test_unsound_routes_stop_the_ingest(world, spark):
+    rows = [("spar", "db", "p"), ("dev_env", "db", "p")]
+    tenants = spark.createDataFrame(rows, "client_id string, db_name string, cdc_topic_prefix string")
+    with pytest.raises(ValueError, match="shared_routing_key"):
+        ChangeIngest(world.store, world.source, world.ingest.streams, world.ingest.tables, str(world.folder), tenants=tenants)
+
+
+@pytest.mark.parametrize("few", [10_000, 10])
+def test_an_overridden_table_is_one_plan_for_any_number_of_keys(spark, world, monkeypatch, few):
+    monkeypatch.setattr(spec, "FEW_KEYS", few)
+    rows = spark.range(5000).selectExpr("'spar' as client_id", "'sl_opportunity_parties' as table", "id as row_id", "'upsert' as action")
+    made = []
+
+    def resolve(client_id):
+        made.append(client_id)
+        return dict(tenants.resolve(client_id)) | {"sl_opportunity_parties": replace(BASE["sl_opportunity_parties"], status="x")}
+
+    _, upserts = cdc.batch_keys(rows, resolve)
+    assert len(upserts) == 1 and made == ["spar"] and upserts[0][1].frame.count() == 5000
+
+
+def test_stream_state_stays_small(world):
+    world.ingest.merge_every = 5
+    for n in range(12):
+        raw = world.spark.createDataFrame([("cdc_spar.shared_db.parties", str(n), json.dumps({"source": {"table": "parties"}, **upsert(1 + n % 3)}))],
+                                          "stream string, msg_id string, value string")
+        world.ingest(raw, n)
+    before = world.titles()
+    world.store.compact()
+    world.store.vacuum(older_than_seconds=0)
+    assert world.titles() == before and len(before) == 3
+    left = [str(p.relative_to(world.folder)) for p in world.folder.rglob("*") if p.is_dir()]
+    assert not any("attempts/" in p or "dead/" in p for p in left)
+    assert sum(p.startswith("docs/commits/") for p in left) == 0 and sum(p.startswith("docs/heads/") for p in left) <= 2
+    assert sum(p.count("/") == 2 and p.startswith("docs/bases/") for p in left) == 1
+
+
 def test_refused_document_fails_the_batch(world, spark):
     broken = erp.frame(spark, "parties", *world.rows.values()).withColumn("date_of_joining", erp_text("never"))
     world.ingest.source = {"parties": broken}.__getitem__
@@ -169,7 +229,7 @@ def test_many_keys_take_the_distributed_way(spark, world, monkeypatch):
         return sorted((r["kind"], r["source_id"], r["seq"], r["title"] or "") for r in rows.collect())
 
     few = changes()
-    monkeypatch.setattr(cdc, "FEW_KEYS", 1)
+    monkeypatch.setattr(spec, "FEW_KEYS", 1)
     assert changes() == few
     assert [(k, i) for k, i, _, _ in few] == [("del_key", 3), ("del_key", 9), ("put", 1), ("put", 2)]
 

@@ -1,12 +1,18 @@
 """Bulk sync into the store: modes, rejects, status, isolation of failures, compaction."""
 
+from dataclasses import replace
+
 import pytest
+from pyspark.sql import functions as F
 
 import erp
+from docuweft import session
 from docuweft.operators.embedding import HashingProvider
 from docuweft.operators.status import latest_status
 from docuweft.operators.store import DocumentStore, as_changes, current_documents
-from docuweft.operators import store as store_module
+from docuweft.functions import text
+from docuweft.plans.registry import BASE, resolver
+from docuweft.sources.tables import lake_source
 from docuweft.operators.sync import FULL_REINDEX, RECREATE, delete_scope, sync
 
 TABLES = ["sl_sales_orders", "parties"]
@@ -108,9 +114,100 @@ def test_commit_again_replaces_and_compaction_keeps_state(spark, store):
     assert ids(store) == ["sl_sales_orders:2"] and store.changes().count() == 0
 
 
+def one(spark, seq, kind="put", status=None):
+    row = spark.createDataFrame([("t1", "sales", "sl_sales_orders", "sl_sales_orders:1", 1, status)],
+                                "client_id string, module string, doc_type string, id string, source_id long, status string")
+    return as_changes(row, f"'{kind}'", seq)
+
+
+@pytest.mark.parametrize("kind,scope", [("del_key", None), ("del_type", {"client_id": "t1", "module": "sales", "doc_type": "sl_sales_orders"}), ("del_tenant", {"client_id": "t1"})])
+def test_what_comes_late_does_not_undo_what_is_newer(spark, store, kind, scope):
+    store.commit(one(spark, 100, status="new"), "a")
+    store.compact()
+    store.commit(one(spark, 10, status="old"), "b")
+    assert [r["status"] for r in store.snapshot().collect()] == ["new"]
+    store.compact()
+    assert [r["status"] for r in store.snapshot().collect()] == ["new"]
+    store.commit(one(spark, 200, "del_key") if scope is None else delete_scope(spark, kind, 200, [scope]), "c")
+    assert ids(store) == []
+    store.compact()
+    store.commit(one(spark, 150, status="late"), "d")
+    assert ids(store) == []
+    store.compact()
+    store.compact()
+    store.commit(one(spark, 300, status="newest"), "e")
+    assert [r["status"] for r in store.snapshot().collect()] == ["newest"]
+
+
+def test_rejects_outlive_compaction(spark, store):
+    sync(store, source_of(spark, [1], date="bad"), ["t1"], TABLES)
+    before = [tuple(r) for r in store.rejects().collect()]
+    store.merge()
+    store.compact()
+    store.compact()
+    assert [tuple(r) for r in store.rejects().collect()] == before and before[0][4] == "bad_date:date"
+
+
+def test_sequence_numbers_of_two_drivers_rise(spark, store, monkeypatch):
+    other = DocumentStore(spark, store.root)
+    numbers = [s.next_seq() for _ in range(60) for s in (store, other)]
+    assert numbers == sorted(set(numbers)) and all(b - a >= 2 for a, b in zip(numbers, numbers[1:]))
+    from docuweft.operators import store as module
+
+    monkeypatch.setattr(module.time, "time_ns", lambda: 0)
+    assert other.next_seq() > numbers[-1]
+
+
+def test_a_base_is_read_in_a_new_session(spark, store):
+    store.commit(one(spark, 100, status="new"), "a")
+    store.compact()
+    other = DocumentStore(spark.newSession(), store.root)
+    for table in other.spark.catalog.listTables():
+        other.spark.sql(f"DROP TABLE {table.name}")
+    assert ids(other) == ["sl_sales_orders:1"]
+
+
+def test_only_the_failing_tenant_of_a_shared_job_is_recorded(spark, store):
+    whole = source_of(spark, [1], clients=("t1", "t2", "t3"), date="2024-01-01")
+
+    def source(table):
+        bad = F.when(F.col("client_id") == "t2", F.raise_error(F.lit("broken")).cast("int"))
+        return whole(table).withColumn("is_deleted", F.coalesce(bad, F.col("is_deleted")))
+
+    runs = sync(store, source, ["t1", "t2", "t3"], ["parties"])
+    assert {c: (r.status, r.indexed, r.failed_tables) for c, r in runs.items()} == {
+        "t1": ("ok", 1, []), "t2": ("partial", 0, ["parties"]), "t3": ("ok", 1, []),
+    }
+
+
+def test_sync_takes_each_tenants_own_registry(spark, store):
+    whole = source_of(spark, [1], clients=("t1", "t2"), date="2024-01-01")
+    extra = replace(BASE["parties"], table="people", module="staff")
+    resolve = resolver({"t2": {"sl_sales_orders": None, "parties": {"title": text.column("type")}, "people": extra}})
+    runs = sync(store, lambda t: whole("parties" if t == "people" else t), ["t1", "t2"], ["parties"], resolve=resolve)
+    assert all(r.status == "ok" for r in runs.values())
+    sync(store, lambda t: whole("parties" if t == "people" else t), ["t2"], ["people"], resolve=resolve)
+    assert ids(store, client_id="t2") == ["parties:1", "people:1"] and ids(store, client_id="t2", module="staff") == ["people:1"]
+    titles = {r["client_id"]: r["title"] for r in store.snapshot(module="account").collect()}
+    assert titles["t1"] == "Party · Ann Lee" and titles["t2"] != titles["t1"]
+    with pytest.raises(ValueError, match="sl_sales_orders"):
+        sync(store, whole, ["t2"], ["sl_sales_orders"], resolve=resolve)
+
+
+def test_a_tenant_without_a_folder_has_no_rows(spark, store, tmp_path):
+    whole = source_of(spark, [1], clients=("t1", "t2"), date="2024-01-01")
+    for table, rows in (("parties", whole("parties")), ("sl_sales_orders", whole("sl_sales_orders").filter("client_id = 't1'"))):
+        rows.write.partitionBy("client_id").parquet(f"{tmp_path}/lake/{table}")
+    source = lake_source(spark, f"{tmp_path}/lake", client_ids=["t1", "t2"])
+    runs = sync(store, source, ["t1", "t2"], TABLES)
+    assert {c: (r.status, r.indexed) for c, r in runs.items()} == {"t1": ("ok", 2), "t2": ("ok", 1)}
+    with pytest.raises(KeyError):
+        source("no_such_table")
+
+
 @pytest.mark.parametrize("few", [200_000, 0])
 def test_deletes_joined_by_broadcast_or_shuffle(spark, monkeypatch, few):
-    monkeypatch.setattr(store_module, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", few)
     docs = spark.range(20).selectExpr("if(id < 10, 't1', 't2') as client_id", "'m' as module", "if(id % 2 = 0, 'a', 'b') as doc_type",
                                       "concat('x:', id) as id", "id as source_id")
     base = as_changes(docs.filter("source_id <> 19"), "'put'", 0).drop("kind", "reason")
