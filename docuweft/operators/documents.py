@@ -12,6 +12,7 @@ from ..functions import keys, text
 from ..functions.columns import Columns, Sql, quoted
 from ..plans.spec import Keys, Source, TableSpec, source_rows
 from ..schema import DOC_FIELDS, NARROW_FIELDS, PASS_THROUGH
+from ..search.knn import usable
 
 REASON = "reason"
 _TYPES = {f.name: f.type for f in DOC_FIELDS}
@@ -53,11 +54,12 @@ def build_documents(spec: TableSpec, source: Source, keys: Keys | None = None) -
 
 
 def with_vector_check(checked: DataFrame, dimension: int) -> DataFrame:
-    """Reject documents whose vector is not of the expected length."""
+    """Reject documents whose vector is not of the expected length, or has no direction to compare."""
     if "embedding" not in checked.columns:
         return checked
-    wrong = f"if(embedding is not null and size(embedding) <> {dimension}, 'bad_vector', null)"
-    return checked.withColumn(REASON, F.expr(f"coalesce({REASON}, {wrong})"))
+    vector = F.col("embedding")
+    wrong = F.when(vector.isNotNull() & ((F.size(vector) != dimension) | ~usable(vector)), "bad_vector")
+    return checked.withColumn(REASON, F.coalesce(F.col(REASON), wrong))
 
 
 def _projected(rows: DataFrame, fields: dict[str, Sql], names: Sequence[str], reason: Sql, whole: bool) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -33,22 +33,32 @@ class HashingProvider:
         vectors = np.zeros((len(texts), self.dimension), dtype=np.float32)
         for row, text in enumerate(texts):
             for word in text.lower().split():
-                h = zlib.crc32(word.encode())
+                h = int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
                 vectors[row, h % self.dimension] += 1.0 if h >> 31 else -1.0
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         return list(vectors / np.where(norms == 0, 1, norms))
 
 
 class SingleTextProvider:
-    """Adapts a client that embeds one text a call: a few calls at once, optional text limit."""
+    """Adapts a client that embeds one text a call: a few calls at once.
+
+    A text longer than ``max_chars`` is embedded in parts; its vector is their
+    mean by length, so that no part of it is left out.
+    """
 
     def __init__(self, embed_one: Callable[[str], list[float]], workers: int = 8, max_chars: int | None = None):
         self._embed_one, self._workers, self._max_chars = embed_one, workers, max_chars
 
     def embed_documents(self, texts: list[str]) -> list:
-        cut = [t[: self._max_chars] for t in texts] if self._max_chars else texts
+        most = self._max_chars
+        parts = [[t[n : n + most] for n in range(0, len(t), most)] or [t] if most else [t] for t in texts]
         with ThreadPoolExecutor(self._workers) as pool:
-            return list(pool.map(self._embed_one, cut))
+            done = iter(pool.map(self._embed_one, [p for own in parts for p in own]))
+        vectors = []
+        for own in parts:
+            found = [next(done) for _ in own]
+            vectors.append(found[0] if len(own) == 1 else np.average(found, axis=0, weights=[len(p) for p in own]).tolist())
+        return vectors
 
 
 def embedder(make_provider: Callable[[], Provider]) -> Callable[[Column], Column]:

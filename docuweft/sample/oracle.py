@@ -68,7 +68,7 @@ VIEWS = {
           case when p_size = 50 then 1 else 0 end is_deleted
         from part""",
     "v_part_companies": """
-        select distinct l_partkey part_id, nullif(l_suppkey, 0) company_id from lineitem where l_quantity >= 49""",
+        select distinct l_partkey part_id, nullif(l_suppkey, 0) company_id from lineitem""",
     "v_bom": """
         select 'spar' client_id, p_partkey id, case when p_size > 10 then p_partkey + p_size end item_id,
           'kit ' || p_name as name, p_type version_number, case when p_size < 30 then 'open' end status,
@@ -535,7 +535,12 @@ QUERIES = {
         union all
         select client_id, 'items', id, 'items:' || id || ':' || coalesce(company_id::varchar, ''), 'bad_amount'
         from r_items where sales_price is not null and ({as_number('sales_price')}) is null""",
-    "embed_documents_vectors": "select id, 64::int dimension, 1.0::double norm from d_orders",
+    "embed_documents_vectors": f"""
+        , words as (select id, unnest(string_split_regex(lower({strip("title || ' ' || text_content")}), '\\s+')) w from d_orders),
+        hashed as (select id, ('0x' || substr(md5(w), 1, 8))::bigint h from words where w <> ''),
+        cells as (select id, (h % 64)::int bucket, sum(case when h >= 2147483648 then 1 else -1 end) x from hashed group by all)
+        select id, bucket, round((x / sqrt(sum(x * x) over (partition by id)))::float::double, 4) as value from cells where x <> 0
+        qualify true""",
     "dimension_drift": """
         select case when label < 5 then 'spar' else 'dev_env' end client_id, case when label = 0 then 'account' else 'sales' end module,
           32 dimension, count(*) documents
@@ -640,6 +645,41 @@ QUERIES = {
             select query_id, vec_id id, round(1 / (2 - list_cosine_similarity(c, embedding::double[])), 6) score
             from k_centres, embeddings))
         where rank <= 10""",
+    "knn_mixed_lengths": """
+        , sized as (select vec_id id, case when label < 5 then 'spar' else 'dev_env' end client_id,
+            case when label < 5 then embedding else embedding[1:32] end v from embeddings),
+        asked as (select client_id, id query_id, v from sized where id % 25 = 0)
+        select query_id, id, score, rank::int as rank from (
+          select *, row_number() over (partition by query_id order by score desc, id) as rank from (
+            select query_id, s.id, round(1 / (2 - list_cosine_similarity(a.v::double[], s.v::double[])), 6) score
+            from asked a join sized s using (client_id)))
+        where rank <= 5""",
+    "knn_bad_vectors": """
+        , good as (select vec_id id, embedding v from embeddings where vec_id % 7 not in (0, 1, 2))
+        select query_id, id, score, rank::int as rank from (
+          select *, row_number() over (partition by query_id order by score desc, id) as rank from (
+            select a.id query_id, g.id, round(1 / (2 - list_cosine_similarity(a.v::double[], g.v::double[])), 6) score
+            from good a, good g where a.id % 25 = 0))
+        where rank <= 5""",
+    "join_small_key_types": """
+        select o_orderkey id, n_name small_name, r_name decimal_name
+        from orders left join nation on n_nationkey = case when o_orderkey % 3 <> 0 then o_custkey % 40 end
+          left join region on r_regionkey = case when o_orderkey % 4 <> 0 then o_custkey % 7 end""",
+    "store_compact_then_late_put": "select client_id, id, 'O' status, 101::bigint seq from s_orders where status = 'O'",
+    "store_compact_then_late_delete": "select client_id, id, status, 1::bigint seq from s_orders where status <> 'O'",
+    "rejects_after_compact": """
+        select client_id, 'sl_sales_orders' doc_type, id source_id, 'bad_date:expected_closing_date' reason from r_orders
+        where {BAD_CLOSING}""".replace("{BAD_CLOSING}", BAD_CLOSING),
+    "cdc_apply_override": f"""
+        , keys as (select distinct user_id id from events)
+        select k.id source_id, case when o.id is null then 'del_key' else 'put' end kind, case when o.id is not null then {title('Sales Opportunity', PARTY, 'o.priority')} end as title,
+          case when o.id is not null then coalesce(p.company_id::varchar, '0') end company_id
+        from keys k left join (select * from v_orders where is_deleted = 0 and client_id = 'spar') o on o.id = k.id
+          left join v_parties p on p.id = o.customer_id and p.client_id = o.client_id""",
+    "sync_with_overrides": """
+        select client_id, id, doc_type, case when client_id = 'dev_env' then 'again ' || title else title end title from d_orders
+        union all select client_id, id, doc_type, title from d_parties where client_id = 'spar'
+        union all select client_id, replace(id, 'parties:', 'people:'), 'people', title from d_parties where client_id = 'dev_env'""",
     "hybrid_search": """
         select query_id, id, score, rank::int as rank from (
           select *, row_number() over (partition by query_id order by score desc, id) as rank from (
@@ -673,7 +713,7 @@ QUERIES = {
         select client_id, id, doc_type from d_parties where party_type in ('MACHINERY', 'AUTOMOBILE')
         union all select client_id, id, doc_type from d_orders where status = 'O'""",
     "search_highlight": f"""
-        , parts as (select doc_id, list_transform(regexp_extract_all(text, '[^.!?\\n]+[.!?]*'), lambda p: trim(p)) s, source from documents),
+        , parts as (select doc_id, list_transform(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)), lambda p: trim(p)) s, source from documents),
         marked as (select doc_id, case when source = 'src3' then '<em>src3</em>' end title,
           nullif(array_to_string(list_filter(list_transform(s, lambda p: array_to_string(list_transform(
             regexp_extract_all(p, '{TOKEN}|(?s:.)'), lambda w: case when lower(w) in ('the', 'und', 'les', 'src3')

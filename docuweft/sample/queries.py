@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ from ..operators.documents import build_documents, checked_documents, checked_na
 from ..operators.embedding import HashingProvider, embed_documents
 from ..operators.store import DocumentStore, as_changes, current_documents
 from ..operators.sync import delete_scope, sync, table_changes
-from ..plans.registry import BASE, modules
-from ..plans.spec import Keys, source_rows
+from ..plans.registry import BASE, modules, resolver
+from ..plans.spec import Keys, TableSpec, lookup, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
 from ..search import bm25, hybrid, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
@@ -206,6 +207,26 @@ def join_junction_inner(t):
     return rows_of(t, "mf_bom").select("id", "company_id", "item_name")
 
 
+@query
+def join_small_key_types(t):
+    """Nations and regions looked up by keys of small types, some null."""
+    keyed = t.raw("orders").selectExpr(
+        "'spar' as client_id", "o_orderkey as id", "0 as is_deleted",
+        "cast(if(o_orderkey % 3 <> 0, o_custkey % 40, null) as smallint) as small_id",
+        "cast(if(o_orderkey % 4 <> 0, o_custkey % 7, null) as decimal(5,0)) as decimal_id",
+    )
+    named = {
+        "orders": keyed,
+        "nations": t.raw("nation").selectExpr("'spar' as client_id", "n_nationkey as id", "n_name as name"),
+        "regions": t.raw("region").selectExpr("'spar' as client_id", "cast(r_regionkey as bigint) as id", "r_name as name"),
+    }
+    base = BASE["parties"]
+    spec = TableSpec("orders", "sales", base.title, base.text, (
+        lookup("nations", "small_id", small_name="name"), lookup("regions", "decimal_id", decimal_name="name"),
+    ))
+    return source_rows(spec, named.__getitem__).select("id", "small_name", "decimal_name")
+
+
 # Documents
 
 
@@ -262,9 +283,10 @@ def doc_rejects(t):
 
 @query
 def embed_documents_vectors(t):
+    """Every number of every vector that is not zero."""
     docs = embed_documents(docs_of(t, "sl_sales_orders"), lambda: HashingProvider(64))
-    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return docs.select("id", F.size("embedding").alias("dimension"), F.round(norm, 3).alias("norm"))
+    cells = docs.select("id", F.posexplode("embedding").alias("bucket", "x")).filter("x <> 0")
+    return cells.select("id", "bucket", F.round(F.col("x").cast("double"), 4).alias("value"))
 
 
 @query
@@ -347,6 +369,60 @@ def store_end_to_end(t):
     return store.snapshot().select("client_id", "id", "doc_type", "title", "amount")
 
 
+def _new_store(t: Tables) -> DocumentStore:
+    return DocumentStore(t.spark, f"{shared_folder(t.spark)}/store-{uuid.uuid4().hex}")
+
+
+def _open_orders(t: Tables) -> DataFrame:
+    return docs_of(t, "sl_sales_orders").filter(F.col("status") == "O")
+
+
+@query
+def store_compact_then_late_put(t):
+    """Documents of a base, then an older state of them that comes late."""
+    store = _new_store(t)
+    store.commit(as_changes(_open_orders(t), "'put'", 100), "newer")
+    store.compact()
+    store.commit(as_changes(_open_orders(t).withColumn("status", F.lit("old")), "'put'", 10), "late")
+    return store.snapshot().select("client_id", "id", "status", "seq")
+
+
+@query
+def store_compact_then_late_delete(t):
+    """Documents deleted before a compaction, then put again by a writer that began before the delete."""
+    store = _new_store(t)
+    store.commit(_stored(t), "first")
+    gone = _open_orders(t).select("client_id", "module", "doc_type", "source_id")
+    store.commit(as_changes(gone, "'del_key'", 100), "delete")
+    store.compact()
+    store.commit(as_changes(_open_orders(t), "'put'", 10), "late")
+    return store.snapshot().select("client_id", "id", "status", "seq")
+
+
+@query
+def rejects_after_compact(t):
+    store = _new_store(t)
+    store.commit(table_changes(BASE["sl_sales_orders"], t.source(), 0), "sync")
+    store.compact()
+    return store.rejects().select("client_id", "doc_type", "source_id", "reason")
+
+
+@query
+def sync_with_overrides(t):
+    """A tenant that changes a table, drops one and adds one, beside a tenant that has the base."""
+    title = BASE["sl_sales_orders"].title
+    resolve = resolver({"dev_env": {
+        "sl_sales_orders": {"title": lambda row: f"concat('again ', {title(row)})"},
+        "parties": None,
+        "people": replace(BASE["parties"], table="people"),
+    }})
+    store, source = _new_store(t), t.source()
+    plain = ["sl_sales_orders", "parties"]
+    sync(store, source, ["spar"], plain, resolve=resolve)
+    sync(store, lambda name: source("parties" if name == "people" else name), ["dev_env"], ["sl_sales_orders", "people"], resolve=resolve)
+    return store.snapshot().select("client_id", "id", "doc_type", "title")
+
+
 def _runs(t: Tables) -> DataFrame:
     """Events as run states: the user is the job, the time the moment of the change."""
     return t.raw("events").select(
@@ -426,6 +502,16 @@ def cdc_apply(t):
     return changes.select("client_id", "kind", "seq", "doc_type", "source_id", "id", "title")
 
 
+@query
+def cdc_apply_override(t):
+    """Each user's row of an overridden table as changed."""
+    events = t.raw("events").select(
+        F.lit("spar").alias("client_id"), F.lit("sl_opportunity_parties").alias("table"), F.col("user_id").alias("row_id"), F.lit("upsert").alias("action")
+    )
+    changes = cdc.apply_changes(events, _opportunities(t), _tables(t), 100, tenants.resolve)
+    return changes.select("source_id", "kind", "title", "company_id")
+
+
 @query
 def cdc_lag(t):
     events = t.raw_events().join(t.raw("events").select(F.col("event_id").cast("string").alias("msg_id"), "ts", "event_type"), "msg_id")
@@ -560,6 +646,29 @@ def knn_topk(t):
     return knn.knn_topk(_vectors(t), queries, 10)
 
 
+@query
+def knn_mixed_lengths(t):
+    """Two tenants whose models give vectors of different lengths, asked together."""
+    mixed = t.raw("embeddings").select(
+        F.when(F.col("label") < 5, "spar").otherwise("dev_env").alias("client_id"), F.col("vec_id").alias("id"),
+        F.when(F.col("label") < 5, F.col("embedding")).otherwise(F.slice("embedding", 1, 32)).alias("embedding"),
+    )
+    queries = mixed.filter("id % 25 = 0").select("client_id", F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    return knn.knn_topk(mixed, queries, 5, "client_id")
+
+
+@query
+def knn_bad_vectors(t):
+    """Vectors some of which are null, zero or hold what is no number."""
+    part = F.col("vec_id") % 7
+    broken = F.when(part == 0, F.transform("embedding", lambda x: F.lit(float("nan")).cast("float"))).when(
+        part == 1, F.transform("embedding", lambda x: F.lit(0.0).cast("float"))
+    ).when(part != 2, F.col("embedding"))
+    vectors = t.raw("embeddings").select(F.col("vec_id").alias("id"), broken.alias("embedding"))
+    queries = vectors.filter("id % 25 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    return knn.knn_topk(vectors, queries, 5)
+
+
 def _both(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Text hits of every question and vector hits of the questions that have a vector."""
     questions = _questions(t)

@@ -66,7 +66,7 @@ def wide_source(t: Tables) -> Source:
     wide = t.raw("customer").selectExpr(*[f"{sql} as {name}" for name, sql in wide_columns().items()])
 
     def links(key: str) -> DataFrame:
-        pairs = t.raw("orders").selectExpr("o_custkey", "floor(o_totalprice / 200000) as company_id").filter("company_id > 0")
+        pairs = t.raw("orders").selectExpr("o_custkey", "floor(o_totalprice / 200000) as company_id")
         return pairs.distinct().selectExpr("'spar' as client_id", f"o_custkey as {key}", "company_id")
 
     named = {"item_companies": "item_id", "mf_bom_companies": "bom_id"}
@@ -193,7 +193,7 @@ def module_sql() -> dict[str, str]:
     """Query name -> SQL, one per module."""
     wide = ", ".join(f"{sql} as {name}" for name, sql in wide_columns().items())
     views = f"""with w as (select {wide} from customer),
-      w_links as (select distinct o_custkey k, floor(o_totalprice / 200000)::bigint company_id from orders where o_totalprice >= 200000)"""
+      w_links as (select distinct o_custkey k, floor(o_totalprice / 200000)::bigint company_id from orders)"""
     lines = DOCUMENTS.strip().splitlines()
     out = {}
     for module in modules():

@@ -104,8 +104,7 @@ class Tables:
         )
 
     def _part_companies(self) -> DataFrame:
-        bulk = self.raw("lineitem").filter("l_quantity >= 49")
-        pairs = bulk.select("l_partkey", F.nullif("l_suppkey", F.lit(0)).alias("company_id")).distinct()
+        pairs = self.raw("lineitem").select("l_partkey", F.nullif("l_suppkey", F.lit(0)).alias("company_id")).distinct()
         return pairs.select(F.lit("spar").alias("client_id"), "l_partkey", "company_id")
 
     def item_companies(self) -> DataFrame:

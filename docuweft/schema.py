@@ -9,42 +9,12 @@ from pyspark.sql import types as T
 STRING, LONG, DOUBLE, DATE = T.StringType(), T.LongType(), T.DoubleType(), T.DateType()
 VECTOR = T.ArrayType(T.FloatType())
 
-# The document fields in order.  ``name`` alone is a keyword that
-# passes the source column through as text; ``:str``, ``:double`` and ``:date``
-# name a coercion; ``/english`` and ``/standard`` name a text analyzer.
+# The document fields in order; those below come first.
 CORE_FIELDS = (
     "id", "source_id", "doc_type", "module", "company_id", "title", "reference", "status",
     "date", "amount", "text_content", "embedding", "party_name", "company_name", "first_name",
     "last_name", "approval_status", "transaction_type", "email", "phone",
 )
-PASS_THROUGH_FIELDS = """
-invoice and payment: payment_status, due_date:date, amount_paid:double, amount_due:double,
-  supplier_invoice_number, order_type, payment_type, payment_method_type, cheque_number,
-  cheque_date:date, is_reconciled:str, narration/english, ref_type, party_role, version:str,
-  po_number
-party and company profile: party_type, vat_number, crn, sales_lead_status, sales_op_stage,
-  credit_hold:str, is_active:str, address/standard, date_of_joining:date, nationality, gender,
-  role_id:str
-reimbursement and expense: budget_period, transaction_date:date, paid_by, expense_entry_type,
-  bill_date:date
-assets: asset_value:double, acquisition_date:date, depreciation:str, asset_specification/english,
-  original_value:double
-sales order and fulfilment: invoice_status, delivery_status, expiration_date:date, return_status,
-  return_source, stages, expected_closing_date:date, expected_revenue:double, probability:double,
-  priority, promotion_type, start_date:date, end_date:date
-purchase fulfilment: billing_status, receiving_status, rfq_type, lead_time, received_by,
-  agreement_type, valid_up_to:date, refund_status
-inventory and items: item_type, sales_price:double, purchase_price:double, upc_bar_code,
-  costing_method, city, summary/english, transfer_type, description/english
-manufacturing: material_status, production_start_date:date, production_end_date:date,
-  quantity:double, work_order_type
-equipment: equipment_cost:double, effective_date:date, warranty_expiration_date:date,
-  maintenance_period
-gate register: transporter_name, driver_name, driver_contact_number, entry_datetime:date,
-  exit_datetime:date, entry_purpose/english, exit_purpose/english
-rental: received_quantity:double, returned_quantity:double
-drive: file_extension, mime_type, drive_type, is_private:str
-"""
 CORE_TYPES = {"source_id": LONG, "date": DATE, "amount": DOUBLE, "embedding": VECTOR}
 CORE_ANALYZERS = {
     "title": "domain", "text_content": "domain", "reference": "domain",
@@ -66,18 +36,99 @@ class DocField:
     analyzer: str | None = None
 
 
-def _pass_through() -> list[DocField]:
-    fields = []
-    groups = PASS_THROUGH_FIELDS.replace("\n  ", " ").strip().splitlines()
-    for entry in ",".join(g.split(":", 1)[1] for g in groups).split(","):
-        name, _, analyzer = entry.strip().partition("/")
-        name, _, rule = name.partition(":")
-        kind = {"double": DOUBLE, "date": DATE}.get(rule, STRING)
-        fields.append(DocField(name, kind, "text" if rule in ("", "str") else rule, analyzer or None))
-    return fields
-
-
-PASS_THROUGH = tuple(_pass_through())
+# The fields that pass a source column through, in order.
+PASS_THROUGH = (
+    DocField("payment_status", STRING),
+    DocField("due_date", DATE, "date"),
+    DocField("amount_paid", DOUBLE, "double"),
+    DocField("amount_due", DOUBLE, "double"),
+    DocField("supplier_invoice_number", STRING),
+    DocField("order_type", STRING),
+    DocField("payment_type", STRING),
+    DocField("payment_method_type", STRING),
+    DocField("cheque_number", STRING),
+    DocField("cheque_date", DATE, "date"),
+    DocField("is_reconciled", STRING),
+    DocField("narration", STRING, analyzer="english"),
+    DocField("ref_type", STRING),
+    DocField("party_role", STRING),
+    DocField("version", STRING),
+    DocField("po_number", STRING),
+    DocField("party_type", STRING),
+    DocField("vat_number", STRING),
+    DocField("crn", STRING),
+    DocField("sales_lead_status", STRING),
+    DocField("sales_op_stage", STRING),
+    DocField("credit_hold", STRING),
+    DocField("is_active", STRING),
+    DocField("address", STRING, analyzer="standard"),
+    DocField("date_of_joining", DATE, "date"),
+    DocField("nationality", STRING),
+    DocField("gender", STRING),
+    DocField("role_id", STRING),
+    DocField("budget_period", STRING),
+    DocField("transaction_date", DATE, "date"),
+    DocField("paid_by", STRING),
+    DocField("expense_entry_type", STRING),
+    DocField("bill_date", DATE, "date"),
+    DocField("asset_value", DOUBLE, "double"),
+    DocField("acquisition_date", DATE, "date"),
+    DocField("depreciation", STRING),
+    DocField("asset_specification", STRING, analyzer="english"),
+    DocField("original_value", DOUBLE, "double"),
+    DocField("invoice_status", STRING),
+    DocField("delivery_status", STRING),
+    DocField("expiration_date", DATE, "date"),
+    DocField("return_status", STRING),
+    DocField("return_source", STRING),
+    DocField("stages", STRING),
+    DocField("expected_closing_date", DATE, "date"),
+    DocField("expected_revenue", DOUBLE, "double"),
+    DocField("probability", DOUBLE, "double"),
+    DocField("priority", STRING),
+    DocField("promotion_type", STRING),
+    DocField("start_date", DATE, "date"),
+    DocField("end_date", DATE, "date"),
+    DocField("billing_status", STRING),
+    DocField("receiving_status", STRING),
+    DocField("rfq_type", STRING),
+    DocField("lead_time", STRING),
+    DocField("received_by", STRING),
+    DocField("agreement_type", STRING),
+    DocField("valid_up_to", DATE, "date"),
+    DocField("refund_status", STRING),
+    DocField("item_type", STRING),
+    DocField("sales_price", DOUBLE, "double"),
+    DocField("purchase_price", DOUBLE, "double"),
+    DocField("upc_bar_code", STRING),
+    DocField("costing_method", STRING),
+    DocField("city", STRING),
+    DocField("summary", STRING, analyzer="english"),
+    DocField("transfer_type", STRING),
+    DocField("description", STRING, analyzer="english"),
+    DocField("material_status", STRING),
+    DocField("production_start_date", DATE, "date"),
+    DocField("production_end_date", DATE, "date"),
+    DocField("quantity", DOUBLE, "double"),
+    DocField("work_order_type", STRING),
+    DocField("equipment_cost", DOUBLE, "double"),
+    DocField("effective_date", DATE, "date"),
+    DocField("warranty_expiration_date", DATE, "date"),
+    DocField("maintenance_period", STRING),
+    DocField("transporter_name", STRING),
+    DocField("driver_name", STRING),
+    DocField("driver_contact_number", STRING),
+    DocField("entry_datetime", DATE, "date"),
+    DocField("exit_datetime", DATE, "date"),
+    DocField("entry_purpose", STRING, analyzer="english"),
+    DocField("exit_purpose", STRING, analyzer="english"),
+    DocField("received_quantity", DOUBLE, "double"),
+    DocField("returned_quantity", DOUBLE, "double"),
+    DocField("file_extension", STRING),
+    DocField("mime_type", STRING),
+    DocField("drive_type", STRING),
+    DocField("is_private", STRING),
+)
 DOC_FIELDS = tuple(
     DocField(n, CORE_TYPES.get(n, STRING), "core", CORE_ANALYZERS.get(n)) for n in CORE_FIELDS
 ) + PASS_THROUGH

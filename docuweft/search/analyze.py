@@ -119,7 +119,7 @@ def _chain(analyzer: Analyzer) -> Callable[[list[str]], tuple[list[str], int]]:
 
     def run(words: list[str]) -> tuple[list[str], int]:
         if analyzer.possessive:
-            words = [w[:-2] if w.endswith(("'s", "’s")) else w for w in words]
+            words = [_bare(w, analyzer) for w in words]
         if starts.keys().isdisjoint(words):
             kept = [t for w in words if (t := terms[w])]
             return kept, len(kept)
@@ -142,6 +142,22 @@ def _analyzed(analyzer: Analyzer) -> Callable[[Column], Column]:
     return analyze
 
 
+def word_terms(analyzer: Analyzer) -> Callable[[Column], Column]:
+    """Space-joined words to the space-joined term of each word alone; a stop word's is ``-``."""
+
+    @F.pandas_udf("string")
+    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        terms = _Terms(analyzer)
+        for texts in batches:
+            yield pd.Series([" ".join(terms[_bare(w, analyzer)] or "-" for w in t.split(" ")) for t in texts], dtype=object)
+
+    return each
+
+
+def _bare(word: str, analyzer: Analyzer) -> str:
+    return word[:-2] if analyzer.possessive and word.endswith(("'s", "’s")) else word
+
+
 def analyzed(docs: DataFrame, text: Column | str, analyzer: Analyzer = STANDARD) -> DataFrame:
     """Add ``terms`` (array, in order) and ``length`` (positions) of a text column."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -5,101 +5,90 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import broadcast_if_small
 from .bm25 import DIGITS, top_k
 
-#: Bytes of query vectors a task holds at once; more queries take more passes.
-QUERY_BLOCK_BYTES = 32 << 20
-#: Bytes of document vectors and number of queries in one matrix product.
-DOCUMENT_BLOCK_BYTES = 32 << 20
-QUERIES_AT_ONCE = 512
+#: Documents, and queries, that meet in one task at a time.
+DOCUMENT_BLOCK, QUERY_BLOCK = 8192, 1024
+
+
+def usable(vector: Column) -> Column:
+    """Whether a vector has a direction: not null or empty, all numbers finite, not all of them zero."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def unusable_queries(queries: DataFrame) -> DataFrame:
+    """Query ids that cannot be answered, for their senders to see."""
+    return queries.filter(~usable(F.col("vector"))).select("query_id")
 
 
 def knn_topk(vectors: DataFrame, queries: DataFrame, k: int, scope: str | None = None) -> DataFrame:
     """(query_id, id, score, rank): the k best documents (id, embedding) of each query (query_id, vector).
 
-    Documents stay where they are: a task multiplies its batches with a block
-    of query vectors and passes on k rows per query and batch.  The score is
-    ``1 / (2 - cosine)``.  Vectors of another length than the query's match
-    nothing.  ``scope`` names a column of both sides, such as ``client_id``:
-    queries meet only documents of their own.
+    The score is ``1 / (2 - cosine)``.  Queries meet documents whose vector has
+    their length, so that tenants of different models can ask together; vectors
+    without a direction match nothing.  ``scope`` names a column of both sides,
+    such as ``client_id``: queries meet only documents of their own.
+
+    Each side of a scope and length is dealt into blocks by a hash of its id, and
+    every block of documents meets every block of queries in a task of its own,
+    which passes on k rows per query.
     """
-    shape = queries.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    layout = T.StructType([
-        T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("id", vectors.schema["id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
     group = F.col(scope) if scope else F.lit(0)
-    if not shape["n"]:
-        return top_k(vectors.sparkSession.createDataFrame([], layout), k)
-    usable = vectors.filter(F.size("embedding") == shape["dim"]).select(group.alias("scope"), "id", "embedding")
-    asked = queries.filter(F.size("vector") == shape["dim"]).select(group.alias("scope"), "query_id", "vector")
-    blocks = -(-shape["n"] * shape["dim"] * 8 // QUERY_BLOCK_BYTES)
-    found = None
-    for block in range(blocks):
-        mine = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        scores = usable.mapInArrow(_best_of_batches(_by_scope(mine.collect()), layout, shape["dim"], k), layout)
-        hits = top_k(scores, k)
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def _by_scope(rows: list) -> dict:
-    """Scope -> query ids and their unit vectors."""
-    groups: dict = {}
-    for r in rows:
-        groups.setdefault(r["scope"], ([], []))
-        groups[r["scope"]][0].append(r["query_id"])
-        groups[r["scope"]][1].append(r["vector"])
-    return {scope: (ids, _unit(np.array(vectors, dtype=np.float64))) for scope, (ids, vectors) in groups.items()}
-
-
-def _unit(rows: np.ndarray) -> np.ndarray:
-    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(lengths == 0, 1, lengths)
-
-
-def _best_of_batches(queries: dict, layout: T.StructType, dimension: int, k: int):
-    at_once = max(1, DOCUMENT_BLOCK_BYTES // (8 * dimension))
-
-    def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(layout)
-        for batch in batches:
-            for start in range(0, batch.num_rows, at_once):
-                for best in _best_by_scope(batch.slice(start, at_once), queries, dimension, k):
-                    yield pa.RecordBatch.from_pydict(best, schema)
-
-    return best_of
-
-
-def _best_by_scope(batch: pa.RecordBatch, queries: dict, dimension: int, k: int) -> Iterator[dict[str, list]]:
-    scopes, ids = (np.array(batch.column(c).to_pylist()) for c in ("scope", "id"))
-    flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-    rows = _unit(flat.reshape(len(ids), dimension).astype(np.float64))
-    for scope in set(scopes.tolist()) & queries.keys():
-        at = np.flatnonzero(scopes == scope)
-        query_ids, unit = queries[scope]
-        for start in range(0, len(query_ids), QUERIES_AT_ONCE):
-            part = slice(start, start + QUERIES_AT_ONCE)
-            yield _best(ids[at], rows[at], query_ids[part], unit[part], k)
-
-
-def _best(ids: np.ndarray, rows: np.ndarray, query_ids: list, unit: np.ndarray, k: int) -> dict[str, list]:
-    """The k best of some documents for every query, ties by id."""
-    scores = np.round(1.0 / (2.0 - rows @ unit.T), DIGITS)
-    best: dict[str, list] = {"query_id": [], "id": [], "score": []}
-    for query_id, column in zip(query_ids, scores.T):
+    docs = vectors.filter(usable(F.col("embedding"))).select(group.alias("scope"), F.size("embedding").alias("length"), "id", "embedding")
+    asked = queries.filter(usable(F.col("vector"))).select(group.alias("scope"), F.size("vector").alias("length"), "query_id", "vector")
+    kind = ["scope", "length"]
+    # a row for each tenant and length
+    parts = docs.groupBy(*kind).agg(F.ceil(F.count("*") / DOCUMENT_BLOCK).alias("blocks")).join(
+        asked.groupBy(*kind).agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("query_blocks")), kind
+    )
+    parts = broadcast_if_small(parts)
+    meet = [*kind, "block", "query_block"]
+
+    def each(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+
+    def own(key: str, blocks: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.col(blocks)).cast("long")
+
+    docs = docs.join(parts, kind).withColumn("block", own("id", "blocks")).withColumn("query_block", each("query_blocks"))
+    asked = asked.join(parts, kind).withColumn("query_block", own("query_id", "query_blocks")).withColumn("block", each("blocks"))
+    layout = T.StructType([queries.schema["query_id"], vectors.schema["id"], T.StructField("score", T.DoubleType())])
+    scores = docs.select(*meet, "id", "embedding").groupBy(*meet).cogroup(asked.select(*meet, "query_id", "vector").groupBy(*meet))
+    return top_k(scores.applyInPandas(_best_of_blocks(layout, k), layout), k)
+
+
+def _best_of_blocks(layout: T.StructType, k: int):
+    names = layout.fieldNames()
+
+    def best(docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if docs.empty or asked.empty:
+            return pd.DataFrame([], columns=names, dtype=object)
+        ids, rows = docs["id"].to_numpy(), _unit(docs["embedding"])
+        found = [(q, ids[n], s) for q, near in zip(asked["query_id"], _nearest(ids, rows, _unit(asked["vector"]), k)) for n, s in near]
+        return pd.DataFrame(found, columns=names)
+
+    return best
+
+
+def _unit(vectors: pd.Series) -> np.ndarray:
+    rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def _nearest(ids: np.ndarray, rows: np.ndarray, asked: np.ndarray, k: int) -> Iterator[list[tuple[int, float]]]:
+    """For every query the places and scores of its k best documents, ties by id."""
+    scores = np.round(1.0 / (2.0 - asked @ rows.T), DIGITS)
+    for found in scores:
         near = np.arange(len(ids))
         if len(ids) > k:
-            near = np.flatnonzero(column >= np.partition(column, len(ids) - k)[len(ids) - k])
-        kept = near[np.lexsort((ids[near], -column[near]))[:k]]
-        best["query_id"] += [query_id] * len(kept)
-        best["id"] += ids[kept].tolist()
-        best["score"] += column[kept].tolist()
-    return best
+            near = np.flatnonzero(found >= np.partition(found, len(ids) - k)[len(ids) - k])
+        kept = near[np.lexsort((ids[near], -found[near]))[:k]]
+        yield list(zip(kept.tolist(), found[kept].tolist()))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_ROWS, broadcast_if_small, rows_up_to
-from .analyze import TOKEN
+from ..schema import ANALYZER_OF
+from ..session import BROADCAST_ROWS, broadcast_if_small
+from .analyze import ANALYZERS, TOKEN, Analyzer, analyzed, tokens, word_terms
 
 # Page size, its limit, and the mark around a matched word.
 DEFAULT_LIMIT, MOST = 20, 100
@@ -81,7 +82,7 @@ def search(docs: DataFrame, queries: DataFrame, scores: DataFrame | None = None)
     first = F.col("date").desc_nulls_last() if scores is None else F.col("score").desc()
     page = pages(found, [first, F.col("id")], deepest).drop("module", "status", "date")
     # A page has at most MOST rows a request.
-    if rows_up_to(queries, BROADCAST_ROWS // MOST) <= BROADCAST_ROWS // MOST:
+    if queries.count() <= BROADCAST_ROWS // MOST:
         page = F.broadcast(page)
     return docs.join(page, ["client_id", "id"])
 
@@ -102,16 +103,50 @@ def _mark(piece: Column, words: Column) -> Column:
 
 
 def fragments(text: Column, words: Column) -> Column:
-    """The sentences or lines of a text that hold a matched word, marked; whole texts are searched."""
-    sentences = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
-    parts = F.transform(sentences, lambda p: marked(F.trim(p), words))
+    """The sentences or lines of a text that hold a matched word, marked; whole texts are searched.
+
+    A sentence ends at a mark that white space follows: one inside a number or a word does not cut it.
+    """
+    parts = F.transform(F.split(F.regexp_replace(text, r"([.!?])\s+", "$1\n"), "\n"), lambda p: marked(F.trim(p), words))
     return F.filter(parts, lambda p: F.contains(p, F.lit(MARK[0])))
 
 
+def matched_words(text: Column, terms: Column, analyzer: Analyzer) -> Column:
+    """The words of a text, lower case and each once, whose term under an analyzer is among ``terms``."""
+    own = F.array_distinct(tokens(F.coalesce(text, F.lit(""))))
+    if analyzer.plain:
+        return F.array_intersect(own, terms)
+    pairs = F.arrays_zip(own.alias("word"), F.split(word_terms(analyzer)(F.array_join(own, " ")), " ").alias("term"))
+    return F.transform(F.filter(pairs, lambda p: F.array_contains(terms, p["term"])), lambda p: p["word"])
+
+
 def highlight(hits: DataFrame, words: Column, fields: Sequence[str] = ("title", "text_content")) -> DataFrame:
-    """Add ``highlight``: field -> fragments, only for fields that have any."""
+    """Add ``highlight``: field -> fragments, only for fields that have any; ``words`` are marked as they stand."""
+    return _highlighted(hits, {f: words for f in fields})
+
+
+def highlight_requests(
+    hits: DataFrame, queries: DataFrame, fields: Sequence[str] = ("title", "text_content"), analyzers: Mapping[str, Analyzer] | None = None
+) -> DataFrame:
+    """Hits (query_id, …) with the fragments that match their own request (query_id, query).
+
+    A word is marked if a field's analyzer makes of it a term it also makes of
+    the request, synonyms included.
+    """
+    used = {f: (analyzers or {}).get(f) or ANALYZERS[ANALYZER_OF[f]] for f in fields}
+    asked = queries.select("query_id")
+    for n, f in enumerate(fields):
+        terms = analyzed(queries.select("query_id", F.col("query").alias("_q")), "_q", used[f]).select("query_id", F.col("terms").alias(f"_terms{n}"))
+        asked = asked.join(terms, "query_id")
+    rows = hits.join(broadcast_if_small(asked), "query_id", "left")
+    rows = rows.withColumns({f"_words{n}": matched_words(F.col(f), F.coalesce(f"_terms{n}", F.array().cast("array<string>")), used[f]) for n, f in enumerate(fields)})
+    marked_rows = _highlighted(rows, {f: F.col(f"_words{n}") for n, f in enumerate(fields)})
+    return marked_rows.drop(*[f"_{part}{n}" for n in range(len(fields)) for part in ("terms", "words")])
+
+
+def _highlighted(hits: DataFrame, words: Mapping[str, Column]) -> DataFrame:
     found = F.map_from_arrays(
-        F.array(*[F.lit(f) for f in fields]),
-        F.array(*[F.coalesce(fragments(F.col(f), words), F.array().cast("array<string>")) for f in fields]),
+        F.array(*[F.lit(f) for f in words]),
+        F.array(*[F.coalesce(fragments(F.col(f), w), F.array().cast("array<string>")) for f, w in words.items()]),
     )
     return hits.withColumn("highlight", F.map_filter(found, lambda _, v: F.size(v) > 0))

@@ -19,7 +19,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -61,13 +61,9 @@ def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
 
 
-def rows_up_to(df: DataFrame, bound: int) -> int:
-    """The number of rows, counted no further than one past the bound."""
-    return df.limit(bound + 1).count()
-
-
 def is_small(df: DataFrame) -> bool:
-    return rows_up_to(df, BROADCAST_ROWS) <= BROADCAST_ROWS
+    """Whether a side may be broadcast; counted in its tasks, no rows move for it."""
+    return df.count() <= BROADCAST_ROWS
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass, field
 
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import DEAD, DELETE, MAX_DELIVERIES, UPSERT, apply_changes, classify, dead_letters, parse_events
+from ..operators.quality import lag_by_tenant, positions_from_progress
 from ..operators.routing import route_violations
 from ..operators.store import DocumentStore
 from ..plans.registry import Resolve, resolve_base
 from ..plans.spec import Source
 from ..schema import REJECT
+from ..session import local_frame
 
 log = logging.getLogger(__name__)
 
@@ -102,6 +105,12 @@ class ChangeIngest:
             **(trigger or {"processingTime": TRIGGER})
         ).start()
 
+    def lag(self, query: StreamingQuery) -> DataFrame:
+        """Unread messages per tenant by the last progress report of a running Kafka stream."""
+        last = json.loads(query.lastProgress.json) if query.lastProgress else {}
+        layout = "stream string, latest long, committed long, pending long"
+        return lag_by_tenant(local_frame(self.store.spark, positions_from_progress(last.get("sources", [])), layout), self.streams)
+
     def dead(self) -> DataFrame:
         spark, layout = self.store.spark, "value string, original_id string, stream string, reason string"
         fs, path = self._at("dead")

@@ -58,4 +58,6 @@ def test_one_provider_a_task_and_batches_of_fifty(spark, tmp_path):
 def test_single_text_clients():
     texts = [f"{'y' * n}" for n in range(30)]
     assert SingleTextProvider(lambda t: [len(t)]).embed_documents(texts) == [[n] for n in range(30)]
-    assert SingleTextProvider(lambda t: [len(t)], max_chars=10).embed_documents(texts) == [[min(n, 10)] for n in range(30)]
+    seen = []
+    parts = SingleTextProvider(lambda t: seen.append(t) or [float(len(t))], workers=1, max_chars=10).embed_documents(["", "y" * 10, "y" * 25])
+    assert parts == [[0.0], [10.0], [(100 + 100 + 25) / 25]] and sum(map(len, seen)) == 35

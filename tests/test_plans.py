@@ -77,7 +77,7 @@ def test_ranking_keeps_k_rows_per_task_and_does_not_shuffle_postings(spark):
     assert text.count("WindowGroupLimit") == 2 and "SortMergeJoin" not in text
     vectors = docs.selectExpr("id", "array(1.0f, cast(id as float)) as embedding")
     text = plan(knn.knn_topk(vectors, vectors.limit(2).selectExpr("id as query_id", "embedding as vector"), 5))
-    assert text.count("WindowGroupLimit") == 2 and "CartesianProduct" not in text and "NestedLoop" not in text
+    assert text.count("WindowGroupLimit") == 2 and "FlatMapCoGroups" in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 def test_requests_join_by_tenant(spark, tmp_path):

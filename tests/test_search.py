@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docuweft.operators.quality import backlog, dimension_drift, lag_by_tenant, positions_from_progress
 from docuweft.search import bm25, hybrid, knn, request
-from docuweft.search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, analyzed, counted, exploded
+from docuweft.search.analyze import DOMAIN, ENGLISH, STANDARD, STOP_WORDS, SYNONYMS_ONLY, analyzed, counted, exploded
 from docuweft.search.stemming import stem
 
 
@@ -125,21 +125,27 @@ def test_bm25_without_documents(spark):
         assert bm25.bm25_topk(index, spark.createDataFrame([(1, "a")], "query_id long, query string"), 3).count() == 0
 
 
-@pytest.mark.parametrize("block_bytes, at_once", [(32 << 20, 512), (100, 2)])
-def test_knn(spark, monkeypatch, block_bytes, at_once):
-    monkeypatch.setattr(knn, "QUERY_BLOCK_BYTES", block_bytes)
-    monkeypatch.setattr(knn, "QUERIES_AT_ONCE", at_once)
-    monkeypatch.setattr(knn, "DOCUMENT_BLOCK_BYTES", block_bytes * 10)
+@pytest.mark.parametrize("documents, queries", [(8192, 1024), (50, 2)])
+def test_knn(spark, monkeypatch, documents, queries):
+    monkeypatch.setattr(knn, "DOCUMENT_BLOCK", documents)
+    monkeypatch.setattr(knn, "QUERY_BLOCK", queries)
     rnd = np.random.default_rng(3)
     rows = [(f"d{i:03d}", [float(x) for x in rnd.normal(size=4)]) for i in range(200)]
-    rows += [(f"same{i:03d}", [1.0, 0.0, 0.0, 0.0]) for i in range(100)] + [("odd", [1.0]), ("none", None), ("zero", [0.0] * 4)]
+    rows += [(f"same{i:03d}", [1.0, 0.0, 0.0, 0.0]) for i in range(100)] + [("none", None), ("zero", [0.0] * 4)]
+    rows += [(f"bad{i}", [float("nan"), 1.0, 1.0, 1.0]) for i in range(9)] + [("hole", [None, 1.0, 1.0, 1.0]), ("far", [float("inf"), 1.0, 1.0, 1.0])]
+    rows += [("odd", [1.0]), ("odd2", [-1.0])]
     asked = [(q, [float(x) for x in rnd.normal(size=4)]) for q in range(5)] + [(9, [2.0, 0.0, 0.0, 0.0])]
+    others = [(20, [3.0]), (21, [0.0] * 4), (22, None), (23, [float("nan")] * 4)]
+    frame = spark.createDataFrame(asked + others, "query_id long, vector array<double>")
+    hits = knn.knn_topk(spark.createDataFrame(rows, "id string, embedding array<float>"), frame, 7).collect()
+    assert sorted((r["id"], r["score"]) for r in hits if r["query_id"] >= 20) == [("odd", 1.0), ("odd2", round(1 / 3, 6))]
+    assert sorted(r["query_id"] for r in knn.unusable_queries(frame).collect()) == [21, 22, 23]
     got = knn.knn_topk(spark.createDataFrame(rows, "id string, embedding array<float>").repartition(3),
                        spark.createDataFrame(asked, "query_id long, vector array<double>"), 7).collect()
     for q, vector in asked:
         scores = []
         for i, v in rows:
-            if v and len(v) == 4:
+            if v and len(v) == 4 and any(v) and None not in v and np.isfinite(v).all():
                 v = np.array(v, dtype=np.float32).astype(float)
                 norm = np.linalg.norm(v) * np.linalg.norm(vector)
                 scores.append((-round(1 / (2 - (v @ np.array(vector) / norm if norm else 0)), 6), i))
@@ -189,6 +195,26 @@ def test_highlight(spark):
     assert row["highlight"] == {"text_content": ["<em>Pay</em> the <em>order</em>.", "an Order's <em>order</em>, twice"]}
 
 
+def test_highlight_keeps_numbers_whole_and_follows_the_request(spark):
+    docs = spark.createDataFrame([(1, "po 7", "Paid 12.50 twice. The ponies ran.\nRunning on! See www.x.org")], "id long, title string, text_content string")
+    (row,) = request.highlight(docs, F.array(F.lit("12.50"), F.lit("www.x.org"))).collect()
+    assert row["highlight"] == {"text_content": ["Paid <em>12.50</em> twice.", "See <em>www.x.org</em>"]}
+    hits = docs.selectExpr("explode(array(10, 20, 30)) as query_id", "*")
+    asked = spark.createDataFrame([(10, "the pony runs"), (20, "purchase order"), (30, "")], "query_id int, query string")
+    got = {r["query_id"]: r["highlight"] for r in request.highlight_requests(hits, asked).collect()}
+    assert got[10] == {"text_content": ["The <em>ponies</em> ran.", "<em>Running</em> on!"]}
+    assert got[20] == {"title": ["<em>po</em> 7"]} and got[30] == {}
+    plain = request.highlight_requests(hits, asked, ["text_content"], {"text_content": STANDARD}).collect()
+    assert {r["query_id"]: r["highlight"] for r in plain} == {10: {"text_content": ["<em>The</em> ponies ran."]}, 20: {}, 30: {}}
+
+
+def test_stop_words_are_the_published_ones():
+    """The default English list of the classic analyzers, written down here on its own."""
+    published = """a, an, and, are, as, at, be, but, by, for, if, in, into, is, it, no, not, of, on, or, such, that, the, their, then,
+        there, these, they, this, to, was, will, with"""
+    assert STOP_WORDS == set(published.replace("\n", " ").replace(" ", "").split(","))
+
+
 def test_watching(spark):
     docs = spark.createDataFrame([("a", "m", [1.0, 2.0]), ("a", "m", [1.0]), ("b", "m", None), ("b", "n", [1.0])], "client_id string, module string, embedding array<float>")
     assert sorted(tuple(r) for r in dimension_drift(docs, 2).collect()) == [("a", "m", 1, 1), ("b", "n", 1, 1)]
