@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Kinds that are always kept once confirmed, in their order, and kinds kept from MIN_SCORE on.
+#: Kinds whose plain pattern counts once confirmed, in their order, and kinds of the method alone.  Spans that it
+#: adds, of either, are kept from MIN_SCORE on.
 BASE_KINDS = ("email", "ip", "card", "phone")
 SCORED_KINDS = ("iban", "national_id")
 MIN_SCORE = 0.5
@@ -28,7 +30,7 @@ WORDS = {
 }
 DOUBT = ("version", "example", "sample", "dummy", "test", "isbn", "serial", "invoice", "part")
 
-LAYOUT = "array<struct<kind:string,start:int,end:int,score:double>>"
+LAYOUT = "array<struct<kind:string,start:int,end:int,score:double,base:boolean>>"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -38,6 +40,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+#: Numbers in their usual groups, also where the plain pattern runs on into a number that follows.
+_CARD_ALONE = re.compile(r"(?<![0-9])[3-6](?:[0-9]{12,18}|[0-9]{3}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9])")
+_PHONE_ALONE = re.compile(r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -106,7 +111,17 @@ def national_ids(text: str) -> Iterator[tuple[int, int]]:
     yield from (m.span() for m in _NATIONAL.finditer(text))
 
 
-FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones, "iban": ibans, "national_id": national_ids}
+def cards_alone(text: str) -> Iterator[tuple[int, int]]:
+    yield from (m.span() for m in _CARD_ALONE.finditer(text) if luhn(_digits(m.group())))
+
+
+def phones_alone(text: str) -> Iterator[tuple[int, int]]:
+    if "+" in text:
+        yield from (m.span() for m in _PHONE_ALONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15)
+
+
+BASE_FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones}
+ADDED_FINDERS = {"card": cards_alone, "phone": phones_alone, "iban": ibans, "national_id": national_ids}
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
@@ -117,21 +132,35 @@ def score(text: str, kind: str, start: int, end: int) -> float:
     return round(min(1.0, max(0.0, found)), 2)
 
 
-def spans_of(text: str) -> list[tuple[str, int, int, float]]:
-    """(kind, start, end, score) in code points, by kind and start; spans of different kinds may overlap."""
+def _free(taken: list[tuple[int, int]], span: tuple[int, int]) -> bool:
+    """Whether a span overlaps none of some others, which are in order and do not overlap."""
+    at = bisect_left(taken, span[1], key=lambda s: s[0])  # the first that begins behind it
+    return at == 0 or taken[at - 1][1] <= span[0]
+
+
+def spans_of(text: str) -> list[tuple[str, int, int, float, bool]]:
+    """(kind, start, end, score, base) in code points, by kind and start; spans of different kinds may overlap.
+
+    ``base`` is true of what the plain patterns find; what the method adds
+    overlaps no such span of its kind.
+    """
     numbers = _DIGIT.search(text) is not None
     found = []
-    for kind, finder in FINDERS.items():
-        if numbers or kind == "email":
-            scored = ((kind, a, b, score(text, kind, a, b)) for a, b in finder(text))
-            found += [s for s in scored if kind in BASE_KINDS or s[3] >= MIN_SCORE]
+    for kind in (*BASE_KINDS, *SCORED_KINDS):
+        if not (numbers or kind == "email"):
+            continue
+        own = list(BASE_FINDERS[kind](text)) if kind in BASE_FINDERS else []
+        added = [s for s in ADDED_FINDERS[kind](text) if _free(own, s)] if kind in ADDED_FINDERS else []
+        spans = sorted([(a, b, True) for a, b in own] + [(a, b, False) for a, b in added])
+        scored = [(kind, a, b, score(text, kind, a, b), base) for a, b, base in spans]
+        found += [s for s in scored if s[4] or s[3] >= MIN_SCORE]
     return found
 
 
 def masked(text: str) -> str:
     """The text with each span, or run of overlapping spans, replaced by the kind of its first, such as ``[EMAIL]``."""
     out, done = [], 0
-    for kind, start, end, _ in sorted(spans_of(text), key=lambda s: (s[1], -s[2])):
+    for kind, start, end, *_ in sorted(spans_of(text), key=lambda s: (s[1], -s[2])):
         if start >= done:
             out += [text[done:start], f"[{kind.upper()}]"]
         done = max(done, end)

@@ -32,10 +32,10 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = docs.select("doc_id", pii.find_pii(F.col("text")).alias("spans"))
-    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    base = F.filter("spans", lambda s: s["base"])
     return found.select(
         "doc_id",
-        *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.BASE_KINDS],
+        *[F.expr(f"cast(size(filter(spans, s -> s.base and s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.BASE_KINDS],
         F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
     )
 
