@@ -615,7 +615,7 @@ def term_stats(t):
 
 
 def _index(t: Tables, analyzer: Analyzer) -> DataFrame:
-    return written(bm25.term_index(t.raw("documents"), "text", analyzer, "doc_id"), "terms")
+    return bm25.kept_index(bm25.term_index(t.raw("documents"), "text", analyzer, "doc_id"))
 
 
 def _questions(t: Tables) -> DataFrame:
@@ -696,7 +696,7 @@ def search_filtered(t):
 def search_text(t):
     """Requests with words: filtered, ranked by BM25 within their tenant, and paged."""
     docs = docs_of(t, "sl_sales_orders")
-    index = written(bm25.term_index(docs, "text_content", STANDARD, scope=["client_id"]), "terms")
+    index = bm25.kept_index(bm25.term_index(docs, "text_content", STANDARD, scope=["client_id"]))
     words = F.when(F.col("query_id") < 8, "rush it order").when(F.col("query_id") < 16, "medium status O").otherwise("narration F rush")
     asked = t.requests().withColumn("query", words)
     scores = bm25.bm25_scores(index, bm25.query_terms(asked, STANDARD, ["client_id"]), ["client_id"])

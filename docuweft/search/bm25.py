@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ANALYZER_OF
-from ..session import broadcast_if_small, is_small
+from ..session import broadcast_if_small, is_small, shared_folder
 from .analyze import ANALYZERS, STANDARD, Analyzer, analyzed, counted, exploded
 
 # Term saturation and length weight, and digits scores are kept to.
@@ -29,6 +30,20 @@ def term_index(
     return counted(analyzed(rows, "_text", analyzer).drop("_text"))
 
 
+def kept_index(index: DataFrame, buckets: int | None = None) -> DataFrame:
+    """An index as a table in the shared folder, bucketed by document.
+
+    A document's postings stay in one task through a search, so its scores are
+    summed and cut to the best k there, before any row moves.  ``buckets`` sets
+    how many tasks read it; as many as shuffles have unless given.
+    """
+    spark, name = index.sparkSession, f"terms_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_folder(spark)}/{name}"
+    index.repartition(buckets, "id").write.bucketBy(buckets, "id").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def field_index(docs: DataFrame, field: str, scope: Sequence[str] = ()) -> DataFrame:
     """The term index of a document text field, under that field's own analyzer."""
     return term_index(docs, field, ANALYZERS[ANALYZER_OF[field]], scope=scope)
@@ -48,9 +63,10 @@ def query_terms(queries: DataFrame, analyzer: Analyzer = STANDARD, scope: Sequen
 def bm25_scores(index: DataFrame, wanted: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """(query_id, id, score) of every document sharing a term with a query of its scope.
 
-    ``index`` is read three times and should be a written table.  While the
-    query terms are few, they go to the documents and only scored pairs move;
-    else term and postings are joined by a shuffle that splits hot terms.
+    ``index`` is read three times and should be a written table, best one of
+    :func:`kept_index`.  While the query terms are few, they go to the
+    documents, and of such an index no scored pair moves; else term and postings
+    are joined by a shuffle that splits hot terms.
     """
     key = [*scope, "term"]
     hint = F.broadcast if is_small(wanted) else (lambda side: side)

@@ -9,7 +9,6 @@ from docuweft.operators.documents import build_documents
 from docuweft.plans.spec import Keys, source_rows
 from docuweft.search import bm25, knn, request
 from docuweft.sources.tables import lake_source, scan
-from docuweft.session import written
 
 
 def plan(df):
@@ -72,9 +71,13 @@ def test_changes_of_any_number_do_not_shuffle_the_base(spark, tmp_path):
 
 def test_ranking_keeps_k_rows_per_task_and_does_not_shuffle_postings(spark):
     docs = spark.range(100).selectExpr("id", "concat('a b ', id) as text")
-    index = written(bm25.term_index(docs, "text"), "index")
+    index = bm25.kept_index(bm25.term_index(docs, "text"))
     text = plan(bm25.bm25_topk(index, docs.limit(3).selectExpr("id as query_id", "text as query"), 5))
     assert text.count("WindowGroupLimit") == 2 and "SortMergeJoin" not in text
+    # down from the top: the only exchange on the way to the postings takes k rows per task and query
+    steps = [line.strip(" :+-*()0123456789") for line in text.split("BroadcastExchange")[0].splitlines()]
+    moved = [n for n, step in enumerate(steps) if step.startswith("Exchange")]
+    assert len(moved) == 1 and steps[moved[0] + 1].startswith("WindowGroupLimit")
     vectors = docs.selectExpr("id", "array(1.0f, cast(id as float)) as embedding")
     text = plan(knn.knn_topk(vectors, vectors.limit(2).selectExpr("id as query_id", "embedding as vector"), 5))
     assert text.count("WindowGroupLimit") == 2 and "FlatMapCoGroups" in text and "CartesianProduct" not in text and "NestedLoop" not in text
