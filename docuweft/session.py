@@ -45,10 +45,28 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Intermediate tables of each application.
+_written: dict[str, list[str]] = {}
+
+
+def new_place(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for an intermediate table."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove the intermediate tables made so far; call it once what was computed from them is stored."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, read by all that follows."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_place(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

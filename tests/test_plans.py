@@ -1,5 +1,7 @@
 """What the plans must look like to hold at scale."""
 
+import os
+
 from pyspark.sql import functions as F
 
 import erp
@@ -8,6 +10,7 @@ from docuweft.plans.registry import BASE
 from docuweft.operators.documents import build_documents
 from docuweft.plans.spec import Keys, source_rows
 from docuweft.search import bm25, knn, request
+from docuweft.session import remove_written, written
 from docuweft.sources.tables import lake_source, scan
 
 
@@ -83,6 +86,15 @@ def test_ranking_keeps_k_rows_per_task_and_does_not_shuffle_postings(spark):
     assert text.count("WindowGroupLimit") == 2 and "FlatMapCoGroups" in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_intermediate_tables_can_be_removed(spark):
+    table = written(spark.range(5).toDF("id"), "some")
+    (file, *_) = table.inputFiles()
+    folder = file.removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    remove_written(spark)
+    assert not os.path.exists(folder)
+
+
 def test_requests_join_by_tenant(spark, tmp_path):
     docs = build_documents(BASE["sl_sales_orders"], lake(spark, tmp_path))
     asked = spark.createDataFrame([(1, "t1", None, None, None, None, None, None)], (
