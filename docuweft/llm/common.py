@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder, written
-
-__all__ = ["table", "labelled_sample", "fit_logistic", "sigmoid", "shared_folder", "written"]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,8 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, where: str = "true") -> DataFrame:
     """(doc_id, text, label): at most ``per_class`` documents of each class, the same ones at every run.
 
-    Only label rows are ranked, by a hash of their id; the chosen ids, at most
-    twice ``per_class``, are broadcast to the documents, whose texts stay where
+    Label rows come in the order of a hash of their id, each task passing on no
+    more than it may keep; the chosen ids, at most twice ``per_class``, are broadcast to the documents, whose texts stay where
     they are.  ``where`` is a condition on doc_id.  Ids that carry both labels,
     null ids and null labels take no part.
     """
@@ -27,9 +23,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         labels.filter("doc_id is not null").filter(F.col(label).isin(0, 1)).filter(where)
         .groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_most")).filter("label = _most")
     )
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = agreed.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_class)
-    chosen = chosen.select(F.col("doc_id").alias("_id"), "label")
+    def first_of(value: int) -> DataFrame:
+        return agreed.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+
+    chosen = first_of(0).unionByName(first_of(1)).select(F.col("doc_id").alias("_id"), "label")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label")
     )

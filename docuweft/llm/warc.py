@@ -10,14 +10,13 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import new_place
 
 #: Fixed: what a record consists of.
 VERSION = "WARC/1.1"
@@ -157,6 +156,6 @@ def resolved(archived: DataFrame) -> DataFrame:
 def archive_and_read(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write the archives, into a new folder of the shared one unless ``path`` is given, and read every record back."""
     spark = pages.sparkSession
-    path = path or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    path = path or new_place(spark, "warc")
     write_archives(pages, path)
     return resolved(read_archives(spark, path))
