@@ -11,11 +11,13 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 #: Fixed: the white space that is stripped from a line's ends.
 BLANK = " \t\n\x0b\x0c\r"
 #: Keys that are dealt out to several ranges, at most.
 HOT_KEYS = 2000
-#: Share of documents looked at to find hot keys.  It steers only where rows go, never what is found.
+#: Share of lines looked at to find hot keys.  It steers only where rows go, never what is found.
 HOT_SAMPLE = 0.02
 #: Ranges a hot key is dealt out to.
 HOT_SLOTS = 64
@@ -45,9 +47,9 @@ def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def _hot_keys(docs: DataFrame, min_chars: int) -> list[int]:
-    """The hashes most frequent in some documents, HOT_KEYS at most; every key that holds 1 / HOT_KEYS of the lines is likely among them."""
-    seen = occurrences(docs.select("doc_id", "text").sample(HOT_SAMPLE, seed=5), min_chars).groupBy("h1").count()
+def _hot_keys(found: DataFrame) -> list[int]:
+    """The hashes most frequent in some of the rows, HOT_KEYS at most; a key that holds a noticeable share of the lines is among them."""
+    seen = found.select("h1").sample(HOT_SAMPLE, seed=5).groupBy("h1").count()
     return [r["h1"] for r in seen.filter("count > 1").orderBy(F.desc("count"), "h1").limit(HOT_KEYS).collect()]
 
 
@@ -61,14 +63,16 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
 
     Hashes of 128 bits are range-partitioned and sorted by document and
     position, so that the first occurrence of a key and its documents are read
-    off one ordered stream.  Hot keys are dealt out to several ranges by a hash
+    off one ordered stream.  They are written to the shared folder first, as
+    ranges are laid by a look at all rows and texts should be split once only.  Hot keys are dealt out to several ranges by a hash
     of the document and their counts added up.  Rows that share a doc_id count
     as one document, null ids too.
     """
-    hot = _hot_keys(docs, min_chars)
+    found = written(occurrences(docs, min_chars), "lines")
+    hot = _hot_keys(found)
     is_hot = F.col("h1").isin(hot) if hot else F.lit(False)
     slot = F.when(is_hot, F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SLOTS)).cast("int")).otherwise(0)
-    ranged = occurrences(docs, min_chars).withColumn("slot", slot).repartitionByRange("h1", "h2", "slot")
+    ranged = found.withColumn("slot", slot).repartitionByRange("h1", "h2", "slot")
     group = Window.partitionBy("h1", "h2", "slot")
     stream = group.orderBy("doc_id", "tag", "pos")
     rank = F.row_number().over(stream)
@@ -97,18 +101,17 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """All columns of ``docs`` with ``text`` reduced to the kept lines, plus _n_lines and _n_dropped.
 
-    A null text is one empty line.  Each row comes out once, whatever its doc_id.
+    A null text is one empty line.  Each row comes out once, whatever its
+    doc_id; columns named like the two new ones give way to them.
     """
     marks = bitmaps.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("gaps").alias("_gaps"))
-    joined = docs.withColumn("_own", _tag(F.col("text"))).join(
-        marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tag")), "left"
-    )
-    lines = joined.withColumn("_lines", _lines(F.col("text"))).withColumn(
-        "_keeps", F.expr("flatten(transform(_gaps, g -> concat(array_repeat(true, g), array(false))))")
-    )
-    kept = F.expr("if(_gaps is null, coalesce(text, ''), array_join(filter(_lines, (l, i) -> coalesce(get(_keeps, i), true)), '\n'))")
-    return lines.select(
-        *[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), _tag(F.col("text")).alias("_own"), _lines(F.col("text")).alias("_lines"))
+    joined = rows.join(marks, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tag")), "left")
+    marked = joined.withColumn("_keeps", F.expr("flatten(transform(_gaps, g -> concat(array_repeat(true, g), array(false))))"))
+    kept = F.expr("if(_gaps is null, array_join(_lines, '\n'), array_join(filter(_lines, (l, i) -> coalesce(get(_keeps, i), true)), '\n'))")
+    own = [c for c in docs.columns if c.lower() not in ("_n_lines", "_n_dropped")]
+    return marked.select(
+        *[kept.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in own],
         F.size("_lines").cast("long").alias("_n_lines"),
         F.coalesce(F.size("_gaps"), F.lit(0)).cast("long").alias("_n_dropped"),
     )
