@@ -153,4 +153,5 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
     moved = linked.join(smallest, "root").select("fingerprint", "component")
     whole = least.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id"))
+    whole = written(whole, "fingerprint-parts")  # so that the join below shuffles both sides and can split a hot fingerprint
     return marks.join(whole, "fingerprint").select("doc_id", "fingerprint", "component_id")
