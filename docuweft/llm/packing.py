@@ -23,8 +23,8 @@ WINDOW = 2048
 END_ID = 1
 #: Pieces that are packed together, about.
 GROUP = 16_384
-#: Words whose ids a worker remembers; beyond, it starts anew with the next text.
-REMEMBERED = 700_000
+#: Words of a generation, about; a worker remembers two, and of the older one those come along that are met again.
+REMEMBERED = 150_000
 #: Words encoded in one call.
 WORDS_AT_ONCE = 10_000
 
@@ -60,6 +60,7 @@ class WordTokens:
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_marks = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.ids: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -88,10 +89,13 @@ class WordTokens:
     def encode(self, text: str) -> bytes:
         words = text.encode().split()
         if len(self.ids) > REMEMBERED:
-            self.ids.clear()
+            self.before, self.ids = self.ids, {}
         if len(self.parts) > REMEMBERED:
             self.parts.clear()
-        self.learn(list(set(words).difference(self.ids)))
+        new = set(words).difference(self.ids)
+        known = {w for w in new if w in self.before}
+        self.ids.update((w, self.before[w]) for w in known)
+        self.learn(list(new - known))
         return b"".join(map(self.ids.__getitem__, words))
 
 
