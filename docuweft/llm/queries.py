@@ -107,7 +107,6 @@ ORACLE = {
         ), whole as (select *, regexp_extract(tail, '^[^?#]*', 0) as path from parts),
         judged as (
             select page_id, host, path,
-                case when host = 'example.net' or host like '%.example.net' then host else null end as in_net,
                 case
                     when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
                     when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
