@@ -51,3 +51,14 @@ def test_stages_return_the_columns_of_documents_and_bear_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "4", "None", "None"]
     masked = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.mask_personal_data(spark, docs, SF).collect()}
     assert masked[2] == ("mail [EMAIL] now please", 23) and masked[1] == (None, None)
+
+
+def test_one_of_many_copies_keeps_its_whole_text(spark):
+    own = [f"line {n} of the copied text, with words of its own" for n in range(30)]
+    rows = [(100 + n, "\n".join(own), 1) for n in range(50)] + [(n, f"alone {n}\nnothing shared {n}", 1) for n in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    left = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, docs, SF), SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in left}
+    assert texts[100] == "\n".join(own)
+    assert [d for d, t in texts.items() if d >= 100 and t] == [100]
+    assert {d: t for d, t in texts.items() if d < 100} == {d: t for d, t, _ in rows if d < 100}
