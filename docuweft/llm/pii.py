@@ -104,7 +104,14 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    yield from (m.span() for m in _IBAN.finditer(text) if mod97(m.group()))
+    """Account numbers: the longest run of groups that is right, as upper-case words and numbers may stand beside it."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        limits = [e for e in range(m.start(), m.end()) if text[e] == " "] + [m.end()]
+        end = next((e for e in reversed(limits) if mod97(text[m.start():e])), None)
+        if end:
+            yield m.start(), end
+        at = end or limits[0]
 
 
 def national_ids(text: str) -> Iterator[tuple[int, int]]:

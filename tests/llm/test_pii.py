@@ -99,3 +99,17 @@ def test_tables(spark):
     masked = pii.mask_pii(frame)
     assert masked.columns == frame.columns and [r["text"] for r in masked.collect()] == [None, "[EMAIL]", "", "😀 [EMAIL]"]
     assert pii.mask_pii(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", [
+    "DE89370400440532013000 BIC COBADEFFXXX", "pay DE89 3704 0044 0532 0130 00 12345 now", "DE89370400440532013000 4711", "REF AB12 3456 DE89 3704 0044 0532 0130 00 EUR",
+])
+def test_account_numbers_beside_words_and_numbers(text):
+    found = [text[a:b].replace(" ", "") for kind, a, b, *_ in pii.spans_of(text) if kind == "iban"]
+    assert found == ["DE89370400440532013000"]
+    assert "[IBAN]" in pii.masked(text) and "0532" not in pii.masked(text)
+
+
+def test_account_numbers_one_after_the_other():
+    text = "DE89370400440532013000 GB29NWBK60161331926819"
+    assert pii.masked(text) == "[IBAN] [IBAN]"
