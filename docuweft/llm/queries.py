@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, compression, lines, packing, pii, quality_rules, sentencepiece_codec, simhash, urls, warc
+from . import ann, centroids, compression, lines, packing, phrases, pii, quality_rules, resampling, sentencepiece_codec, simhash, urls, warc
 from .common import table
 
 #: Rows on which quality models may be trained; the others are held out.
@@ -76,16 +76,102 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.expr(f"not ({TRAINED})").alias("held_out"), "score", "predicted")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resampling.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.neighbours_compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_nearest, op3_pii, op4_simhash, op5_line_dedup, op6_url_filters, op7_quality_rules, op8_packing, op9_warc,
-        op10_quality_classifier,
+        op10_quality_classifier, op11_resampling, op12_fingerprints, op13_clustering,
     )
 }
 
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _clustering_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Rounds one after the other: a_i is the assignment to the centroids c_i, c_(i+1) what it moves them to."""
+    steps = [f"""
+        whole as materialized (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * x::double) as bigint)) as comps from embeddings
+            where len(embedding) = 64 and len(list_filter(embedding, lambda x: isfinite(x::double))) = 64
+        ), c0 as materialized (
+            select row_number() over (order by h) - 1 as k, comps
+            from (select comps, sha256('3:' || vec_id) as h from whole order by h limit {clusters})
+        )"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (
+            select vec_id, comps, k, cast(list_sum(list_transform(list_zip(comps, goal), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as bigint) as d
+            from (select w.*, c.k, c.comps as goal from whole w cross join c{i} c)
+            qualify row_number() over (partition by vec_id order by d, k) = 1
+        )""")
+        if i < rounds:
+            steps.append(f"""m{i} as materialized (
+                select k, list(cast((s - ((s % n) + n) % n) / n as bigint) order by pos) as comps
+                from (select k, pos, sum(v) as s, count(*) as n from (
+                    select k, unnest(comps) as v, generate_subscripts(comps, 1) as pos from a{i}) group by k, pos)
+                group by k
+            ), c{i + 1} as materialized (select c.k, coalesce(m.comps, c.comps) as comps from c{i} c left join m{i} m on c.k = m.k)""")
+    return f"""with {", ".join(steps)}
+        select a.vec_id, cast(a.k as int) as cluster, a.d as distance, cast(sum(d) over (partition by a.k) as bigint) as cluster_inertia,
+               cast(sum(d) over () as bigint) as inertia, sha256(array_to_string(c.comps, ',')) as centroid_sha256
+        from a{rounds} a join c{rounds} c on a.k = c.k"""
+
+
+def _crc32_sql(data: str) -> str:
+    """crc32 of a blob by its standard table, which follows from the polynomial."""
+    entries = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        entries.append(n)
+    read = f"list_transform(range(1, octet_length({data}) + 1), lambda i: cast('0x' || substr(hex({data}), 2 * i - 1, 2) as bigint))"
+    step = f"lambda c, b: xor(c >> 8, {entries}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {read}), {step}), 4294967295)"
+
+
+_RESAMPLING = f"""
+        with texts as (
+            select 0 as kind, doc_id as id, text from documents union all select 1, item_id, text from benchmark
+        ), worded as (
+            select kind, id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from texts
+        ), listed as (
+            select kind, id, len(w) as n_words,
+                   unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) as feature from worded
+        ), hashed as materialized (
+            select feature, {_crc32_sql("encode(feature)")} % 10000 as bucket from (select distinct feature from listed)
+        ), counted as (
+            select bucket, count(*) filter (kind = 0) as s, count(*) filter (kind = 1) as t from listed join hashed using (feature) group by bucket
+        ), gained as (
+            select bucket, cast(floor(1000 * ln((t + 1)::double * ((select sum(s) from counted) + 10000)
+                   / ((s + 1)::double * ((select sum(t) from counted) + 10000)))) as bigint) as gain from counted
+        ), weighed as (
+            select id, count(*) as n, sum(gain) as total from listed join hashed using (feature) join gained using (bucket) where kind = 0 group by id
+        ), scored as (
+            select id as doc_id, len(w) as n_words, coalesce(n, 0) as n_features,
+                   cast(coalesce((total - ((total % n) + n) % n) / n, 0) as bigint) as weight,
+                   cast('0x' || substr(sha256('7:' || id), 1, 8) as bigint) as h
+            from worded left join weighed using (id) where kind = 0
+        ), noisy as (
+            select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score from scored
+        ), placed as (
+            select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from noisy where n_words >= 20
+        )
+        select doc_id, n_features, weight, score, case when place <= 25 * n // 100 then place end as rank
+        from noisy left join placed using (doc_id)"""
+
 ORACLE = {
     "op5_line_dedup": f"""
         with lines as (
@@ -140,4 +226,6 @@ ORACLE = {
                case when l.page_id <> s.page_id then 'revisit' else 'response' end as record_type,
                case when l.page_id <> s.page_id then l.page_id end as refers_to
         from sized s left join last l on s.payload_digest = l.payload_digest""",
+    "op11_resampling": _RESAMPLING,
+    "op13_clustering": _clustering_sql(),
 }
