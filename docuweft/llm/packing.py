@@ -17,14 +17,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from ..session import written
+from .word_memo import WordMemo
 
 #: Tokens of a sequence, and the id that ends a document.
 WINDOW = 2048
 END_ID = 1
 #: Pieces that are packed together, about.
 GROUP = 16_384
-#: Words of a generation, about; a worker remembers two, and of the older one those come along that are met again.
-REMEMBERED = 150_000
+#: Parts of words of a generation, about; a worker remembers two, and of the older one those come along that are met again.
+REMEMBERED = 75_000
+#: Texts encoded together.
+TEXTS_AT_ONCE = 256
 #: Words encoded in one call.
 WORDS_AT_ONCE = 10_000
 
@@ -59,44 +62,45 @@ class WordTokens:
         self.encode_part = self.tokenizer.model.tokenize
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_marks = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.ids: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.memo = WordMemo(self.learn)
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            ids = [t.id for t in self.encode_part(part.translate(self.byte_marks))]
-            found = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+            found = self.before.get(part)
+            if found is None:
+                ids = [t.id for t in self.encode_part(part.translate(self.byte_marks))]
+                found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.parts) >= REMEMBERED:
+                self.before, self.parts = self.parts, {}
+            self.parts[part] = found
         return found
 
-    def learn(self, words: list[bytes]) -> None:
-        others = []
-        for word in words:
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        learned, others = [b""] * len(words), []
+        for n, word in enumerate(words):
             text = word.decode()
             if self.splits_here and PLAIN.fullmatch(text):
-                self.ids[word] = b"".join(map(self._part, SPLIT.findall(text.lower())))
+                learned[n] = b"".join(map(self._part, SPLIT.findall(text.lower())))
             else:
-                others.append((word, text))
+                others.append((n, text))
         for start in range(0, len(others), WORDS_AT_ONCE):
             part = others[start:start + WORDS_AT_ONCE]
             found = self.tokenizer.encode([t for _, t in part], is_pretokenized=True, add_special_tokens=False)
             ids, of_word = np.array(found.ids, dtype="<u4"), np.array(found.word_ids, dtype=np.int64)
             ends = np.searchsorted(of_word, np.arange(len(part)), side="right").tolist()
-            for (word, _), a, b in zip(part, [0, *ends], ends):
-                self.ids[word] = ids[a:b].tobytes()
+            for (n, _), a, b in zip(part, [0, *ends], ends):
+                learned[n] = ids[a:b].tobytes()
+        return learned
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self.memo.encode(texts)]
 
     def encode(self, text: str) -> bytes:
-        words = text.encode().split()
-        if len(self.ids) > REMEMBERED:
-            self.before, self.ids = self.ids, {}
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        new = set(words).difference(self.ids)
-        known = {w for w in new if w in self.before}
-        self.ids.update((w, self.before[w]) for w in known)
-        self.learn(list(new - known))
-        return b"".join(map(self.ids.__getitem__, words))
+        return self.encode_all([text])[0]
 
 
 _TOKENS: dict[str, WordTokens] = {}
@@ -125,9 +129,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end
         tokens = word_tokens(tokenizer_path)
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for n, text in enumerate(batch.column("text")):
-                ids = tokens.encode(text.as_py() or "") + last
-                rows += [(n, *piece, len(ids) // 4) for piece in pieces_of(ids, window)]
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                texts = [t or "" for t in batch.column("text").slice(start, TEXTS_AT_ONCE).to_pylist()]
+                for n, ids in enumerate(tokens.encode_all(texts), start):
+                    ids += last
+                    rows += [(n, *piece, len(ids) // 4) for piece in pieces_of(ids, window)]
             at, *columns = (pa.array(c, pa.int64()) for c in zip(*rows)) if rows else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), *columns], names=layout.fieldNames())
 

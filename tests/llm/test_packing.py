@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from docuweft.llm import packing
+from docuweft.llm import packing, word_memo
 from docuweft.llm.queries import WORD_BPE
 
 ODD = [
@@ -34,10 +34,29 @@ def test_words_alone_give_the_ids_of_the_text(tokenizer):
 def test_memory_is_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 20)
     own = packing.WordTokens(WORD_BPE)
+    own.memo = word_memo.WordMemo(own.learn, 64)
     for n in range(50):
         text = " ".join(f"w{n}x{m}é" for m in range(15))
         assert own.encode(text) == np.array(plain_ids(tokenizer, text)[:-1], dtype="<u4").tobytes()
-        assert len(own.ids) <= 20 + 15 and len(own.parts) <= 20 + 60
+        assert own.memo.words <= 48 and len(own.parts) <= 20 and len(own.before) <= 20
+
+
+def test_words_are_remembered_whole(tokenizer, monkeypatch):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.choice([1, 2, 3, 5, 63, 64, 65, 200]))) for _ in range(600)]
+    texts = [rng.choice([" ", "\n", " \t "]).join(rng.choices(words, k=rng.randrange(300))) for _ in range(60)] + ODD
+    for block in (10, 1 << 18):
+        monkeypatch.setattr(word_memo, "BYTES_AT_ONCE", block)
+        own = packing.WordTokens(WORD_BPE)
+        for _ in range(2):
+            assert own.encode_all(texts) == [np.array(plain_ids(tokenizer, t)[:-1], dtype="<u4").tobytes() for t in texts]
+
+
+def test_hashes_that_agree_in_part_are_told_apart(monkeypatch):
+    monkeypatch.setattr(word_memo, "_RANDOM", np.stack([np.ones_like(word_memo._RANDOM[0]), word_memo._RANDOM[1]]))
+    memo = word_memo.WordMemo(lambda words: [int(w).to_bytes(4, "little") for w in words], 256)
+    for _ in range(3):
+        assert [i.tolist() for i in memo.encode(["7 8 9 7", "", "9 10 11 8"])] == [[7, 8, 9, 7], [], [9, 10, 11, 8]]
 
 
 def plain_best_fit(lengths, window):
