@@ -9,8 +9,8 @@ from docuweft.llm.common import table
 from docuweft.llm.queries import TRAINED, WORD_BPE
 
 from .test_lines import brute_force as deduped_lines
+from .test_minhash import wanted_parts
 from .test_packing import held
-from .test_simhash import parts_of, plain_fingerprint
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
@@ -22,14 +22,9 @@ def plain_pipeline(spark):
     score = compression.train(docs, table(spark, SF, "labels"), where=TRAINED).scorer()
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     rows = [(d, t) for d, t in rows if score([t])[0] >= 0.7]
-    rows = [(d, t) for d, t, *_ in deduped_lines(rows, 10, 1, False)]
-    marks = {d: plain_fingerprint(t) for d, t in rows}
-    different = sorted(set(marks.values()))
-    parts = parts_of(different, [(a, b) for a in different for b in different if a < b and (a ^ b).bit_count() <= 2])
-    least = {}
-    for d, m in marks.items():
-        least[parts[m]] = min(d, least.get(parts[m], d))
-    return [(d, pii.masked(t)) for d, t in rows if least[parts[marks[d]]] == d]
+    rows = [(d, t) for d, t, *_ in deduped_lines(rows, 10, 1, True)]
+    least = wanted_parts(rows)
+    return [(d, pii.masked(t)) for d, t in rows if least[d] == d]
 
 
 def test_as_by_brute_force(spark):
@@ -53,6 +48,13 @@ def test_stages_return_the_columns_of_documents_and_bear_odd_rows(spark):
     assert masked[2] == ("mail [EMAIL] now please", 23) and masked[1] == (None, None)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (1, 2, 0), (2, 1, 0), (2, 0, 1)])
+def test_rows_that_repeat_a_doc_id_are_held_by_their_texts(spark, order):
+    rows = [(3, "one text with some words of its own"), (5, "one text with some words of its own"), (5, "quite another text that nothing is near to")]
+    docs = spark.createDataFrame([rows[n] for n in order], "doc_id long, text string")
+    assert sorted(map(tuple, corpus_pipeline.near_dedup(spark, docs, SF).collect())) == [rows[0], rows[2]]
+
+
 def test_one_of_many_copies_keeps_its_whole_text(spark):
     own = [f"line {n} of the copied text, with words of its own" for n in range(30)]
     rows = [(100 + n, "\n".join(own), 1) for n in range(50)] + [(n, f"alone {n}\nnothing shared {n}", 1) for n in range(20)]
