@@ -21,7 +21,7 @@ from ..operators.sync import delete_scope, sync, table_changes
 from ..plans.registry import BASE, modules, resolver
 from ..plans.spec import Keys, TableSpec, lookup, source_rows
 from ..schema import DEL_TENANT, DEL_TYPE
-from ..search import bm25, hybrid, knn, request
+from ..search import bm25, hybrid, inverted, knn, request
 from ..search.analyze import DOMAIN, ENGLISH, STANDARD, SYNONYMS_ONLY, Analyzer, analyzed, counted, exploded
 from ..session import configure, shared_folder, written
 from ..sources.tables import scan
@@ -614,8 +614,8 @@ def term_stats(t):
     return bm25.term_stats(bm25.term_index(t.raw("documents"), "text", STANDARD, "doc_id"))
 
 
-def _index(t: Tables, analyzer: Analyzer) -> DataFrame:
-    return bm25.kept_index(bm25.term_index(t.raw("documents"), "text", analyzer, "doc_id"))
+def _index(t: Tables, analyzer: Analyzer) -> inverted.InvertedIndex:
+    return inverted.kept_inverted_index(bm25.term_index(t.raw("documents"), "text", analyzer, "doc_id"))
 
 
 def _questions(t: Tables) -> DataFrame:
@@ -624,12 +624,12 @@ def _questions(t: Tables) -> DataFrame:
 
 @query
 def bm25_topk(t):
-    return bm25.bm25_topk(_index(t, STANDARD), _questions(t), 10)
+    return inverted.bm25_topk(_index(t, STANDARD), _questions(t), 10)
 
 
 @query
 def bm25_domain(t):
-    return bm25.bm25_topk(_index(t, DOMAIN), _questions(t), 10, DOMAIN)
+    return inverted.bm25_topk(_index(t, DOMAIN), _questions(t), 10, DOMAIN)
 
 
 def _vectors(t: Tables) -> DataFrame:
@@ -674,7 +674,7 @@ def _both(t: Tables) -> tuple[DataFrame, DataFrame]:
     questions = _questions(t)
     vectors = t.raw("embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
     asked = questions.join(vectors, "query_id").select("query_id", "vector")
-    return bm25.bm25_topk(_index(t, STANDARD), questions, 50), knn.knn_topk(_vectors(t), asked, 50)
+    return inverted.bm25_topk(_index(t, STANDARD), questions, 50), knn.knn_topk(_vectors(t), asked, 50)
 
 
 @query
@@ -696,10 +696,10 @@ def search_filtered(t):
 def search_text(t):
     """Requests with words: filtered, ranked by BM25 within their tenant, and paged."""
     docs = docs_of(t, "sl_sales_orders")
-    index = bm25.kept_index(bm25.term_index(docs, "text_content", STANDARD, scope=["client_id"]))
+    index = inverted.kept_inverted_index(bm25.term_index(docs, "text_content", STANDARD, scope=["client_id"]), ["client_id"])
     words = F.when(F.col("query_id") < 8, "rush it order").when(F.col("query_id") < 16, "medium status O").otherwise("narration F rush")
     asked = t.requests().withColumn("query", words)
-    scores = bm25.bm25_scores(index, bm25.query_terms(asked, STANDARD, ["client_id"]), ["client_id"])
+    scores = inverted.bm25_scores(index, bm25.query_terms(asked, STANDARD, ["client_id"]))
     return request.search(docs, asked, scores).select("query_id", "id", "score", "rank", "total")
 
 

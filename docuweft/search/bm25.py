@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ANALYZER_OF
-from ..session import broadcast_if_small, is_small, new_place
+from ..session import broadcast_if_small, is_small, new_table
 from .analyze import ANALYZERS, STANDARD, Analyzer, analyzed, counted, exploded
 
 # Term saturation and length weight, and digits scores are kept to.
@@ -39,9 +39,7 @@ def kept_index(index: DataFrame, buckets: int | None = None) -> DataFrame:
     """
     spark, name = index.sparkSession, f"terms_{uuid.uuid4().hex}"
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_place(spark, name)
-    index.repartition(buckets, "id").write.bucketBy(buckets, "id").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return new_table(index.repartition(buckets, "id").write.bucketBy(buckets, "id"), spark, name)
 
 
 def field_index(docs: DataFrame, field: str, scope: Sequence[str] = ()) -> DataFrame:

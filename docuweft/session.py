@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -45,8 +45,9 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-#: Intermediate tables of each application.
+#: Intermediate tables of each application: their places, and the names of those the catalog knows.
 _written: dict[str, list[str]] = {}
+_named: dict[str, list[str]] = {}
 
 
 def new_place(spark: SparkSession, name: str) -> str:
@@ -56,8 +57,17 @@ def new_place(spark: SparkSession, name: str) -> str:
     return path
 
 
+def new_table(writer: DataFrameWriter, spark: SparkSession, name: str) -> DataFrame:
+    """What ``writer`` writes, as a table in the shared folder that the catalog knows, as bucketed ones must be."""
+    writer.option("path", new_place(spark, name)).saveAsTable(name)
+    _named.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
+
+
 def remove_written(spark: SparkSession) -> None:
     """Remove the intermediate tables made so far; call it once what was computed from them is stored."""
+    for name in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {name}")
     for path in _written.pop(spark.sparkContext.applicationId, []):
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
