@@ -648,7 +648,7 @@ QUERIES = {
     "knn_mixed_lengths": """
         , sized as (select vec_id id, case when label < 5 then 'spar' else 'dev_env' end client_id,
             case when label < 5 then embedding else embedding[1:32] end v from embeddings),
-        asked as (select client_id, id query_id, v from sized where id % 25 = 0)
+        asked as (select client_id, id query_id, v from sized where id % 20 = 0)
         select query_id, id, score, rank::int as rank from (
           select *, row_number() over (partition by query_id order by score desc, id) as rank from (
             select query_id, s.id, round(1 / (2 - list_cosine_similarity(a.v::double[], s.v::double[])), 6) score
@@ -659,7 +659,7 @@ QUERIES = {
         select query_id, id, score, rank::int as rank from (
           select *, row_number() over (partition by query_id order by score desc, id) as rank from (
             select a.id query_id, g.id, round(1 / (2 - list_cosine_similarity(a.v::double[], g.v::double[])), 6) score
-            from good a, good g where a.id % 25 = 0))
+            from good a, good g where a.id % 20 = 0))
         where rank <= 5""",
     "join_small_key_types": """
         select o_orderkey id, n_name small_name, r_name decimal_name

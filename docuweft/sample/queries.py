@@ -653,7 +653,7 @@ def knn_mixed_lengths(t):
         F.when(F.col("label") < 5, "spar").otherwise("dev_env").alias("client_id"), F.col("vec_id").alias("id"),
         F.when(F.col("label") < 5, F.col("embedding")).otherwise(F.slice("embedding", 1, 32)).alias("embedding"),
     )
-    queries = mixed.filter("id % 25 = 0").select("client_id", F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    queries = mixed.filter("id % 20 = 0").select("client_id", F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
     return knn.knn_topk(mixed, queries, 5, "client_id")
 
 
@@ -665,7 +665,7 @@ def knn_bad_vectors(t):
         part == 1, F.transform("embedding", lambda x: F.lit(0.0).cast("float"))
     ).when(part != 2, F.col("embedding"))
     vectors = t.raw("embeddings").select(F.col("vec_id").alias("id"), broken.alias("embedding"))
-    queries = vectors.filter("id % 25 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    queries = vectors.filter("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
     return knn.knn_topk(vectors, queries, 5)
 
 
