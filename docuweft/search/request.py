@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schema import ANALYZER_OF
 from ..session import BROADCAST_ROWS, broadcast_if_small
@@ -56,17 +61,43 @@ def _in(value: Column, allowed: Column) -> Column:
     return allowed.isNull() | F.array_contains(allowed, value)
 
 
-def pages(scored: DataFrame, order: Sequence[Column], deepest: int) -> DataFrame:
-    """Each request's page of its matches, with ``rank`` and the request's ``total``.
+def pages(found: DataFrame, by: str) -> DataFrame:
+    """Each request's page of its matches, with ``rank`` and the request's ``total``; matches are made once.
 
-    Rows beyond ``deepest``, the last rank any request asks for, are dropped in each task before they
-    move, and totals are counted apart, so no task sees all matches of a request.
+    Ranks go by falling ``by`` (nulls last), then id.  Each task counts the
+    matches of a request and keeps as many of the first as its page reaches;
+    only these move, so no task sees all matches of a request.
     """
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
-    near = ranked.filter(F.col("rank") <= deepest)
-    page = near.filter((F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("offset") + F.col("limit")))
-    totals = scored.groupBy("query_id").agg(F.count("*").alias("total"))
-    return page.join(totals, "query_id").drop("limit", "offset")
+    layout = T.StructType([*found.schema.fields, T.StructField("matched", T.LongType())])
+    dated = isinstance(found.schema[by].dataType, T.DateType)
+    whole = to_arrow_schema(layout)
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, counts = None, Counter()
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            counts.update({c["values"]: c["counts"] for c in rows["query_id"].value_counts().to_pylist()})
+            kept = _first_rows(rows if kept is None else pa.concat_tables([kept, rows]), by, dated)
+        if kept is not None and kept.num_rows:
+            # the count of a request stands at one of its rows
+            matched = pa.array([counts.pop(q, 0) for q in kept["query_id"].to_pylist()], pa.int64())
+            yield from kept.append_column("matched", matched).cast(whole).to_batches()
+
+    near = found.mapInArrow(first_of_each, layout)
+    mine = Window.partitionBy("query_id")
+    ranked = near.withColumn("rank", F.row_number().over(mine.orderBy(F.col(by).desc_nulls_last(), F.col("id"))))
+    ranked = ranked.withColumn("total", F.sum("matched").over(mine))
+    page = (F.col("rank") > F.col("offset")) & (F.col("rank") <= F.col("offset") + F.col("limit"))
+    return ranked.filter(page).drop("limit", "offset", "matched")
+
+
+def _first_rows(rows: pa.Table, by: str, dated: bool) -> pa.Table:
+    """The rows of each request up to the end of its page."""
+    key = rows[by].cast(pa.int32()) if dated else rows[by]
+    frame = pd.DataFrame({"query_id": rows["query_id"].to_pandas(), "by": key.to_pandas(), "id": rows["id"].to_pandas()})
+    frame = frame.sort_values(["by", "id"], ascending=[False, True], na_position="last", kind="stable")
+    reach = (rows["offset"].to_numpy() + rows["limit"].to_numpy())[frame.index]
+    return rows.take(frame.index[frame.groupby("query_id", sort=False, dropna=False).cumcount().to_numpy() < reach].to_numpy())
 
 
 def search(docs: DataFrame, queries: DataFrame, scores: DataFrame | None = None) -> DataFrame:
@@ -76,11 +107,7 @@ def search(docs: DataFrame, queries: DataFrame, scores: DataFrame | None = None)
     pages alone.
     """
     found = matches(docs.select("client_id", "id", "module", "status", "date"), queries, scores)
-    deepest = queries.agg(
-        F.max(F.coalesce("offset", F.lit(0)) + F.coalesce("limit", F.lit(DEFAULT_LIMIT)))
-    ).first()[0] or 0
-    first = F.col("date").desc_nulls_last() if scores is None else F.col("score").desc()
-    page = pages(found, [first, F.col("id")], deepest).drop("module", "status", "date")
+    page = pages(found, "date" if scores is None else "score").drop("module", "status", "date")
     # A page has at most MOST rows a request.
     if queries.count() <= BROADCAST_ROWS // MOST:
         page = F.broadcast(page)
