@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,24 @@ def backlog(events: DataFrame, limit: int = BACKLOG_LIMIT) -> DataFrame:
     return events.groupBy("stream").agg(F.count("*").alias("depth")).filter(F.col("depth") > limit)
 
 
+def _offsets(told: str | dict | None) -> dict:
+    """The offsets of a report, which tells them as an object or as its text."""
+    return (json.loads(told) if isinstance(told, str) else told) or {}
+
+
 def positions_from_progress(progress: list[dict]) -> list[tuple[str, int, int, int]]:
-    """(stream, latest, committed, pending) of a Kafka source's last progress report."""
-    import json
+    """(stream, latest, committed, pending) of the sources of a progress report.
 
+    A Kafka source tells offsets per topic and partition; a file source, whose
+    stream is its description, only how many batches of files it has listed.
+    """
     rows = []
     for source in progress:
-        latest, committed = (json.loads(source.get(k) or "{}") for k in ("latestOffset", "endOffset"))
+        latest, committed = (_offsets(source.get(k)) for k in ("latestOffset", "endOffset"))
+        if "logOffset" in committed:
+            done = committed["logOffset"] + 1
+            rows.append((source["description"], max(done, latest.get("logOffset", -1) + 1), done, 0))
+            continue
         for topic, offsets in latest.items():
             done = committed.get(topic, {})
             rows.append((topic, sum(offsets.values()), sum(done.get(p, 0) for p in offsets), 0))
