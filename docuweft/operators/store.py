@@ -5,7 +5,8 @@ writer, so that writing it again replaces it.  Rows carry a sequence number;
 the newest put of an id counts unless a newer delete covers it, whichever of
 them was written first.  A base takes commits in: it holds the current documents,
 bucketed by source row, and the deletes and rejects, so that what comes late
-still meets what is newer than it.
+still meets what is newer than it.  A source row with very many documents stands
+in several slices, so that no bucket and no task holds all of them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from ..schema import CHANGE_SCHEMA, DEL_KEY, DEL_TENANT, DEL_TYPE, DOC_SCHEMA, P
 from ..session import broadcast_if_small
 
 KEY = ["client_id", "module", "id"]
-#: The source row of a document, by which a base is bucketed.
+#: The source row of a document, by whose slices a base is bucketed.
 ROW = ["client_id", "doc_type", "source_id"]
+SLICE = [*ROW, "slice"]
+#: Documents of a slice of a source row, about, which are met as one map; a row with no more has one slice.
+SLICE_ROWS = 1000
 #: Documents of a bucket, about, and the most buckets a base has.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 8192
 #: Tries at a sequence number before giving up.
@@ -62,17 +66,47 @@ def _not_deleted(rows: DataFrame, changes: DataFrame, kind: str) -> DataFrame:
     """Rows that no newer delete of a kind covers; deletes go to the rows while they are few."""
     scope = SCOPES[kind]
     deleted = deletes_of(changes, kind).withColumnRenamed("seq", "_deleted")
-    deleted = deleted if kind == DEL_KEY else broadcast_if_small(deleted)
-    return rows.join(deleted, scope, "left").filter("seq > coalesce(_deleted, -1)").drop("_deleted")
+    return rows.join(broadcast_if_small(deleted), scope, "left").filter("seq > coalesce(_deleted, -1)").drop("_deleted")
+
+
+@dataclass(frozen=True)
+class Slices:
+    """How the documents of a base are dealt: ``many`` (source row..., slices) names the rows of more than one slice."""
+
+    many: DataFrame
+    buckets: int
+
+    def _with_count(self, rows: DataFrame) -> DataFrame:
+        return rows.join(broadcast_if_small(self.many), ROW, "left")
+
+    def of_documents(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source row, module, id) with the ``slice`` each is in."""
+        own = F.pmod(F.xxhash64("module", "id"), F.col("slices")).cast("int")
+        return self._with_count(rows).withColumn("slice", F.coalesce(own, F.lit(0))).drop("slices")
+
+    def of_rows(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source row) once for each slice of their documents."""
+        slices = F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)
+        return self._with_count(rows).withColumn("slice", F.explode(slices)).drop("slices")
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (slice) to the tasks of the buckets, so that they meet a base that stays where it is."""
+        return rows.repartition(self.buckets, *SLICE)
+
+
+def many_sliced(rows: DataFrame) -> DataFrame:
+    """(source row..., slices int) of the source rows with more documents than a slice holds; each task counts its own first."""
+    counts = rows.groupBy(*ROW).count().filter(F.col("count") > SLICE_ROWS)
+    return counts.select(*ROW, F.ceil(F.col("count") / SLICE_ROWS).cast("int").alias("slices"))
 
 
 def _slot() -> Column:
     return F.concat_ws("/", "module", "id")
 
 
-def _per_row(rows: DataFrame) -> DataFrame:
-    """(source row…, _seqs): sequence numbers of its documents by id; few, but for rows that fan out."""
-    return rows.groupBy(*ROW).agg(F.map_from_entries(F.collect_list(F.struct(_slot(), "seq"))).alias("_seqs"))
+def _per_place(rows: DataFrame, place: list[str]) -> DataFrame:
+    """(place..., _seqs): sequence numbers of the documents of a slice by id."""
+    return rows.groupBy(*place).agg(F.map_from_entries(F.collect_list(F.struct(_slot(), "seq"))).alias("_seqs"))
 
 
 def _other_seq() -> Column:
@@ -80,14 +114,19 @@ def _other_seq() -> Column:
     return F.element_at("_seqs", _slot())
 
 
-def current_documents(changes: DataFrame, base: DataFrame | None = None, base_marks: DataFrame | None = None) -> DataFrame:
+def current_documents(
+    changes: DataFrame, base: DataFrame | None = None, base_marks: DataFrame | None = None, slices: Slices | None = None
+) -> DataFrame:
     """Live documents: newest put per id, less those a later delete covers.
 
     ``base`` holds documents already reduced to one per id, and ``base_marks``
     the deletes among the changes it has taken in.  Documents of the base and
-    changes meet by source row, by which a stored base is bucketed, so it is not
-    shuffled however many rows have changed; whichever has the greater sequence
-    number counts, and of equal ones the change.
+    changes meet by slice of a source row; whichever has the greater sequence
+    number counts, and of equal ones the change.  A stored base is bucketed by
+    its ``slices`` and not shuffled however many rows have changed; a delete goes
+    to all slices of its row.  Slices are made when a base is written, so a row
+    that has few documents in it and gets very many new ones in the changes is
+    met as one until the next base.
     """
     columns = [c for c in changes.columns if c not in ("kind", "reason")]
     puts = newest_puts(changes).select(*columns)
@@ -98,17 +137,17 @@ def current_documents(changes: DataFrame, base: DataFrame | None = None, base_ma
         for kind in SCOPES:
             puts = _not_deleted(puts, deletes, kind)
         return puts
-    kept = base.select(*columns)
-    marks = changes.filter(F.col("kind").isin(PUT, DEL_KEY)).groupBy(*ROW).agg(
-        F.max(F.when(F.col("kind") == DEL_KEY, F.col("seq"))).alias("_deleted")
-    )
-    marks = marks.join(_per_row(puts), ROW, "left")
-    stays = kept.join(marks, ROW, "left").filter(
+    place = ROW if slices is None else SLICE
+    gone = deletes_of(changes, DEL_KEY).withColumnRenamed("seq", "_deleted")
+    if slices is not None:
+        gone, puts = slices.dealt(slices.of_rows(gone)), slices.dealt(slices.of_documents(puts))
+    kept = base.select(*dict.fromkeys([*columns, *place]))
+    stays = kept.join(gone, place, "left").join(_per_place(puts, place), place, "left").filter(
         (F.col("seq") > F.coalesce("_deleted", F.lit(-1))) & F.coalesce(F.col("seq") > _other_seq(), F.lit(True))
-    ).select(*columns)
-    touched = kept.select(*ROW, "module", "id", "seq").join(marks.select(*ROW), ROW, "left_semi")
-    puts = puts.join(_per_row(touched), ROW, "left").filter(F.coalesce(F.col("seq") >= _other_seq(), F.lit(True))).drop("_seqs")
-    rows = stays.unionByName(_not_deleted(puts, deletes, DEL_KEY))
+    )
+    touched = kept.select(*place, "module", "id", "seq").join(puts.select(*place).distinct(), place, "left_semi")
+    puts = puts.join(_per_place(touched, place), place, "left").filter(F.coalesce(F.col("seq") >= _other_seq(), F.lit(True)))
+    rows = stays.select(*columns).unionByName(_not_deleted(puts.select(*columns), deletes, DEL_KEY))
     for kind in (DEL_TYPE, DEL_TENANT):
         rows = _not_deleted(rows, deletes, kind)
     return rows
@@ -182,6 +221,14 @@ class DocumentStore:
         name = self._head()[0]
         return None if name is None else self._base_documents(name)
 
+    def slices(self) -> Slices | None:
+        """How the base in force is dealt."""
+        name = self._head()[0]
+        if name is None:
+            return None
+        many = ", ".join(f"`{c}` {CHANGE_SCHEMA[c].dataType.simpleString()}" for c in ROW) + ", slices int"
+        return Slices(self.spark.read.schema(many).parquet(f"{self.root}/bases/{name}/slices"), self._buckets(name)[1])
+
     def base_marks(self) -> DataFrame | None:
         """The deletes and rejects the base has taken in."""
         name = self._head()[0]
@@ -194,7 +241,7 @@ class DocumentStore:
             parts = [p if p is None else p.filter(F.col("client_id") == client_id) for p in parts]
         if module is not None:
             parts = [p if p is None else p.filter((F.col("module") == module) | (F.col("kind") == DEL_TENANT)) for p in parts]
-        return current_documents(*parts).select("client_id", "seq", *DOC_SCHEMA.fieldNames())
+        return current_documents(*parts, self.slices()).select("client_id", "seq", *DOC_SCHEMA.fieldNames())
 
     def rejects(self) -> DataFrame:
         """Rows refused, those the base has taken in too."""
@@ -214,15 +261,18 @@ class DocumentStore:
         """Write the current documents, and the deletes and rejects so far, as a new base that takes in all commits."""
         finished, name = self.commits(), _stamp()
         changes, base, marks = self.changes(), self.base(), self.base_marks()
-        rows = current_documents(changes, base, marks).withColumn("kind", F.lit(PUT)).withColumn("reason", F.lit(None).cast("string"))
+        rows = current_documents(changes, base, marks, self.slices()).withColumn("kind", F.lit(PUT)).withColumn("reason", F.lit(None).cast("string"))
         marks_of(changes if marks is None else changes.unionByName(marks)).write.parquet(f"{self.root}/bases/{name}/marks")
         known = self._table(name, "staged")
         rows.to(CHANGE_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/bases/{name}/staged")
         staged = self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}/staged")
         buckets = min(MOST_BUCKETS, 1 << max(3, (staged.count() // BUCKET_ROWS).bit_length()))
         path = f"{self.root}/bases/{name}/documents-{buckets}"
-        # a row for each bucket's task, so that every bucket is one file
-        staged.repartition(buckets, *ROW).write.bucketBy(buckets, *ROW).sortBy(*ROW).option("path", path).mode("overwrite").saveAsTable(known)
+        many_sliced(staged).write.mode("overwrite").parquet(f"{self.root}/bases/{name}/slices")
+        slices = Slices(self.spark.read.parquet(f"{self.root}/bases/{name}/slices"), buckets)
+        # a task for each bucket, so that every bucket is one file
+        dealt = slices.dealt(slices.of_documents(staged)).write.bucketBy(buckets, *SLICE).sortBy(*SLICE)
+        dealt.option("path", path).mode("overwrite").saveAsTable(known)
         self.spark.sql(f"DROP TABLE IF EXISTS {known}")
         fs, left = self._at(f"bases/{name}/staged")
         fs.delete(left, True)
@@ -252,13 +302,18 @@ class DocumentStore:
         mark = re.sub(r"\W", "_", f"{uuid.uuid5(uuid.NAMESPACE_URL, self.root).hex}_{name}_{what}")
         return f"documents_{mark}"
 
+    def _buckets(self, name: str) -> tuple[str, int]:
+        """The folder of a base's documents, and the number of its buckets."""
+        (folder,) = [f for f in self._folders(f"bases/{name}") if f.startswith("documents-")]
+        return folder, int(folder.rpartition("-")[2])
+
     def _base_documents(self, name: str) -> DataFrame:
         """The bucketed documents of a base, made known to this session's catalog where they are not yet."""
-        (folder,) = [f for f in self._folders(f"bases/{name}") if f.startswith("documents-")]
-        table, buckets = self._table(name, "base"), int(folder.rpartition("-")[2])
+        folder, buckets = self._buckets(name)
+        table = self._table(name, "base")
         if not self.spark.catalog.tableExists(table):
-            layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CHANGE_SCHEMA)
-            by = ", ".join(ROW)
+            layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CHANGE_SCHEMA) + ", slice int"
+            by = ", ".join(SLICE)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {table} ({layout}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
                 f" LOCATION '{self.root}/bases/{name}/{folder}'"

@@ -9,6 +9,7 @@ import erp
 from docuweft import session
 from docuweft.operators.embedding import HashingProvider
 from docuweft.operators.status import latest_status
+from docuweft.operators import store as store_module
 from docuweft.operators.store import DocumentStore, as_changes, current_documents
 from docuweft.functions import text
 from docuweft.plans.registry import BASE, resolver
@@ -238,3 +239,26 @@ def test_a_run_that_breaks_is_recorded_as_failed(spark, store, tmp_path, monkeyp
         sync(store, source_of(spark, [1]), ["t1"], mode=RECREATE, runs_path=path)
     (row,) = latest_status(spark.read.parquet(path), client_id="t1").collect()
     assert row["status"] == "failed" and row["completed_at"] is not None
+
+
+def test_a_source_row_with_very_many_documents_is_dealt_in_slices(spark, store, monkeypatch):
+    monkeypatch.setattr(store_module, "SLICE_ROWS", 100)
+    docs = spark.range(1600).selectExpr(
+        "'t1' as client_id", "'m' as module", "'x' as doc_type", "concat('x:', id) as id", "if(id % 2 = 0, 2000L, if(id % 4 = 1, 9L, id)) as source_id",
+        "'old' as status")
+    store.commit(as_changes(docs, "'put'", 0), "first")
+    store.compact()
+    slices = {r["source_id"]: r["slices"] for r in store.slices().many.collect()}
+    assert slices == {2000: 8, 9: 4}
+    sizes = [r["count"] for r in store.base().groupBy("source_id", "slice").count().collect()]
+    assert sum(sizes) == 1600 and max(sizes) < 160
+    newer = docs.filter("source_id = 2000 and cast(substring(id, 3) as int) % 10 = 0").withColumn("status", F.lit("new"))
+    older = docs.filter("source_id % 4 = 3 and source_id < 200").withColumn("status", F.lit("late"))
+    gone = docs.filter("source_id in (9, 203)").select("client_id", "module", "doc_type", "source_id").distinct()
+    changes = as_changes(newer, "'put'", 10).unionByName(as_changes(older, "'put'", -2)).unionByName(as_changes(gone, "'del_key'", 10))
+    store.commit(changes, "second")
+    want = {"old": 1600 - 400 - 1 - 160, "new": 160}
+    for _ in range(2):  # before and after the changes are taken in
+        assert {r["status"]: r["count"] for r in store.snapshot().groupBy("status").count().collect()} == want
+        store.compact()
+    assert {r["source_id"]: r["slices"] for r in store.slices().many.collect()} == {2000: 8}
