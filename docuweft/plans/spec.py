@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..functions.columns import Columns, Sql, quoted
-from ..session import local_frame
+from ..session import local_frame, written
+from .keyfilter import cut, filter_bits
 
 #: Gives a table's rows; every frame carries ``client_id``.
 Source = Callable[[str], DataFrame]
@@ -100,8 +101,9 @@ class Keys:
         return Keys(frame, {c: tuple(sorted(i)) for c, i in ids.items()})
 
     def only(self, rows: DataFrame) -> DataFrame:
-        """The rows of these keys; few keys become a filter the scan can skip files by."""
+        """The rows of these keys; few keys become a filter the scan can skip files by, more a Bloom filter ahead of the join."""
         if self.few is None:
+            rows = cut(rows, ["client_id", "id"], self.frame, ["client_id", "id"], filter_bits(self.frame.count()))
             return rows.join(self.frame, ["client_id", "id"], "left_semi")
         wanted = [f"(client_id = {quoted(c)} and id in ({', '.join(map(str, i))}))" for c, i in self.few.items()]
         return rows.filter(" or ".join(wanted) or "false")
@@ -110,9 +112,10 @@ class Keys:
 def source_rows(spec: TableSpec, source: Source, keys: Keys | None = None) -> DataFrame:
     """The spec's rows: live, joined, with copies and computed columns replacing their namesakes.
 
-    ``keys`` keeps only those rows, before any join is made.  While they are
-    few, looked-up tables are cut to the rows wanted too, so that a handful of
-    changes does not shuffle a whole table.
+    ``keys`` keeps only those rows, before any join is made.  Looked-up tables
+    are cut to the rows wanted too, so that changes do not shuffle a whole
+    table: by the foreign keys while the keys are few, else by a Bloom filter of
+    them.  The rows of many keys are written for that, to be found once.
     """
     rows = live(source(spec.table))
     missing = [c for c in spec.source_columns() if c not in rows.columns]
@@ -120,6 +123,9 @@ def source_rows(spec: TableSpec, source: Source, keys: Keys | None = None) -> Da
         raise ValueError(f"{spec.table}: source lacks {', '.join(missing)}")
     if keys is not None:
         rows = keys.only(rows)
+    if keys is not None and keys.few is None and spec.lookups:
+        rows = refetched = written(rows, "refetched")
+        bits = filter_bits(refetched.count())
     own, base = Columns(rows), rows.columns
     computed: dict[str, Sql] = {alias: own[name] for alias, name in spec.copies.items()}
     for n, lk in enumerate(spec.lookups):
@@ -128,6 +134,8 @@ def source_rows(spec: TableSpec, source: Source, keys: Keys | None = None) -> Da
         if keys is not None and keys.few is not None:
             wanted = rows.select(F.col("client_id").alias(prefix + "client"), F.col(f"`{lk.on[0]}`").alias(prefix + "key"))
             found = found.join(F.broadcast(wanted.distinct()), [prefix + "client", prefix + "key"], "left_semi")
+        elif keys is not None:
+            found = cut(found, [prefix + "client", prefix + "key"], refetched, ["client_id", lk.on[0]], bits)
         rows = _join(rows, lk, found, prefix)
         computed.update({name: prefix + name for name in lk.adds})
         if lk.company == TAKE:
