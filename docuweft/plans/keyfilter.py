@@ -47,18 +47,24 @@ def key_bits(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda w: w["set"]).alias("bits"))
 
 
-def cut(rows: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str], bits: int | None) -> DataFrame:
-    """The rows whose ``columns`` may be one of ``keys``; all of them where types do not compare or no filter is made.
-
-    No row with a key is lost.  Rows with a null among ``columns`` may go:
-    they equal nothing.
-    """
+def may_hold(rows: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str], bits: int | None) -> Column | None:
+    """Whether a row's ``columns`` may be one of ``keys``, false only where they are none; no column where types do not compare or no filter is made."""
     pairs = zip(columns, key_columns, strict=True)
     if bits is None or not all(_alike(rows.schema[a].dataType, keys.schema[b].dataType) for a, b in pairs):
-        return rows
+        return None
     words = key_bits(keys, key_columns, bits).scalar()
     held = F.lit(True)
     for at in _positions(rows, columns, bits):
         word = F.get(words, F.shiftright(at, 6).cast("int"))
         held &= word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))) != 0
-    return rows.filter(held)
+    return held
+
+
+def cut(rows: DataFrame, columns: Sequence[str], keys: DataFrame, key_columns: Sequence[str], bits: int | None) -> DataFrame:
+    """The rows whose ``columns`` may be one of ``keys``; all of them where there is no telling.
+
+    No row with a key is lost.  Rows with a null among ``columns`` may go:
+    they equal nothing.
+    """
+    held = may_hold(rows, columns, keys, key_columns, bits)
+    return rows if held is None else rows.filter(held)
