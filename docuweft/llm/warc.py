@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_place
+from ..plans.keyfilter import filter_bits, may_hold
+from ..session import BROADCAST_ROWS, broadcast_if_small, new_place, written
 
 #: Fixed: what a record consists of.
 VERSION = "WARC/1.1"
@@ -25,8 +26,9 @@ RECORD_END = END + END
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payload bytes from which equal payloads are stored once.
 MIN_REVISIT_BYTES = 1000
-#: Records of an archive file, at most.
+#: Records of an archive file, at most, and the payload bytes up to which so many may share one (1 GB in all).
 RECORDS_PER_FILE = 5000
+LARGE_BYTES = 200_000
 RESPONSE, REVISIT = "response", "revisit"
 
 
@@ -64,41 +66,84 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(END)), F.lit(""))
 
 
-def records(pages: DataFrame, date: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(record): a whole WARC record of every page with fresh headers, but for the two line ends that close it.
+def revisits(heads: DataFrame, found: DataFrame) -> DataFrame:
+    """Headers of the records that are revisits, with the ``original`` they refer to."""
+    joined = heads.join(broadcast_if_small(found), "payload_digest")
+    return joined.filter(F.col("original.record_id") != F.col("record_id"))
 
-    Of equal payloads of ``min_bytes`` or more, the record with the largest
-    page_id carries the payload; the others are revisits that refer to it.
-    Rows that are equal in page_id, url and payload are the same record and all carry it.
+
+def responses(rows: DataFrame, revisited: DataFrame) -> DataFrame:
+    """The rows that are no revisits, found by record id, which no two pages share.
+
+    Few ids are broadcast.  Beyond, a Bloom filter tells apart the rows that are
+    surely none, so that payloads that do not repeat stay where they are, and
+    the rest is decided by a join.
     """
-    rows = headers(pages)
-    rows = rows.join(originals(rows, min_bytes), "payload_digest", "left")
-    refers = F.col("original").isNotNull() & (F.col("original.record_id") != F.col("record_id"))
-    mime = F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: ")
-    http = F.concat(mime, F.col("payload_bytes").cast("string"), F.lit(RECORD_END))
-    block = F.when(refers, http).otherwise(F.concat(http, "html"))
-    text = F.concat(
-        F.lit(VERSION + END),
-        _header("WARC-Type", F.when(refers, F.lit(REVISIT)).otherwise(F.lit(RESPONSE))),
+    ids = revisited.select("record_id").distinct()
+    n = ids.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(ids), "record_id", "left_anti")
+    held = may_hold(rows, ["record_id"], ids, ["record_id"], filter_bits(n))
+    if held is None:
+        return rows.join(ids, "record_id", "left_anti")
+    return rows.filter(~held).unionByName(rows.filter(held).join(ids, "record_id", "left_anti"))
+
+
+def _text(original: Column | None, date: str) -> Column:
+    """A whole record but for the two line ends that close it: a revisit to ``original`` without payload, or a response."""
+    revisit = original is not None
+    http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(RECORD_END))
+    block = http if revisit else F.concat(http, "html")
+    lines = [
+        _header("WARC-Type", F.lit(REVISIT if revisit else RESPONSE)),
         _header("WARC-Record-ID", F.col("record_id")),
         _header("WARC-Date", F.lit(date)),
         _header("WARC-Target-URI", _clean(F.col("url"))),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        _header("WARC-Profile", F.when(refers, F.lit(REVISIT_PROFILE))),
-        _header("WARC-Refers-To", F.when(refers, F.col("original.record_id"))),
-        _header("WARC-Refers-To-Target-URI", F.when(refers, _clean(F.col("original.url")))),
+    ]
+    if original is not None:
+        lines += [
+            _header("WARC-Profile", F.lit(REVISIT_PROFILE)),
+            _header("WARC-Refers-To", original["record_id"]),
+            _header("WARC-Refers-To-Target-URI", _clean(original["url"])),
+        ]
+    lines += [
         _header("Page-ID", F.col("page_id").cast("string")),
         _header("Content-Type", F.lit("application/http; msgtype=response")),
         _header("Content-Length", F.octet_length(block).cast("string")),
-        F.lit(END), block,
-    )
-    return rows.select(text.alias("record"))
+    ]
+    return F.concat(F.lit(VERSION + END), *lines, F.lit(END), block)
+
+
+def records(pages: DataFrame, date: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """(record, payload_bytes): a whole WARC record of every page with fresh headers, but for the two line ends that close it.
+
+    Of equal payloads of ``min_bytes`` or more, the record with the largest
+    page_id carries the payload; the others are revisits that refer to it.
+    Rows that are equal in page_id, url and payload are the same record and all carry it.
+    Headers alone are written and joined by digest; a revisit is made from them.
+    """
+    rows = headers(pages)
+    heads = written(rows.drop("html"), "warc-headers")
+    revisited = written(revisits(heads, written(originals(heads, min_bytes), "warc-originals")), "warc-revisits")
+    whole = responses(rows, revisited).select(_text(None, date).alias("record"), "payload_bytes")
+    return whole.unionByName(revisited.select(_text(F.col("original"), date).alias("record"), F.lit(0).cast("long").alias("payload_bytes")))
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Archives of ``pages`` (page_id, url, html) as gzip files in the folder ``path``, deduplicated."""
-    writer = records(pages, date, min_bytes).write.option("lineSep", RECORD_END).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    """Archives of ``pages`` (page_id, url, html) as gzip files in the folder ``path``, deduplicated.
+
+    Payloads too large for many to share a file go to files of fewer records.
+    """
+    made = records(pages, date, min_bytes)
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    parts = [(made, RECORDS_PER_FILE)]
+    if largest > LARGE_BYTES:
+        large = F.col("payload_bytes") > LARGE_BYTES
+        parts = [(made.filter(~large), RECORDS_PER_FILE), (made.filter(large), max(1, RECORDS_PER_FILE * LARGE_BYTES // largest))]
+    for part, most in parts:
+        writer = part.select("record").write.mode("append").option("lineSep", RECORD_END).option("compression", "gzip")
+        writer.option("maxRecordsPerFile", most).text(path)
 
 
 def parse_archive(stream: io.BufferedIOBase) -> Iterator[dict[str, str | int | bool | None]]:
@@ -144,13 +189,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(archived: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits joined to the responses they refer to."""
-    found = archived.filter(F.col("record_type") == RESPONSE).groupBy(F.col("record_id").alias("refers_to_id")).agg(
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits joined to the responses they refer to; responses stay where they are."""
+    back, whole = (archived.filter(F.col("record_type") == kind) for kind in (REVISIT, RESPONSE))
+    asked = broadcast_if_small(written(back.select(F.col("refers_to_id").alias("record_id")).distinct(), "warc-referred"))
+    found = whole.join(asked, "record_id", "left_semi").groupBy(F.col("record_id").alias("refers_to_id")).agg(
         F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("_bytes")
     )
-    return archived.join(found, "refers_to_id", "left").select(
-        "page_id", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
-    )
+    met = back.join(broadcast_if_small(written(found, "warc-found")), "refers_to_id", "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    sized = met.withColumn("payload_bytes", F.coalesce("payload_bytes", "_bytes")).select(columns)
+    return whole.withColumn("refers_to", F.lit(None).cast("long")).select(columns).unionByName(sized)
 
 
 def archive_and_read(pages: DataFrame, path: str | None = None) -> DataFrame:
@@ -158,4 +206,4 @@ def archive_and_read(pages: DataFrame, path: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     path = path or new_place(spark, "warc")
     write_archives(pages, path)
-    return resolved(read_archives(spark, path))
+    return resolved(written(read_archives(spark, path), "warc-read"))

@@ -48,6 +48,32 @@ def test_repeated_rows_are_the_same_record(spark):
     assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in found) == [(0, "revisit", 1), (1, "response", None), (1, "response", None)]
 
 
+@pytest.mark.parametrize("bits", [1 << 10, None])
+def test_more_revisits_than_are_broadcast(spark, monkeypatch, bits):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(warc, "filter_bits", lambda n: bits)
+    rows = [(n, f"http://h/{n}", "hot " * 500 if n % 3 else f"own {n // 6} " * 300) for n in range(300)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    found = warc.archive_and_read(frame).collect()
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[c] for c in columns) for r in found), key=str) == wanted(rows)
+
+
+def test_large_payloads_share_files_with_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE_BYTES", 2000)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 4)
+    rows = [(n, "u", f"{n} " * (4000 if n % 2 else 10)) for n in range(40)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    found = warc.archive_and_read(frame, str(tmp_path / "a")).collect()
+    assert len(found) == 40 and len(glob.glob(f"{tmp_path}/a/*.gz")) == 5 + 20
+
+
+def test_payloads_do_not_move(spark):
+    frame = spark.range(50).selectExpr("id as page_id", "'u' as url", "if(id % 3 = 0, repeat('x', 2000), repeat(id, 2000)) as html")
+    plan = warc.records(frame, "2024")._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
+
+
 def test_broken_archives_are_an_error():
     record = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nWARC-Payload-Digest: sha1:00\r\nContent-Length: 6\r\n\r\nh\r\n\r\nb\r\n\r\n"
     for content in (record, record[:-5], "nonsense"):
