@@ -11,11 +11,14 @@ in several slices, so that no bucket and no task holds all of them.
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +33,7 @@ SLICE = [*ROW, "slice"]
 SLICE_ROWS = 1000
 #: Documents of a bucket, about, and the most buckets a base has.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 8192
-#: Tries at a sequence number before giving up.
+#: Tries at a sequence number or a head before giving up.
 TRIES = 1000
 
 
@@ -251,15 +254,18 @@ class DocumentStore:
 
     def merge(self) -> None:
         """Put the open commits into one, so that a stream's many small commits stay few to list and read."""
-        names, taken = self._open_commits(), self._head()[1]
+        names = self._open_commits()
         if not names:
             return
         merged = self.commit(reduced(self.read(names)), f"merged-{_stamp()}")
-        self._set_head(self._head()[0], (taken | set(names)) - {merged})
+        self._change_head(lambda base, taken: (base, (taken | set(names)) - {merged}))
 
     def compact(self) -> None:
-        """Write the current documents, and the deletes and rejects so far, as a new base that takes in all commits."""
-        finished, name = self.commits(), _stamp()
+        """Write the current documents, and the deletes and rejects so far, as a new base that takes in all commits.
+
+        Where another driver has put a base in force meanwhile, that one stays and this one is given up.
+        """
+        before, finished, name = self._head()[0], self.commits(), f"{_stamp()}-{uuid.uuid4().hex[:8]}"
         changes, base, marks = self.changes(), self.base(), self.base_marks()
         rows = current_documents(changes, base, marks, self.slices()).withColumn("kind", F.lit(PUT)).withColumn("reason", F.lit(None).cast("string"))
         marks_of(changes if marks is None else changes.unionByName(marks)).write.parquet(f"{self.root}/bases/{name}/marks")
@@ -276,12 +282,12 @@ class DocumentStore:
         self.spark.sql(f"DROP TABLE IF EXISTS {known}")
         fs, left = self._at(f"bases/{name}/staged")
         fs.delete(left, True)
-        self._set_head(name, set(finished))
+        self._change_head(lambda base, taken: (name, set(finished)) if base == before else (base, taken))
 
     def vacuum(self, older_than_seconds: float = 86_400) -> None:
         """Remove commits that are taken in, and bases and heads no longer in force, once they are old enough for no reader to need them."""
         base, taken = self._head()
-        heads, before = self._finished("heads"), (time.time() - older_than_seconds) * 1000
+        heads, before = self._heads(), (time.time() - older_than_seconds) * 1000
         old = [f"commits/commit={n}" for n in self.commits() if n in taken]
         old += [f"bases/{n}" for n in self._folders("bases") if n != base] + [f"heads/{n}" for n in heads[:-1]]
         gone = set()
@@ -291,7 +297,7 @@ class DocumentStore:
                 fs.delete(path, True)
                 gone.add(place.partition("commit=")[2])
         if taken & gone:
-            self._set_head(base, taken - gone)
+            self._change_head(lambda base, taken: (base, taken - gone))
 
     def _at(self, place: str):
         """The file system of a place under the root, and its path there."""
@@ -338,16 +344,55 @@ class DocumentStore:
 
     def _head(self) -> tuple[str | None, set[str]]:
         """The base in force and the commits it or a merged commit has taken in and that are not removed yet."""
-        names = self._finished("heads")
-        if not names:
-            return None, set()
-        rows = self.spark.read.schema("base string, taken string").json(f"{self.root}/heads/{names[-1]}").collect()
+        names = self._heads()
+        return self._read_head(names[-1]) if names else (None, set())
+
+    def _heads(self) -> list[str]:
+        """Names of the heads, numbers of one width, the one in force last."""
+        fs, path = self._at("heads/*")
+        return sorted(s.getPath().getName() for s in fs.globStatus(path) or [])
+
+    def _read_head(self, name: str) -> tuple[str | None, set[str]]:
+        rows = self.spark.read.schema("base string, taken string").json(f"{self.root}/heads/{name}").collect()
         return rows[0]["base"], {r["taken"] for r in rows if r["taken"] is not None}
 
-    def _set_head(self, base: str | None, taken: set[str]) -> None:
-        rows = [(base, n) for n in sorted(taken)] or [(base, None)]
-        head = self.spark.createDataFrame(rows, "base string, taken string").coalesce(1)
-        head.write.mode("overwrite").json(f"{self.root}/heads/{_stamp()}")
+    def _change_head(self, change: Callable[[str | None, set[str]], tuple[str | None, set[str]]]) -> None:
+        """Put what ``change`` makes of the head in force under the next number, which must be new.
+
+        Where another driver has taken that number, the change is made again to
+        what it has written, so no head is lost whatever the drivers' clocks say.
+        A head is a whole file before it gets its name.
+        """
+        for _ in range(TRIES):
+            names = self._heads()
+            now = self._read_head(names[-1]) if names else (None, set())
+            base, taken = change(*now)
+            if names and (base, taken) == now:
+                return
+            lines = [json.dumps({"base": base, "taken": n}) for n in sorted(taken)] or [json.dumps({"base": base, "taken": None})]
+            if self._put_new(f"heads/{int(names[-1]) + 1 if names else 1:020d}", "\n".join(lines)):
+                return
+        raise RuntimeError(f"no head could be set under {self.root}")
+
+    def _put_new(self, place: str, content: str) -> bool:
+        """Write a small file under a name that must be new; false where there is one already."""
+        fs, staged = self._at(f"staged-heads/{uuid.uuid4().hex}")
+        _, path = self._at(place)
+        fs.mkdirs(path.getParent())
+        out = fs.create(staged)
+        out.write(content.encode())
+        out.close()
+        jvm = self.spark._jvm
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            files.rename(staged, path, how)
+        except Py4JJavaError as e:
+            fs.delete(staged, False)
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True
 
 
 def _stamp() -> str:

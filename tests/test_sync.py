@@ -262,3 +262,54 @@ def test_a_source_row_with_very_many_documents_is_dealt_in_slices(spark, store,
         assert {r["status"]: r["count"] for r in store.snapshot().groupBy("status").count().collect()} == want
         store.compact()
     assert {r["source_id"]: r["slices"] for r in store.slices().many.collect()} == {2000: 8}
+
+
+def _put(spark, number, seq):
+    row = spark.range(number, number + 1).selectExpr("'t1' as client_id", "'m' as module", "'x' as doc_type", "concat('x:', id) as id", "id as source_id")
+    return as_changes(row, "'put'", seq)
+
+
+def test_heads_of_drivers_whose_clocks_differ(spark, tmp_path, monkeypatch):
+    one, other = DocumentStore(spark, str(tmp_path / "docs")), DocumentStore(spark, str(tmp_path / "docs"))
+    one.commit(_put(spark, 1, 10), "a")
+    one.merge()
+    monkeypatch.setattr(store_module.time, "time_ns", lambda: 1_000)
+    other.commit(_put(spark, 2, 20), "b")
+    other.compact()
+    other.commit(_put(spark, 3, 30), "c")
+    other.merge()
+    monkeypatch.undo()
+    assert {"a", "b", "c"} <= one._head()[1] and one._head() == other._head() and len(one._heads()) == 3
+    assert ids(one) == ["x:1", "x:2", "x:3"]
+
+
+def test_a_head_that_another_driver_was_sooner_to_write_is_taken_in(spark, tmp_path):
+    one, other = DocumentStore(spark, str(tmp_path / "docs")), DocumentStore(spark, str(tmp_path / "docs"))
+    one.commit(_put(spark, 1, 10), "a")
+    one._change_head(lambda base, taken: (base, taken | {"gone"}))
+    calls = []
+
+    def change(base, taken):
+        if not calls:
+            one._change_head(lambda base, taken: (base, taken | {"theirs"}))
+        calls.append(taken)
+        return base, taken | {"ours"}
+
+    other._change_head(change)
+    assert calls == [{"gone"}, {"gone", "theirs"}] and one._head() == (None, {"gone", "theirs", "ours"})
+
+
+def test_a_base_gives_way_to_one_put_in_force_meanwhile(spark, tmp_path, monkeypatch):
+    one, other = DocumentStore(spark, str(tmp_path / "docs")), DocumentStore(spark, str(tmp_path / "docs"))
+    one.commit(_put(spark, 1, 10), "a")
+    made = store_module.many_sliced
+
+    def slowly(staged):
+        monkeypatch.setattr(store_module, "many_sliced", made)
+        other.commit(_put(spark, 2, 20), "b")
+        other.compact()
+        return made(staged)
+
+    monkeypatch.setattr(store_module, "many_sliced", slowly)
+    one.compact()
+    assert one._head()[1] == {"a", "b"} and one.changes().count() == 0 and ids(one) == ["x:1", "x:2"]
