@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, written
 
 BLOCK, ALLOW = "block", "allow"
 
@@ -138,7 +138,11 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule] | None = None) -> DataFram
     own = [c for c in pages.columns if c.lower() not in taken]
     rows = pages.select(*[F.col(f"`{c}`") for c in own], F.col("url").alias("_url"))
     host, path, _ = parts_of(F.col("_url"))
-    rows = rows.withColumn("_host", host).withColumn("_path", path).join(found, "_url", "left")
+    rows = rows.withColumn("_host", host).withColumn("_path", path)
+    # written, so that beyond the bound the join shuffles both sides and can split a hot url; null urls would gather
+    found = broadcast_if_small(written(found, "judged-urls"))
+    named = rows.filter("_url is not null").join(found, "_url", "left")
+    rows = named.unionByName(rows.filter("_url is null").withColumn("_best", F.lit(None).cast(found.schema["_best"].dataType)))
     return rows.select(
         *[F.col(f"`{c}`") for c in own],
         F.col("_host").alias("host"), F.col("_path").alias("path"),
