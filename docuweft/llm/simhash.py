@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import broadcast_if_small, written
 from .components import components
 
 BYTES = 8
@@ -125,7 +125,9 @@ def links(marks: DataFrame, max_bits: int = 2) -> DataFrame:
     """(a, b) between different fingerprints: parts of the graph of all pairs within ``max_bits`` bits stay whole."""
     if not 1 <= max_bits <= 2:
         raise ValueError("max_bits is 1 or 2: beyond, posting lists are not bounded usefully")
-    lists = postings(marks.select("fingerprint").distinct(), max_bits).groupBy("choice", "shared").agg(
+    # dealt anew: so few bytes would be put in few tasks, and each becomes one row for every choice there
+    each = marks.select("fingerprint").distinct().repartition(marks.sparkSession.sparkContext.defaultParallelism)
+    lists = postings(each, max_bits).groupBy("choice", "shared").agg(
         F.collect_list("fingerprint").alias("members")
     ).filter(F.size("members") > 1).select("members")
 
@@ -154,4 +156,4 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
     moved = linked.join(smallest, "root").select("fingerprint", "component")
     whole = least.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("component", "least").alias("component_id"))
     whole = written(whole, "fingerprint-parts")  # so that the join below shuffles both sides and can split a hot fingerprint
-    return marks.join(whole, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return marks.join(broadcast_if_small(whole), "fingerprint").select("doc_id", "fingerprint", "component_id")
