@@ -5,7 +5,11 @@ scores and byte fallback of the file.  Where no piece holds the marker after
 another character, texts are encoded by marked words: each different word once,
 many in one multithreaded call, and then remembered.  Every word's ids are held
 against the sentencepiece library; of a word on which the two differ its ids are
-used, and the text says so.
+used, and the text says so.  That library also normalises every whole raw text.
+As no piece reaches over a word's end, neither library's ids of a text are other
+than those of its words: equal normal forms and equal words make equal texts.
+
+Ids are decoded whole, by the pieces of the file and by the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -28,6 +32,8 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_toke
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: More blanks than a text starts with: where a model trims, decoding drops them all.
+ALL_BLANKS = 1 << 31
 #: Words whose ids a worker remembers; beyond, it starts anew.
 REMEMBERED = 500_000
 #: Words of a line and lines of a call.
@@ -139,10 +145,23 @@ def build_tokenizer(model: Model) -> Tokenizer:
         raise ValueError(f"models of type {model.kind} are not supported")
     tokenizer = Tokenizer(inner)
     steps: list = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    tokenizer.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []))
+    if model.dummy_prefix or model.trims:
+        steps.append(decoders.Strip(" ", ALL_BLANKS if model.trims else 1, 0))
+    tokenizer.decoder = decoders.Sequence(steps)
     return tokenizer
 
 
+def _looked_up(known: dict, rows: list[list], learn: Callable[[list], None]) -> list[list]:
+    """What ``known`` has for the members of each row, new ones learned first."""
+    found = [list(map(known.get, row)) for row in rows]
+    new = [n for n, own in enumerate(found) if None in own]
+    if new:
+        learn(list({m for n in new for m, o in zip(rows[n], found[n]) if o is None}))
+        for n in new:
+            found[n] = list(map(known.__getitem__, rows[n]))
+    return found
+
+
 class Codec:
     """Encoding and decoding by a model file, words remembered."""
 
@@ -154,7 +173,9 @@ class Codec:
         self.tokenizer = build_tokenizer(self.model)
         self.judge = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.controls = {n for n, (*_, kind) in enumerate(self.model.pieces) if kind == CONTROL}
-        self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.encode() for p, _, kind in self.model.pieces]
+        self.surface = [
+            b"" if kind == CONTROL else bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces
+        ]
         self.words: dict[str, bytes] = {}
         self.differs: set[str] = set()
         self.pattern = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -192,8 +213,11 @@ class Codec:
         for word in set(words).difference(self.words):
             self._keep(word, self.tokenizer.encode(word, add_special_tokens=False).ids, self._judged(word))
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        """Ids of each text as little-endian 32-bit numbers, and whether both libraries agree on all its words."""
+    def encode(self, texts: list[str], normal: list[str] | None = None) -> tuple[list[bytes], list[bool]]:
+        """Ids of each text as little-endian 32-bit numbers, and whether both libraries agree on its normal form and all its words.
+
+        ``normal`` are the texts as the sentencepiece library normalises them, where that is known.
+        """
         if len(self.words) > REMEMBERED:
             self.words.clear()
             self.differs.clear()
@@ -202,19 +226,35 @@ class Codec:
             found = [e.ids for e in self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
             wanted = self.judge.encode(texts)
             return [np.array(w, dtype="<u4").tobytes() for w in wanted], [f == w for f, w in zip(found, wanted)]
-        cut = [self.pattern.findall(m) for m in marked]
-        self.learn(list(set().union(*cut).difference(self.words)))
-        same = [not self.differs or self.differs.isdisjoint(words) for words in cut]
-        return [b"".join(map(self.words.__getitem__, words)) for words in cut], same
+        normal = self.judge.normalize(texts) if normal is None else normal
+        alike = [m == n for m, n in zip(marked, normal)]
+        # of a text on which the normal forms differ the library's counts, as its ids do
+        cut = [self.pattern.findall(n) for n in normal]
+        found = _looked_up(self.words, cut, self.learn)
+        same = [a and (not self.differs or self.differs.isdisjoint(words)) for a, words in zip(alike, cut)]
+        return [b"".join(ids) for ids in found], same
+
+    def come_back(self, normal: list[str], ids: list[bytes]) -> list[bool]:
+        """Whether both libraries' decoding of each row of ids gives its text, ``normal`` as the sentencepiece library normalises it."""
+        rows = [np.frombuffer(i, dtype="<u4").tolist() for i in ids]
+        wanted = [n.replace(MARK, " ") for n in normal]
+        if self.model.dummy_prefix:
+            wanted = [w.removeprefix(" ") for w in wanted]
+        return [self.decode(r) == d == w for r, d, w in zip(rows, self.judge.decode(rows), wanted)]
 
     def comes_back(self, text: str, ids: bytes) -> bool:
-        """Whether the pieces of some ids, set one after the other, are the text in its normalised form."""
-        marked = self.normalizer.normalize_str(text).encode()
-        return b"".join(map(self.surface.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())) == marked
+        """:meth:`come_back` of one raw text."""
+        return self.come_back([self.judge.normalize(text)], [ids])[0]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of some ids; control pieces have none."""
-        return self.tokenizer.decode([i for i in ids if i not in self.controls], skip_special_tokens=False)
+        """The text of some ids by the pieces of the model file; control pieces have none."""
+        try:
+            text = b"".join(map(self.surface.__getitem__, ids)).decode()
+        except UnicodeDecodeError:  # bytes that are no character: the tokenizers library says what stands for them
+            return self.tokenizer.decode([i for i in ids if i not in self.controls], skip_special_tokens=False)
+        if self.model.trims:
+            return text.lstrip(" ")
+        return text.removeprefix(" ") if self.model.dummy_prefix else text
 
 
 _CODECS: dict[str, Codec] = {}
@@ -262,7 +302,10 @@ def decode(ids: Column, model_path: str) -> Column:
 def encode_and_verify(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with n_tokens, ids_crc32 (little-endian 32-bit ids), agrees, and comes_back: whether decoding the ids gives the text.
 
-    Where a model trims or maps characters, a text comes back as its normalised form.
+    ``agrees`` says that both libraries normalise the whole text alike and encode
+    its words alike, ``comes_back`` that both decode the ids alike and to the
+    text.  Where a model trims or maps characters, a text comes back as its
+    normalised form.
     """
 
     @F.pandas_udf("n_tokens long, ids_crc32 long, agrees boolean, comes_back boolean")
@@ -272,8 +315,9 @@ def encode_and_verify(docs: DataFrame, model_path: str) -> DataFrame:
             parts = []
             for n in range(0, len(texts), TEXTS_AT_ONCE):
                 some = texts.iloc[n:n + TEXTS_AT_ONCE].tolist()
-                found, same = own.encode(some)
-                parts += [(len(i) // 4, crc32(i), a, own.comes_back(t, i)) for t, i, a in zip(some, found, same)]
+                normal = own.judge.normalize(some)
+                found, same = own.encode(some, normal)
+                parts += [(len(i) // 4, crc32(i), a, c) for i, a, c in zip(found, same, own.come_back(normal, found))]
             yield pd.DataFrame(parts, columns=["n_tokens", "ids_crc32", "agrees", "comes_back"])
 
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_tokens", "ids_crc32", "agrees", "comes_back")]

@@ -71,6 +71,25 @@ def test_the_two_libraries_agree_on_the_given_model():
     assert all(sc.Codec(PIECE_BPE).encode(texts())[1])
 
 
+def test_a_wrong_normaliser_is_seen(monkeypatch):
+    monkeypatch.setattr(sc, "normalizer", lambda model: sc.normalizers.Sequence([sc.normalizers.Lowercase(), sc.normalizers.Prepend(sc.MARK), sc.normalizers.Replace(" ", sc.MARK)]))
+    judge, own = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE), sc.Codec(PIECE_BPE)
+    found, agrees = own.encode(["The hills", "the hills"])
+    assert agrees == [False, True]
+    assert [np.frombuffer(i, dtype="<u4").tolist() for i in found] == judge.encode(["The hills", "the hills"])
+
+
+def test_ids_are_decoded_by_both_libraries(path, monkeypatch):
+    own, judge = sc.Codec(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    if own.model.byte_fallback:
+        odd = [[3 + 0x41], [1, 2, 259]]  # a byte that is a character, control pieces
+        assert [own.decode(i) for i in odd] == [judge.decode(i) for i in odd]
+    ids = own.encode(["the ab"])[0]
+    assert own.comes_back("the ab", ids[0])
+    monkeypatch.setattr(own, "decode", lambda ids: "other")
+    assert not own.comes_back("the ab", ids[0])
+
+
 def test_model_file_is_read_whole():
     model, judge = sc.parse_model(open(PIECE_BPE, "rb").read()), sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
     assert len(model.pieces) == judge.get_piece_size() and model.unk_id == judge.unk_id() and model.byte_fallback and model.splits
