@@ -32,6 +32,8 @@ STOP_WORDS = frozenset(
 )
 #: Longest token; what is longer is cut into several.
 LONGEST = 255
+#: Words whose terms a worker remembers; beyond, it starts anew.
+REMEMBERED = 100_000
 
 # Word tokens by the Unicode word-break rules: letters joined over . : · or an
 # apostrophe, digits joined over . , ; or an apostrophe, ideographs on their own.
@@ -84,7 +86,7 @@ class _Terms(dict):
         self._analyzer = analyzer
 
     def __missing__(self, word: str) -> str:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         term = "" if word in self._analyzer.stop_words else stem(word) if self._analyzer.stemmed else word
         self[word] = term

@@ -13,7 +13,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 #: Settings the jobs rely on: re-planning at run time, splitting of skewed join
 #: partitions even where that costs a shuffle, keeping only a query's first rows
-#: in each task also for deep pages, and UTC so dates do not move.
+#: in each task also for deep pages, UTC so dates do not move, and batches of texts
+#: that leave a Python worker small.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,6 +23,7 @@ SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
 #: Most rows a side may have to be broadcast on our own hint.
