@@ -39,8 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 80 % of its five-word shingles: the one with the smallest doc_id.
 
     Rows that repeat a doc_id are told apart by their texts; of rows that repeat
-    both one stays.  Documents without an id stay.  The stage takes the place
-    of SimHash, which cannot reach that similarity; README has the figures.
+    both one stays.  Documents without an id stay.  SimHash links come first,
+    confirmed by the shingles; as they cannot reach that similarity, MinHash
+    lists find what is left, see README for figures.
     """
     groups = minhash.near_copies(docs, width=5, least=0.8)
     stays = groups.groupBy("part").agg(F.min(F.struct("doc_id", "tag")).alias("first")).select(

@@ -1,4 +1,4 @@
-"""Near copies by the shingles they share: MinHash lists propose pairs, the shingle sets themselves confirm them.
+"""Near copies by the shingles they share: SimHash and MinHash lists propose pairs, the shingle sets themselves confirm them.
 
 A text is the set of its shingles' hashes, two are near copies if their sets'
 Jaccard similarity reaches a bound.  Each set has BANDS keys of ROWS minima;
@@ -6,6 +6,10 @@ sets that share a key stand in one list.  At a similarity of 0.8 a pair shares
 none with a chance of 6 in 100,000, and every pair that a list proposes is held
 against the whole sets, so nothing below the bound is linked.
 
+Before that SimHash fingerprints of the same shingles are linked, within two bits:
+what these links join after the sets have confirmed them is of one part when the
+lists are met.  They reach the nearest copies, the lists those further apart.
+
 Within a list pairs are not made all at once: some members, the leaders, are
 held against all others and then leave it, and a list is done once its members
 are known to be of one part.  A large group of near copies is so linked by
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from . import simhash
 from .components import components
 
 #: Keys of a set, and minima that make up one.
@@ -97,22 +102,23 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, tag, node long, size int, lists, sketch) of every row of ``docs`` (doc_id, tag, text); equal sets, those without words too, have one ``node``."""
+    """(doc_id, tag, node long, mark long, size int, lists, sketch) of every row of ``docs`` (doc_id, tag, text); equal sets, those without words too, have one ``node``; ``mark`` is the SimHash fingerprint."""
     longs = F.array(F.lit(0).cast("long"))
-    layout = docs.select("doc_id", "tag", F.lit(0).cast("long").alias("node"), F.lit(0).alias("size"), longs.alias("lists"), longs.alias("sketch")).schema
+    layout = docs.select("doc_id", "tag", F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("mark"), F.lit(0).alias("size"), longs.alias("lists"), longs.alias("sketch")).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, lists, sketches = [], [], [], []
+            nodes, marks, sizes, lists, sketches = [], [], [], [], []
             for t in batch.column("text"):
                 own = shingle_set(t.as_py(), width)
                 nodes.append(_node(own))
+                marks.append(simhash.fingerprint(t.as_py(), width))
                 sizes.append(len(own))
                 least = minima(own)
                 lists.append(list_keys(own, least))
                 sketches.append(sketch(least))
             longs = pa.list_(pa.int64())
-            columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(lists, longs), pa.array(sketches, longs)]
+            columns = [pa.array(nodes, pa.int64()), pa.array(marks, pa.int64()), pa.array(sizes, pa.int32()), pa.array(lists, longs), pa.array(sketches, longs)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), *columns], layout.names)
 
     return docs.select("doc_id", "tag", "text").mapInArrow(of_batches, layout)
@@ -138,6 +144,30 @@ def confirmed(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
     return both.filter(F.col("_shared") / (F.size("_a") + F.size("_b") - F.col("_shared")) >= least).select("a", "b")
 
 
+def simhash_pairs(marks: DataFrame) -> DataFrame:
+    """(a, b) of different nodes of ``marks`` (node, mark) whose fingerprints SimHash links or that are equal.
+
+    One node stands for its fingerprint, so that very many equal ones make no
+    more pairs than nodes.
+    """
+    # a set that comes from several texts, whose repeats differ, has one fingerprint here
+    own = marks.filter("size > 0").groupBy("node").agg(F.min("mark").alias("fingerprint"))
+    first = written(own.groupBy("fingerprint").agg(F.min("node").alias("first")), "first-nodes")
+    near = simhash.links(first)
+    to_a, to_b = (first.select(F.col("fingerprint").alias(c), F.col("first").alias(f"_{c}")) for c in ("a", "b"))
+    pairs = near.join(to_a, "a").join(to_b, "b").select("_a", "_b").unionByName(
+        own.join(first, "fingerprint").select(F.col("node").alias("_a"), F.col("first").alias("_b"))
+    )
+    return pairs.filter("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+
+
+def _sets_of(docs: DataFrame, smallest: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of some ``nodes``, and perhaps others, once each."""
+    ids = smallest.join(nodes, "node", "left_semi").select(F.col("least").alias("_id"))
+    chosen = sets(docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi"), width)
+    return written(chosen.dropDuplicates(["node"]), "sets")
+
+
 def tag_of(text: Column) -> Column:
     """Tells apart rows that share a doc_id but not the text; a null text counts as an empty one."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -157,6 +187,11 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     smallest = marks.groupBy("node").agg(F.min("doc_id").alias("least"))
     members = written(marks.dropDuplicates(["node"]).select(F.explode("lists").alias("list"), "node", "size"), "lists")
     links = tested = known = parts = None
+    pairs = written(simhash_pairs(marks), "simhash-pairs")
+    if not pairs.isEmpty():
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        tested, links = pairs, written(confirmed(pairs, _sets_of(docs, smallest, ends, width), least), "near")
+        parts = written(components(links), "parts")
     at_once = 1
     while True:
         root = F.col("node") if parts is None else F.coalesce("root", "node")
@@ -170,10 +205,7 @@ def near_copies(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
             rooted = rooted.join(marks.select("node", "sketch").dropDuplicates(["node"]), "node")
         rooted = written(rooted, "members")
         if known is None:
-            nodes = rooted.select("node").distinct()
-            ids = smallest.join(nodes, "node", "left_semi").select(F.col("least").alias("_id"))
-            chosen = sets(docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi"), width)
-            known = written(chosen.dropDuplicates(["node"]), "sets")
+            known = _sets_of(docs, smallest, rooted.select("node").distinct(), width)
         # leaders are not of the largest part: once all others have left, the list is settled
         order = F.xxhash64("node")
         slot = F.pmod(order, F.lit(at_once)).alias("slot")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from docuweft.llm import minhash
+from docuweft.llm import minhash, simhash
 
 from .test_simhash import parts_of
 
@@ -117,3 +117,15 @@ def test_the_pipelines_stage_keeps_one_of_near_copies(spark):
     rows = [(10 + n, edited(rng, base, 5)) for n in range(20)] + [(n, f"another text {n} that nothing is near to") for n in range(5)]
     kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
     assert sorted(r["doc_id"] for r in kept) == [0, 1, 2, 3, 4, 10]
+
+
+def test_simhash_proposes_pairs(spark):
+    text = " ".join(f"w{n}" for n in range(400))
+    rows = [(1, text), (2, text + " tail"), (3, text), (4, "nothing like the others at all"), (5, None)]
+    docs = spark.createDataFrame([(d, 0, t) for d, t in rows], "doc_id long, tag long, text string")
+    marks = minhash.signatures(docs, 5)
+    own = {r["doc_id"]: (r["node"], r["mark"]) for r in marks.collect()}
+    assert all(m == simhash.fingerprint(t, 5) for (d, t), (_, m) in zip(rows, (own[d] for d, _ in rows)))
+    assert (own[1][1] ^ own[2][1]).bit_count() <= 2
+    pairs = [(r["a"], r["b"]) for r in minhash.simhash_pairs(marks).collect()]
+    assert pairs == [tuple(sorted((own[1][0], own[2][0])))]
