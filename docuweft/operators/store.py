@@ -32,7 +32,7 @@ SLICE = [*ROW, "slice"]
 #: Documents of a slice of a source row, about, which are met as one map; a row with no more has one slice.
 SLICE_ROWS = 1000
 #: Documents of a bucket, about, and the most buckets a base has.
-BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 8192
+BUCKET_ROWS, MOST_BUCKETS = 100_000, 8192
 #: Tries at a sequence number or a head before giving up.
 TRIES = 1000
 
@@ -97,6 +97,11 @@ class Slices:
         return rows.repartition(self.buckets, *SLICE)
 
 
+def buckets_for(documents: int) -> int:
+    """Buckets of a base: a bucket's documents, over a hundred columns wide, are sorted and met in one task, so it holds few."""
+    return min(MOST_BUCKETS, 1 << max(3, (documents // BUCKET_ROWS).bit_length()))
+
+
 def many_sliced(rows: DataFrame) -> DataFrame:
     """(source row..., slices int) of the source rows with more documents than a slice holds; each task counts its own first."""
     counts = rows.groupBy(*ROW).count().filter(F.col("count") > SLICE_ROWS)
@@ -272,7 +277,7 @@ class DocumentStore:
         known = self._table(name, "staged")
         rows.to(CHANGE_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/bases/{name}/staged")
         staged = self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self.root}/bases/{name}/staged")
-        buckets = min(MOST_BUCKETS, 1 << max(3, (staged.count() // BUCKET_ROWS).bit_length()))
+        buckets = buckets_for(staged.count())
         path = f"{self.root}/bases/{name}/documents-{buckets}"
         many_sliced(staged).write.mode("overwrite").parquet(f"{self.root}/bases/{name}/slices")
         slices = Slices(self.spark.read.parquet(f"{self.root}/bases/{name}/slices"), buckets)

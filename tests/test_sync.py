@@ -313,3 +313,8 @@ def test_a_base_gives_way_to_one_put_in_force_meanwhile(spark, tmp_path, monkeyp
     monkeypatch.setattr(store_module, "many_sliced", slowly)
     one.compact()
     assert one._head()[1] == {"a", "b"} and one.changes().count() == 0 and ids(one) == ["x:1", "x:2"]
+
+
+def test_a_bucket_of_a_base_holds_few_documents():
+    for documents in (0, 900_000, 9_000_000, 54_000_000, 500_000_000):
+        assert documents / store_module.buckets_for(documents) <= 113_000
