@@ -17,11 +17,15 @@ all postings of the queries' terms are few, they are scored in one pass instead.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import broadcast_if_small, is_small, local_frame, new_table, written
 from .analyze import STANDARD, Analyzer, exploded
@@ -67,11 +71,61 @@ def _with_sizes(rows: DataFrame, sizes: DataFrame, scope: Sequence[str]) -> Data
     return rows.withColumns({c: F.lit(v) for c, v in sizes.first().asDict().items()})
 
 
+def _block_lists(held: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """(scope…, term, block, n, share, ids, tfs, lengths) of documents (scope…, id, length, block, postings, avgdl).
+
+    The documents of a block stand together, so that its lists are made in the
+    task that reads them and postings do not move one by one.  A block that two
+    Arrow batches share has two lists of a term, whose bounds add up to one that
+    still holds.
+    """
+    kinds = {f.name: f.dataType for f in held.schema}
+    own = [T.StructField(c, kinds[c]) for c in scope]
+    layout = T.StructType([
+        *own, T.StructField("term", T.StringType()), T.StructField("block", T.LongType()), T.StructField("n", T.IntegerType()),
+        T.StructField("share", T.DoubleType()), T.StructField("ids", T.ArrayType(kinds["id"])), T.StructField("tfs", T.ArrayType(T.IntegerType())),
+        T.StructField("lengths", T.ArrayType(T.IntegerType())),
+    ])
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {c: batch.column(c) for c in batch.schema.names}
+            pairs = column["postings"].flatten()
+            if not len(pairs):
+                continue
+            row = np.repeat(np.arange(len(batch)), pc.fill_null(column["postings"].value_lengths(), 0).to_numpy(zero_copy_only=False))
+            words = pairs.field("term").dictionary_encode()
+            code, tf = words.indices.to_numpy(zero_copy_only=False), pairs.field("tf").to_numpy(zero_copy_only=False)
+            # runs of documents of one block and scope
+            new = np.ones(len(batch), dtype=bool)
+            new[1:] = False
+            for key in ["block", *scope]:
+                marks = column[key].dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= marks[1:] != marks[:-1]
+            run = np.cumsum(new)
+            at = np.empty(len(batch), dtype=np.int64)
+            at[pc.array_sort_indices(column["id"], null_placement="at_start").to_numpy()] = np.arange(len(batch))
+            order = np.lexsort((at[row], run[row], code))
+            row, code, tf = row[order], code[order], tf[order]
+            starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (run[row][1:] != run[row][:-1])])
+            length = column["length"].to_numpy(zero_copy_only=False)[row]
+            share = _share(tf, length, column["avgdl"].to_numpy(zero_copy_only=False)[row])
+            first, ends = pa.array(row[starts]), pa.array(np.r_[starts, len(row)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                *(column[c].take(first) for c in scope), words.dictionary.take(pa.array(code[starts])), column["block"].take(first),
+                pa.array(np.diff(np.r_[starts, len(row)]).astype(np.int32)), pa.array(np.maximum.reduceat(share, starts)),
+                pa.ListArray.from_arrays(ends, column["id"].take(pa.array(row))), pa.ListArray.from_arrays(ends, pa.array(tf.astype(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array(length.astype(np.int32))),
+            ], layout.names)
+
+    return held.select(*scope, "id", "length", "block", "avgdl", "postings").mapInArrow(of_batches, layout)
+
+
 def kept_inverted_index(index: DataFrame, scope: Sequence[str] = (), buckets: int | None = None) -> InvertedIndex:
     """The inverted form of a term index (scope…, id, length, postings) as tables in the shared folder.
 
     Documents are ordered by length in the tasks they are in, so that those of a
-    block are alike; each posting moves once, to its term.  ``buckets`` sets how
+    block are alike; a term's postings of a block move once, as one row, to the term.  ``buckets`` sets how
     many files the tables have.
     """
     spark, name = index.sparkSession, f"inverted_{uuid.uuid4().hex}"
@@ -80,20 +134,16 @@ def kept_inverted_index(index: DataFrame, scope: Sequence[str] = (), buckets: in
     ordered = index.select(*order, "postings").sortWithinPartitions(*order)
     held = written(ordered.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)), "blocked")
     sizes = written(held.filter("length > 0").groupBy(*scope).agg(F.count("*").alias("n"), F.avg("length").alias("avgdl")), "sizes")
-    single = exploded(held)
+    lists = _block_lists(_with_sizes(held, sizes, scope), scope)
     if (sizes.agg(F.sum("n")).first()[0] or 0) > HOT_POSTINGS:  # else no term can be in so many documents
-        hot = single.groupBy("term").count().filter(F.col("count") > HOT_POSTINGS)
+        lists = written(lists, "block-lists")
+        hot = lists.groupBy("term").agg(F.sum("n").alias("count")).filter(F.col("count") > HOT_POSTINGS)
         spread = broadcast_if_small(written(hot.select("term", F.ceil(F.col("count") / HOT_POSTINGS).cast("int").alias("spread")), "hot"))
     else:
         spread = local_frame(spark, [], "term string, spread int")
-    parts = single.join(spread, "term", "left").withColumn("slot", _slot(F.col("term"), F.pmod(F.xxhash64("block"), F.coalesce("spread", F.lit(1)))))
-    parts = _with_sizes(parts, sizes, scope).withColumn("share", _share(F.col("tf"), F.col("length"), F.col("avgdl")))
-    rows = parts.repartition(buckets, "slot").groupBy("slot", *scope, "term", "block").agg(
-        F.sort_array(F.collect_list(F.struct("id", "tf", "length"))).alias("docs"), F.max("share").alias("share")
-    ).select(
-        "slot", *scope, "term", "block", F.size("docs").alias("n"), "share", F.col("docs.id").alias("ids"), F.col("docs.tf").alias("tfs"),
-        F.col("docs.length").alias("lengths"),
-    )
+    slot = _slot(F.col("term"), F.pmod(F.xxhash64("block"), F.coalesce("spread", F.lit(1))))
+    rows = lists.join(spread, "term", "left").select(slot.alias("slot"), *scope, "term", "block", "n", "share", "ids", "tfs", "lengths")
+    rows = rows.repartition(buckets, "slot")
     postings = new_table(rows.write.bucketBy(buckets, "slot").sortBy("slot", "term", "block"), spark, f"{name}_postings")
     terms = postings.groupBy(*scope, "term").agg(F.sum("n").alias("df"), F.max("share").alias("share"))
     terms = terms.join(spread, "term", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
