@@ -150,3 +150,12 @@ def test_names_of_tables_are_removed(spark):
     assert any(n.startswith("inverted_") for n in before)
     remove_written(spark)
     assert not any(t.name.startswith(("inverted_", "terms_")) for t in spark.catalog.listTables())
+
+
+def test_lists_of_a_block_are_made_without_moving_postings(spark):
+    shape = "client_id string, id long, length int, block long, avgdl double, postings array<struct<term: string, tf: int>>"
+    rows = [("x", 3, 2, 0, 2.0, [("a", 1), ("b", 1)]), ("x", None, 2, 0, 2.0, [("a", 2)]), ("y", 1, 1, 0, 2.0, [("a", 1)]), ("y", 2, 0, 1, 2.0, []), ("y", 4, 1, 1, 2.0, [("b", 1)])]
+    lists = inverted._block_lists(spark.createDataFrame(rows, shape).coalesce(1), ["client_id"])
+    assert "Exchange" not in lists._jdf.queryExecution().executedPlan().toString()
+    found = sorted((r["client_id"], r["term"], r["block"], r["n"], r["ids"], r["tfs"], r["lengths"]) for r in lists.collect())
+    assert found == [("x", "a", 0, 2, [None, 3], [2, 1], [2, 2]), ("x", "b", 0, 1, [3], [1], [2]), ("y", "a", 0, 1, [1], [1], [1]), ("y", "b", 1, 1, [4], [1], [1])]

@@ -225,3 +225,11 @@ def test_watching(spark):
     events = spark.range(2100).selectExpr("if(id < 1001, 'x', 'y') as stream").filter("stream = 'x'")
     assert [tuple(r) for r in backlog(events).collect()] == [("x", 1001)]
     assert backlog(events.limit(1000)).count() == 0
+
+
+def test_an_analyzers_worker_remembers_a_bounded_number_of_words():
+    from docuweft.search.analyze import _Terms
+
+    terms = _Terms(ENGLISH)
+    assert all(terms[f"w{n}"] == f"w{n}" for n in range(150_000))
+    assert len(terms) <= 100_000
